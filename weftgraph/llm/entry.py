@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import quality_classifier
+from weftgraph.llm import bpe, language_id, quality_classifier, quality_rules
 from weftgraph.llm.common import table
 
 
+def vocabulary_path() -> str:
+    """Where the public tokenizers' byte-level vocabulary lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier,)}
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op5_bpe_round_trip, op6_language_id, op9_quality_rules)}
 ORACLES: dict[str, str] = {}

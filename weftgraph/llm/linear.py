@@ -140,11 +140,12 @@ def bounded_sample(documents: DataFrame, labels: DataFrame, usable: Column, rows
     return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def train(sample: DataFrame, featurise: Featuriser, *, shards: int = 8, rounds: int = 3, passes: int = 2, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.002, l2: float = 0.1) -> np.ndarray:
+def train(sample: DataFrame, featurise: Featuriser, *, shards: int = 8, rounds: int = 3, updates: int = 60_000, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.002, l2: float = 0.1) -> np.ndarray:
     """Weights (the intercept last) from a bounded sample (doc_id, text, label)."""
     spark = sample.sparkSession
     sample = materialise(sample.repartition(shards, F.xxhash64("doc_id")).sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "text"))
     z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
+    passes = min(40, max(2, updates // (rounds * max(sample.count(), 1))))  # small samples are gone through more often
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
 
