@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, language_id, quality_classifier, quality_rules
+from weftgraph.llm import bpe, language_id, packing, quality_classifier, quality_rules, secrets, sharding
 from weftgraph.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
 
@@ -28,9 +36,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op5_bpe_round_trip, op6_language_id, op9_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op9_quality_rules)}
+ORACLES: dict[str, str] = {"op4_secret_scan": secrets.oracle_sql()}
