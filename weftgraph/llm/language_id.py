@@ -30,6 +30,8 @@ ORDER = 3
 #: Training documents of each language at most (about: chosen by a hash), and the longest context table kept.
 SAMPLE = 1500
 MAX_CONTEXTS = 40_000
+#: The tables have a column for each language; more are refused.
+MAX_LANGUAGES = 200
 
 
 @dataclass
@@ -46,8 +48,11 @@ def gather(documents: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     The first bytes of a text are counted in windows that start with byte 0.
     """
     usable = documents.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = usable.groupBy("lang").count().select("lang", (F.lit(float(per_language)) / F.col("count")).alias("part"))
-    sample = usable.join(sizes, "lang").where(share(F.col("doc_id"), 31) < F.col("part")).select("lang", "text")
+    sizes = usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    parts = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], per_language / r["count"])]) if sizes else F.lit(None).cast("map<string,double>")
+    sample = usable.where(share(F.col("doc_id"), 31) < parts[F.col("lang")]).select("lang", "text")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
