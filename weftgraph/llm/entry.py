@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, language_id, packing, quality_classifier, quality_rules, secrets, sharding
+from weftgraph.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, secrets, sharding
 from weftgraph.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary_path())
 
@@ -44,5 +48,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op9_quality_rules)}
 ORACLES: dict[str, str] = {"op4_secret_scan": secrets.oracle_sql()}

@@ -14,9 +14,11 @@ shingles, looked up among all shingles.
 
 **Candidates.** Equal sets are one class from the start. Documents with an equal chunk form a bucket. Only connections
 count, so buckets aren't expanded into pairs: first each document meets one member of a few of its buckets; after that,
-components are known, and only pairs across components remain, all of them in small buckets, and a growing number of
-members against the bucket in large ones, until no bucket has members of two components that have not met. Candidates
-are dropped if the sketch of 4096 bits already shows too many differences, and the rest verified on the sets.
+components are known, and only pairs across components remain. Small buckets compare all of these. Members of large
+ones (passages that many documents share) are dealt anew, by the rarest of single shingles, and sizes count only
+what is not a document's alone. What is large even so compares a growing number of members with
+the bucket, until no bucket has members of two components that have not met. Candidates are dropped if the sketch of
+4096 bits already shows too many differences, and the rest verified on the sets.
 
 Defined cases: documents without words (null and empty texts too) have no shingles and are components of their own;
 fewer words than the width make one shingle; repeated documents are copies; a null doc_id gets a null component and
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.llm import kernel
@@ -93,12 +95,26 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def frequent(documents: DataFrame, rows: int, width: int = WIDTH) -> np.ndarray:
-    """Hashes of shingles that many documents of a bounded sample have, sorted."""
+Levels = tuple[np.ndarray, np.ndarray]
+
+
+def frequent(documents: DataFrame, rows: int, width: int = WIDTH) -> Levels:
+    """Hashes, sorted, of shingles that many documents of a bounded sample have, and the magnitude of that number."""
     sample = documents.where(share(F.col("doc_id"), 47) < min(1.0, HOT_SAMPLE / max(rows, 1)))
     counts = sets_of(sample, width).select(F.explode("shingles").alias("h")).groupBy("h").count().where(F.col("count") >= HOT_LEAST)
     found = counts.orderBy(F.desc("count"), "h").limit(HOT_KEPT).collect()
-    return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+    hashes = np.array([r["h"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.log2(np.array([r["count"] for r in found], np.float64) + 1)[order].astype(np.uint64)
+
+
+def levels_of(shingles: np.ndarray, hot: Levels) -> np.ndarray:
+    """0 for shingles that aren't frequent, else the magnitude; the common order of shingles and chunks starts with it."""
+    hashes, levels = hot
+    if not len(hashes):
+        return np.zeros(len(shingles), np.uint64)
+    at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+    return np.where(hashes[at] == shingles, levels[at], np.uint64(0))
 
 
 def _band(n: np.ndarray) -> np.ndarray:
@@ -106,10 +122,10 @@ def _band(n: np.ndarray) -> np.ndarray:
     return np.maximum(CHUNKS, 1 << np.ceil(np.log2(n + 1)).astype(np.int64))
 
 
-def chunks(flat: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chunks(flat: np.ndarray, n: np.ndarray, hot: Levels) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Put forward by the sets of a block: (hash of the chunk, number of the set); and the sets with too few chunks."""
     rows, owners, rest = [], [], []
-    is_hot = hot[np.minimum(np.searchsorted(hot, flat), len(hot) - 1)] == flat if len(hot) else np.zeros(len(flat), bool)
+    level = levels_of(flat, hot)
     of = np.repeat(np.arange(len(n)), n)
     own = _band(n)
     below = own // 2  # the band of the partners of sizes under this one's
@@ -124,18 +140,18 @@ def chunks(flat: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray
         p = (h >> np.uint64(32)).astype(np.int64) % many[doc]
         key = doc << 32 | p
         order = np.argsort(key, kind="stable")
-        key, h, cold = key[order], h[order], ~is_hot[keep][order]
+        key, h, rare = key[order], h[order], level[keep][order]
         if not len(key):
             continue
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         bits = np.bitwise_xor.reduceat(kernel.mix(h), start)
-        cold = np.logical_or.reduceat(cold, start)
+        rare = np.minimum.reduceat(rare, start)
         key = key[start]
         some = bits != 0
-        bits, cold, key = bits[some], cold[some], key[some]
+        bits, rare, key = bits[some], rare[some], key[some]
         doc = key >> 32
         name = kernel.mix(bits ^ kernel.mix((key & 0xFFFFFFFF).astype(np.uint64) << np.uint64(32) | many[doc].astype(np.uint64)))
-        place = (~cold).astype(np.uint64) << np.uint64(63) | name >> np.uint64(1)
+        place = rare << np.uint64(58) | name >> np.uint64(6)
         order = np.lexsort((place, doc))
         name, doc = name[order], doc[order]
         have = np.bincount(doc, minlength=len(n))
@@ -148,7 +164,7 @@ def chunks(flat: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray
     return np.concatenate([*rows, none.view(np.uint64)]), np.concatenate([*owners, none]), np.unique(np.concatenate([*rest, none]))
 
 
-def put_forward(documents: DataFrame, hot: np.ndarray, width: int = WIDTH) -> DataFrame:
+def put_forward(documents: DataFrame, hot: Levels, width: int = WIDTH) -> DataFrame:
     """(chunk, doc, n) of documents; a row without chunk for each document with too few."""
     shared = documents.sparkSession.sparkContext.broadcast(hot)
 
@@ -166,19 +182,36 @@ def put_forward(documents: DataFrame, hot: np.ndarray, width: int = WIDTH) -> Da
     return documents.select("doc_id", "text").mapInArrow(run, "chunk long, doc long, n int")
 
 
+def rarest(sets: DataFrame) -> DataFrame:
+    """(chunk, doc, n, most): the rarest shingles of each set (doc_id, n, shingles) that other sets here have too.
+
+    ``most`` counts a set's shingles that other sets have: no partner has more in common. A link needs three quarters of
+    the set, so the others and one more must include a shingle in common; sets with fewer such shingles link nothing.
+    """
+    each = sets.select(F.col("doc_id").alias("doc"), "n", F.explode("shingles").alias("chunk")).distinct()
+    known = each.groupBy("chunk").agg(F.count("*").alias("df")).where("df > 1")
+    each = each.join(known, "chunk").withColumn("most", F.count("*").over(Window.partitionBy("doc")))
+    each = each.where("4 * most >= 3 * n").withColumn("nth", F.row_number().over(Window.partitionBy("doc").orderBy("df", "chunk")))
+    return each.where(F.col("nth") <= F.col("most") - F.ceil(F.col("n") * 3 / 4) + 1).select("chunk", "doc", F.col("n").cast("int"), F.col("most").cast("int"))
+
+
 def _only(documents: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents with (left_semi) or without (left_anti) these ids (doc_id); few ids are sent, more joined by a shuffle."""
     return documents.join(F.broadcast(ids) if ids.count() <= SENT else ids, "doc_id", how)
 
 
+def _differing(a: str, b: str) -> Column:
+    """The number of bits in which two sketches differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The links among candidate pairs (a, b), by sketches and then by sets (doc_id, n, shingles, sketch)."""
 
     def beside(pairs: DataFrame, side: str, *columns: str) -> DataFrame:
         return pairs.join(sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
 
-    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = beside(beside(pairs, "a", "n", "sketch"), "b", "n", "sketch").where(7 * differ <= F.col("n_a") + F.col("n_b"))
+    near = beside(beside(pairs, "a", "n", "sketch"), "b", "n", "sketch").where(7 * _differing("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b"))
     near = materialise(near.select("a", "b"))
     both = beside(beside(near, "a", "n", "shingles"), "b", "n", "shingles")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
@@ -186,9 +219,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, c) whose sizes allow a link, across components."""
+    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, c) whose sizes allow a link, across components."""
     x, y = left.alias("x"), right.alias("y")
-    fits = (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n"))
+    fits = 7 * F.least("x.most", "y.most") >= 3 * (F.col("x.n") + F.col("y.n"))
+    if "sketch" in left.columns:
+        fits = fits & (7 * _differing("x.sketch", "y.sketch") <= F.col("x.n") + F.col("y.n"))
     met = x.join(y, (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.c") != F.col("y.c")) & fits)
     return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
@@ -201,34 +236,54 @@ def _rest_pairs(rest: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     return few.join(all_, "h").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _buckets(member: DataFrame) -> DataFrame:
+    """Adds the bucket's size, the member's place in it, and the place of the bucket among the member's, smallest first."""
+    by_hash = Window.partitionBy("chunk").orderBy(F.xxhash64("doc", "chunk"), "doc")
+    by_doc = Window.partitionBy("doc").orderBy("m", "chunk")
+    return member.distinct().withColumns({"rank": F.row_number().over(by_hash), "turn": F.row_number().over(by_doc)})
+
+
+def _shared(member: DataFrame) -> DataFrame:
+    return member.withColumn("m", F.count("*").over(Window.partitionBy("chunk"))).where((F.col("m") > 1) | F.col("chunk").isNull())
+
+
+def _open(member: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component now, of buckets that have more than one."""
+    now = member.drop("c").join(labels.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    bucket = Window.partitionBy("chunk")
+    return now.withColumns({"low": F.min("c").over(bucket), "high": F.max("c").over(bucket)}).where("low <> high").drop("low", "high")
+
+
 def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame | None:
     """Links (a, b) of documents with different sets that connect all that are connected; None if there is no candidate."""
-    member = put_forward(documents, frequent(documents, rows, width), width)
-    many = F.count("*").over(Window.partitionBy("chunk"))
-    member = materialise(member.withColumn("m", many).where((F.col("m") > 1) | F.col("chunk").isNull()))
+    hot = frequent(documents, rows, width)
+    member = materialise(_shared(put_forward(documents, hot, width)))
     rest, member = member.where("chunk IS NULL"), member.where("chunk IS NOT NULL")
-    by_hash = Window.partitionBy("chunk").orderBy(F.xxhash64("doc", "chunk"), "doc")
-    by_doc = Window.partitionBy("doc").orderBy("m", "chunk")
-    member = materialise(member.distinct().withColumns({"rank": F.row_number().over(by_hash), "turn": F.row_number().over(by_doc)}).withColumn("c", F.col("doc")))
+    member = materialise(_buckets(member.withColumn("most", F.col("n"))).withColumn("c", F.col("doc")))
     if member.isEmpty() and rest.isEmpty():
         return None
-    sets = materialise(sets_of(_only(documents, member.select(F.col("doc").alias("doc_id")).union(rest.select("doc")).distinct(), "left_semi"), width))
+    ids = member.select(F.col("doc").alias("doc_id")).union(rest.select("doc")).distinct()
+    sets = materialise(sets_of(_only(documents, ids, "left_semi"), width))
     found = materialise(_verified(_pairs(member.where(f"turn <= {FIRST}"), member.where("rank = 1")), sets))
     if not rest.isEmpty():
         rest_pairs = _rest_pairs(rest, documents, width)
         ends = rest_pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         found = materialise(found.union(_verified(rest_pairs, sets_of(_only(documents, ends, "left_semi"), width))))
-    done, centres = 0, SMALL
+    member = materialise(_open(member, components(found)))
+    small = member.where(f"m <= {SMALL}")
+    found = materialise(found.union(_verified(_pairs(small, small), sets)))
+    large = member.where(f"m > {SMALL}").select(F.col("doc").alias("doc_id")).distinct()
+    member = materialise(_buckets(_shared(rarest(sets.join(large, "doc_id", "left_semi")))))
+    done, centres = 0, 1
     while True:
-        labels = components(found)
-        member = member.drop("c").join(labels.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-        bucket = Window.partitionBy("chunk")
-        member = materialise(member.withColumns({"low": F.min("c").over(bucket), "high": F.max("c").over(bucket)}).where(f"low <> high AND (m > {SMALL} OR {done} = 0) AND m > {done}").drop("low", "high"))
+        member = materialise(_open(member.where(f"m > {done} OR {done} = 0"), components(found)))
         if member.isEmpty():
             return found
-        pairs = _pairs(member.where(f"rank > {done} AND rank <= {done + centres}"), member)
+        # members of large buckets bring their sketches, so that only close pairs leave the join
+        sketched = member.join(sets.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+        pairs = _pairs(sketched.where(f"rank > {done} AND rank <= {done + centres}"), sketched)
         found = materialise(found.union(_verified(pairs, sets)))
-        done, centres = done + centres, centres * 4
+        done, centres = done + centres, centres * SMALL
 
 
 def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
