@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, jaccard_join, language_id, packing, quality_classifier, quality_rules, secrets, sharding
+from weftgraph.llm import bpe, html_text, jaccard_join, language_id, nearest, packing, quality_classifier, quality_rules, secrets, sharding
 from weftgraph.llm.common import table
 
 
@@ -44,9 +43,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op9_quality_rules)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op8_nearest_neighbours, op9_quality_rules, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op4_secret_scan": secrets.oracle_sql()}
