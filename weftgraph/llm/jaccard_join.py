@@ -302,3 +302,14 @@ def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     linked = made.join(classes, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return linked.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_each(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents (all columns) without those whose component has a smaller doc_id; of rows with one doc_id, one."""
+    found = materialise(join(documents, width))
+    later = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = _only(documents, later, "left_anti")
+    again = found.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    return _only(kept, again, "left_anti").union(_only(kept, again, "left_semi").dropDuplicates(["doc_id"]))

@@ -156,27 +156,53 @@ def code_lengths(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
+def _choices(trees: Trees, data: np.ndarray, offsets: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text of a block: the number of its language (that after the last for ``und``), its score, and bits a byte."""
+    n = len(offsets) - 1
+    if not trees.languages:
+        return np.zeros(n, int), np.zeros(n), np.zeros(n)
+    bits = code_lengths(trees, data, offsets)
+    least = bits.min(1)
+    best = np.where(letters, bits.argmin(1), len(trees.languages))
+    score = np.where(letters, 1 / np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(1), 0.0)
+    return best, score, least / np.maximum(np.diff(offsets), 1)
+
+
+def with_letters(documents: DataFrame) -> DataFrame:
+    """Adds ``letters``: whether the text has one."""
+    return documents.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+
 def predict(documents: DataFrame, trees: Trees) -> DataFrame:
     """(doc_id, lang_pred, score, bits_per_byte) of every document."""
     shared = documents.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
-        names = np.array([*trees.languages, "und"], dtype=object)
+        names = np.array([*shared.value.languages, "und"], dtype=object)
+        for batch in batches:
+            letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
+            for first, last, data, offsets in kernel.blocks(batch.column("text")):
+                best, score, rate = _choices(shared.value, data, offsets, letters[first:last])
+                columns = [batch.column("doc_id").slice(first, last - first), pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(rate)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "bits_per_byte"])
+
+    return with_letters(documents.select("doc_id", "text")).mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+
+
+def passing(documents: DataFrame, trees: Trees, least_score: float = 0.5) -> DataFrame:
+    """The documents with a language (not ``und``, and of at least that score), with all their columns; no join."""
+    shared = documents.sparkSession.sparkContext.broadcast(trees)
+    columns = documents.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
             for first, last, data, offsets in kernel.blocks(batch.column("text")):
-                best, score, rate = np.full(last - first, len(names) - 1), np.zeros(last - first), np.zeros(last - first)
-                if trees.languages:
-                    bits = code_lengths(trees, data, offsets)
-                    best = np.where(letters[first:last], bits.argmin(1), best)
-                    least = bits.min(1)
-                    score = np.where(letters[first:last], 1 / np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(1), 0.0)
-                    rate = least / np.maximum(np.diff(offsets), 1)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(rate)], ["doc_id", "lang_pred", "score", "bits_per_byte"])
-
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    return documents.select("doc_id", "text", letters).mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+                best, score, _ = _choices(shared.value, data, offsets, letters[first:last])
+                kept = pa.array((best < len(shared.value.languages)) & (score >= least_score))
+                yield batch.slice(first, last - first).select(columns).filter(kept)
+
+    return with_letters(documents).mapInArrow(run, documents.schema)
 
 
 def fit(documents: DataFrame, per_language: int = SAMPLE) -> Trees:

@@ -126,23 +126,39 @@ def metrics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def _verdicts(model: Model, data: np.ndarray, offsets: np.ndarray, threshold: float) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text of a block: the counts, whether the base rules fail, whether it is kept, and its probability."""
+    counts = metrics(data, offsets)
+    failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEATED * counts["n_words"])
+    p = linear.sigmoid(model.slope * linear.decision(linear.word_char_features(data, offsets), model.weights) + model.offset)
+    return counts, failed, ~failed & ((p >= threshold) | (not model.trained)), p
+
+
 def apply(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The counts and the verdict of every document; the model has a fixed size, so it travels by broadcast."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for first, last, data, offsets in kernel.blocks(batch.column("text")):
-                counts = metrics(data, offsets)
-                failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEATED * counts["n_words"])
-                p = linear.sigmoid(model.slope * linear.decision(linear.word_char_features(data, offsets), model.weights) + model.offset)
-                kept = ~failed & ((p >= threshold) | (not model.trained))
+                counts, failed, kept, p = _verdicts(shared.value, data, offsets, threshold)
                 columns = [batch.column("doc_id").slice(first, last - first), *map(pa.array, counts.values()), pa.array(failed), pa.array(kept), pa.array(p)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *counts, "base_failed", "kept", "probability"])
 
     return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def passing(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are kept, with all their columns; no join and no shuffle."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in kernel.blocks(batch.column("text")):
+                yield batch.slice(first, last - first).filter(pa.array(_verdicts(shared.value, data, offsets, threshold)[2]))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def judge(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return apply(documents, fit(documents, labels))

@@ -18,6 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftgraph.llm.common import materialise
+
+#: Blobs with findings that are sent to all executors at most when texts are redacted; with more, texts are shuffled.
+SENT = 100_000
 
 @dataclass(frozen=True)
 class Rule:
@@ -121,7 +125,9 @@ def report(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redacted(documents: DataFrame, mark: str = "[REDACTED]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """documents with every finding, overlapping ones together, replaced by a mark and ``n_chars`` counted anew."""
-    found = by_blob(scan(unseen(documents, None, rules), rules), rules).select("blob", "found")
+    found = materialise(by_blob(scan(unseen(documents, None, rules), rules), rules).select("blob", "found"))
+    if found.count() <= SENT:
+        found = F.broadcast(found)
     text = F.coalesce(F.col("text"), F.lit(""))
     # the end of what is covered so far, and the text built so far; findings come sorted by start
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
