@@ -12,13 +12,12 @@ those are equal. The order puts chunks of frequent shingles (found in a bounded
 and full chunks first. A document with s <= D (never met, but possible) takes part by the smallest quarter of its
 shingles, looked up among all shingles.
 
-**Candidates.** Equal sets are one class from the start. Documents with an equal chunk form a bucket. Only connections
-count, so buckets aren't expanded into pairs: first each document meets one member of a few of its buckets; after that,
-components are known, and only pairs across components remain. Small buckets compare all of these. Members of large
-ones (passages that many documents share) are dealt anew, by the rarest of single shingles, and sizes count only
-what is not a document's alone. What is large even so compares a growing number of members with
-the bucket, until no bucket has members of two components that have not met. Candidates are dropped if the sketch of
-4096 bits already shows too many differences, and the rest verified on the sets.
+**Candidates.** Equal sets are one class from the start. Documents with an equal chunk form a bucket. Small buckets
+compare all members. Large ones (passages that many documents share, groups of near copies) aren't expanded: only
+connections count, so their members are dealt anew by the rarest of single shingles, and one member of each bucket, then
+a growing number, meets those of other components, until no bucket has members of two components that have not met.
+Candidates are dropped if the sketch of 4096 bits shows too many differences, and the rest verified on the sets, which
+are made for the documents of such pairs alone.
 
 Defined cases: documents without words (null and empty texts too) have no shingles and are components of their own;
 fewer words than the width make one shingle; repeated documents are copies; a null doc_id gets a null component and
@@ -44,8 +43,8 @@ CHUNKS = 64
 WORDS = 64
 #: Documents of the sample of frequent shingles, how often these stand there at least, and how many are kept.
 HOT_SAMPLE, HOT_LEAST, HOT_KEPT = 8_000, 4, 50_000
-#: Buckets of at most so many documents are compared in full; buckets in which a document meets a member at first.
-SMALL, FIRST = 12, 4
+#: Buckets of at most so many documents are compared in full.
+SMALL = 12
 #: Ids of copies that are sent to all executors at most; with more, the documents are joined by a shuffle.
 SENT = 2_000_000
 
@@ -205,84 +204,85 @@ def _differing(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links among candidate pairs (a, b), by sketches and then by sets (doc_id, n, shingles, sketch)."""
+def _beside(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with columns of both documents (doc_id, ...)."""
+    for side in ("a", "b"):
+        pairs = pairs.join(of.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs
 
-    def beside(pairs: DataFrame, side: str, *columns: str) -> DataFrame:
-        return pairs.join(sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
 
-    near = beside(beside(pairs, "a", "n", "sketch"), "b", "n", "sketch").where(7 * _differing("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b"))
+def _verified(pairs: DataFrame, documents: DataFrame, width: int, sets: DataFrame | None = None) -> DataFrame:
+    """The links among candidate pairs (a, b), by sketches and then by sets; ``sets`` may have all of these already."""
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    pairs = materialise(pairs)
+    sketches = sets if sets is not None else materialise(sets_of(_only(documents, ends(pairs), "left_semi"), width).select("doc_id", "n", "sketch"))
+    near = _beside(pairs, sketches, "n", "sketch").where(7 * _differing("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b"))
     near = materialise(near.select("a", "b"))
-    both = beside(beside(near, "a", "n", "shingles"), "b", "n", "shingles")
+    sets = sets if sets is not None else materialise(sets_of(_only(documents, ends(near), "left_semi"), width).select("doc_id", "n", "shingles"))
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return both.where(100 * common >= 75 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    both = _beside(near, sets, "n", "shingles")
+    return materialise(both.where(100 * common >= 75 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct())
+
+
+def _small_pairs(buckets: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of members (doc, n) of small buckets whose sizes allow a link."""
+    one = buckets.withColumn("x", F.explode("members")).withColumn("y", F.explode("members"))
+    fits = (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n"))
+    return one.where((F.col("x.doc") < F.col("y.doc")) & fits).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, c) whose sizes allow a link, across components."""
+    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, sketch, c) that may be linked, across components."""
     x, y = left.alias("x"), right.alias("y")
     fits = 7 * F.least("x.most", "y.most") >= 3 * (F.col("x.n") + F.col("y.n"))
-    if "sketch" in left.columns:
-        fits = fits & (7 * _differing("x.sketch", "y.sketch") <= F.col("x.n") + F.col("y.n"))
-    met = x.join(y, (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.c") != F.col("y.c")) & fits)
+    close = 7 * _differing("x.sketch", "y.sketch") <= F.col("x.n") + F.col("y.n")
+    met = x.join(y, (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.c") != F.col("y.c")) & fits & close)
     return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
 def _rest_pairs(rest: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """Candidates of documents that put forward too few chunks: a partner has one of the smallest quarter of their shingles."""
     least = F.explode(F.slice(F.array_sort("shingles"), 1, (F.col("n") / 4).cast("int") + 1)).alias("h")
-    few = sets_of(_only(documents, rest.select(F.col("doc").alias("doc_id")).distinct(), "left_semi"), width).select(F.col("doc_id").alias("x"), least)
+    few = sets_of(_only(documents, rest.distinct(), "left_semi"), width).select(F.col("doc_id").alias("x"), least)
     all_ = sets_of(documents, width).select(F.col("doc_id").alias("y"), F.explode("shingles").alias("h"))
     return few.join(all_, "h").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _buckets(member: DataFrame) -> DataFrame:
-    """Adds the bucket's size, the member's place in it, and the place of the bucket among the member's, smallest first."""
-    by_hash = Window.partitionBy("chunk").orderBy(F.xxhash64("doc", "chunk"), "doc")
-    by_doc = Window.partitionBy("doc").orderBy("m", "chunk")
-    return member.distinct().withColumns({"rank": F.row_number().over(by_hash), "turn": F.row_number().over(by_doc)})
-
-
-def _shared(member: DataFrame) -> DataFrame:
-    return member.withColumn("m", F.count("*").over(Window.partitionBy("chunk"))).where((F.col("m") > 1) | F.col("chunk").isNull())
-
-
-def _open(member: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(member: DataFrame, links: DataFrame) -> DataFrame:
     """Members with their component now, of buckets that have more than one."""
-    now = member.drop("c").join(labels.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
+    now = member.drop("c").join(components(links).withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     bucket = Window.partitionBy("chunk")
     return now.withColumns({"low": F.min("c").over(bucket), "high": F.max("c").over(bucket)}).where("low <> high").drop("low", "high")
 
 
-def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame | None:
-    """Links (a, b) of documents with different sets that connect all that are connected; None if there is no candidate."""
-    hot = frequent(documents, rows, width)
-    member = materialise(_shared(put_forward(documents, hot, width)))
-    rest, member = member.where("chunk IS NULL"), member.where("chunk IS NOT NULL")
-    member = materialise(_buckets(member.withColumn("most", F.col("n"))).withColumn("c", F.col("doc")))
-    if member.isEmpty() and rest.isEmpty():
-        return None
-    ids = member.select(F.col("doc").alias("doc_id")).union(rest.select("doc")).distinct()
-    sets = materialise(sets_of(_only(documents, ids, "left_semi"), width))
-    found = materialise(_verified(_pairs(member.where(f"turn <= {FIRST}"), member.where("rank = 1")), sets))
+def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
+    """Links (a, b) of documents with different sets that connect all that are connected."""
+    member = put_forward(documents, frequent(documents, rows, width), width)
+    size = F.count("*").over(Window.partitionBy("chunk"))
+    # one row for each small bucket, one for each member of a large one, in the same partitions
+    member = member.withColumn("m", size).where((F.col("m") > 1) | F.col("chunk").isNull())
+    alone = F.when((F.col("m") > SMALL) | F.col("chunk").isNull(), F.col("doc")).alias("alone")
+    buckets = materialise(member.groupBy("chunk", alone).agg(F.collect_list(F.struct("doc", "n")).alias("members")))
+    found = _verified(_small_pairs(buckets.where("alone IS NULL")), documents, width)
+    rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
     if not rest.isEmpty():
-        rest_pairs = _rest_pairs(rest, documents, width)
-        ends = rest_pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        found = materialise(found.union(_verified(rest_pairs, sets_of(_only(documents, ends, "left_semi"), width))))
-    member = materialise(_open(member, components(found)))
-    small = member.where(f"m <= {SMALL}")
-    found = materialise(found.union(_verified(_pairs(small, small), sets)))
-    large = member.where(f"m > {SMALL}").select(F.col("doc").alias("doc_id")).distinct()
-    member = materialise(_buckets(_shared(rarest(sets.join(large, "doc_id", "left_semi")))))
+        found = materialise(found.union(_verified(_rest_pairs(rest, documents, width), documents, width)))
+    large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select(F.col("alone").alias("doc_id")).distinct()
+    if large.isEmpty():
+        return found
+    sets = materialise(sets_of(_only(documents, large, "left_semi"), width).dropDuplicates(["doc_id"]))
+    bucket = Window.partitionBy("chunk")
+    member = rarest(sets).withColumns({"m": F.count("*").over(bucket), "rank": F.row_number().over(bucket.orderBy(F.xxhash64("doc", "chunk"), "doc"))})
+    member = materialise(member.where("m > 1"))
     done, centres = 0, 1
     while True:
-        member = materialise(_open(member.where(f"m > {done} OR {done} = 0"), components(found)))
+        member = materialise(_open(member.where(f"m > {done}"), found))
         if member.isEmpty():
             return found
-        # members of large buckets bring their sketches, so that only close pairs leave the join
+        # members bring their sketches, so that only close pairs leave the join
         sketched = member.join(sets.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
         pairs = _pairs(sketched.where(f"rank > {done} AND rank <= {done + centres}"), sketched)
-        found = materialise(found.union(_verified(pairs, sets)))
+        found = materialise(found.union(_verified(pairs, documents, width, sets)))
         done, centres = done + centres, centres * SMALL
 
 
@@ -294,10 +294,7 @@ def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     copies = usable.join(classes.select("doc"), F.col("doc_id") == F.col("doc"), "left_anti").select("doc_id").distinct()
     documents = documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     found = links(_only(documents, copies, "left_anti"), classes.count(), width)
-    if found is not None:
-        classes = classes.join(components(found).withColumnRenamed("v", "doc"), "doc", "left")
-    else:
-        classes = classes.withColumn("c", F.lit(None).cast("long"))
+    classes = classes.join(components(found).withColumnRenamed("v", "doc"), "doc", "left")
     classes = classes.select("n", "d1", "d2", F.coalesce("c", "doc").alias("component_id"))
     linked = made.join(classes, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
