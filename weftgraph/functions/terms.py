@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,32 +38,46 @@ def node_kind(value: Column) -> Column:
     return F.when(value.contains("http"), "uri").otherwise("literal")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is computed once, however often the expression names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def last_segment(uri: Column) -> Column:
     """The last segment of a URI's path, percent-decoded; null for what is no URI (a space, a bar or a ``<`` in it)."""
-    path = F.try_parse_url(uri, F.lit("PATH"))
-    path = F.rtrim(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), F.lit("/"))
-    return F.when(~uri.rlike(r"[ |<]"), F.nullif(F.substring_index(path, "/", -1), F.lit("")))
+    path = F.try_url_decode(F.replace(F.try_parse_url(uri, F.lit("PATH")), F.lit("+"), F.lit("%2B")))
+    return F.nullif(F.regexp_extract(path, "([^/]*)/*$", 1), F.lit(""))
 
 
 def parse_term(uri: Column, valid: tuple[str, ...] = VALID_IDS) -> Column:
     """struct(term, id, number, is_valid) of a URI: exactly two parts around ``_`` (or else ``:``), or all null."""
-    term = last_segment(normalise_uri(uri))
-    separator = F.when(term.contains("_"), "_").when(term.contains(":"), ":")
-    # trailing empty parts don't count
-    parts = F.when(separator == "_", F.split(F.regexp_replace(term, "_+$", ""), "_")).when(separator == ":", F.split(F.regexp_replace(term, ":+$", ""), ":"))
-    good = F.size(parts) == 2
-    part = lambda k: F.when(good, F.get(parts, F.lit(k)))
-    return F.struct(F.when(good, term).alias("term"), part(0).alias("id"), part(1).alias("number"), F.coalesce(good & part(0).isin(*valid), F.lit(False)).alias("is_valid"))
+
+    def parts(term: Column) -> Column:
+        # trailing empty parts don't count
+        found = F.when(term.contains("_"), F.split(F.regexp_replace(term, "_+$", ""), "_")).when(term.contains(":"), F.split(F.regexp_replace(term, ":+$", ""), ":"))
+        return F.struct(term.alias("term"), found.alias("parts"))
+
+    def fields(x: Column) -> Column:
+        part = lambda k: F.when(F.size(x["parts"]) == 2, F.get(x["parts"], F.lit(k)))
+        term = F.when(F.size(x["parts"]) == 2, x["term"])
+        return F.struct(term.alias("term"), part(0).alias("id"), part(1).alias("number"), F.coalesce(part(0).isin(*valid), F.lit(False)).alias("is_valid"))
+
+    return let(let(let(let(uri, normalise_uri), last_segment), parts), fields)
 
 
 def parse_predicate(uri: Column) -> Column:
     """struct(term, curie, label): the label is the fragment, or the term of a ``/dc/`` path, or null (a look-up's)."""
-    uri = normalise_uri(uri)
-    path, fragment = F.try_parse_url(uri, F.lit("PATH")), F.try_parse_url(uri, F.lit("REF"))
-    term = F.substring_index(path, "/", -1)
-    dc = path.contains("/dc/")
-    curie = F.when(fragment.isNotNull(), F.concat(F.replace(term, F.lit("rdf-schema"), F.lit("rdfs")), F.lit(":"), fragment)).when(dc, F.concat(F.lit("dc:"), term)).otherwise(F.replace(term, F.lit("_"), F.lit(":")))
-    return F.struct(term.alias("term"), curie.alias("curie"), F.coalesce(fragment, F.when(dc, term)).alias("label"))
+
+    def split(uri: Column) -> Column:
+        path = F.try_parse_url(uri, F.lit("PATH"))
+        return F.struct(F.substring_index(path, "/", -1).alias("term"), path.contains("/dc/").alias("dc"), F.try_parse_url(uri, F.lit("REF")).alias("fragment"))
+
+    def fields(x: Column) -> Column:
+        term, dc, fragment = x["term"], x["dc"], x["fragment"]
+        curie = F.when(fragment.isNotNull(), F.concat(F.replace(term, F.lit("rdf-schema"), F.lit("rdfs")), F.lit(":"), fragment)).when(dc, F.concat(F.lit("dc:"), term)).otherwise(F.replace(term, F.lit("_"), F.lit(":")))
+        return F.struct(term.alias("term"), curie.alias("curie"), F.coalesce(fragment, F.when(dc, term)).alias("label"))
+
+    return let(let(let(uri, normalise_uri), split), fields)
 
 
 def edge_label(label: Column) -> Column:

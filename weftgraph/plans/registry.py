@@ -6,6 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 FLAGSHIP = "induced_subgraph"
+
+
+def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(query: Query) -> Query:
+        QUERIES[name] = query
+        if sql is not None:
+            ORACLES[name] = sql
+        return query
+
+    return add
