@@ -7,17 +7,17 @@ second sketch, in which each shingle toggles one of 4096 bits, bounds the differ
 
 **Pigeonhole.** P depends on the size band of the smaller set alone (bands double; a document also stands in the band
 below if partners may lie there). At most D chunks differ. Of the s chunks of a document that are not zero, all but D
-agree with its partner's; so if both sides put forward their first D + 1 non-zero chunks in one common order, two of
-those are equal. The order puts chunks of frequent shingles (found in a bounded sample; it only steers the order) last
-and full chunks first. A document with s <= D (never met, but possible) takes part by the smallest quarter of its
-shingles, looked up among all shingles.
+agree with its partner's; so if both sides put forward their first D + K chunks in one common order, K of those are
+equal. K is 1 for sets of up to ``PLAIN`` shingles and a ``SPARE``-th of the set for larger ones. The order puts chunks of
+frequent shingles (found in a bounded sample; it only steers the order) last. A document with s < D + K (never met, but
+possible) takes part by the smallest quarter of its shingles, looked up among all shingles.
 
 **Candidates.** Equal sets are one class from the start. Documents with an equal chunk form a bucket. Small buckets
-compare all members. Large ones (passages that many documents share, groups of near copies) aren't expanded: only
-connections count, so their members are dealt anew by the rarest of single shingles, and one member of each bucket, then
-a growing number, meets those of other components, until no bucket has members of two components that have not met.
-Candidates are dropped if the sketch of 4096 bits shows too many differences, and the rest verified on the sets, which
-are made for the documents of such pairs alone.
+compare all members. A link that no small bucket shows needs K equal chunks in large buckets (passages that many
+documents share, groups of near copies); documents with so many are dealt anew by the rarest of single shingles. Only
+connections count: one member of each bucket meets the others, and then members of different components that are left
+meet, with the sketches in the join's condition. Candidates are dropped if the sketch of 4096 bits shows too many
+differences, and the rest verified on the sets, which are made for the documents of such pairs alone.
 
 Defined cases: documents without words (null and empty texts too) have no shingles and are components of their own;
 fewer words than the width make one shingle; repeated documents are copies; a null doc_id gets a null component and
@@ -41,6 +41,8 @@ WIDTH = 5
 #: Smallest number of chunks, and the words of the sketch that candidates are compared by.
 CHUNKS = 64
 WORDS = 64
+#: Sets up to this size put forward one chunk more than may differ; larger ones a part of their size more.
+PLAIN, SPARE = 96, 12
 #: Documents of the sample of frequent shingles, how often these stand there at least, and how many are kept.
 HOT_SAMPLE, HOT_LEAST, HOT_KEPT = 8_000, 4, 50_000
 #: Buckets of at most so many documents are compared in full.
@@ -76,17 +78,18 @@ def digests(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def sets_of(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, shingles, sketch) of documents."""
+    """(doc_id, n, shingles, sketch, fold) of documents; fold is the sketch at a quarter of the length, for a first look."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, offsets in kernel.blocks(batch.column("text")):
                 sets = kernel.shingle_sets(data, offsets, width)
                 sketches = [_sketch(x) for x in sets]
+                folds = [np.bitwise_xor.reduce(x.reshape(4, -1)) for x in sketches]
                 n = pa.array([len(x) for x in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), n, kernel.text_of(sets), kernel.text_of(sketches)], ["doc_id", "n", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), n, kernel.text_of(sets), kernel.text_of(sketches), kernel.text_of(folds)], ["doc_id", "n", "shingles", "sketch", "fold"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, shingles array<long>, sketch array<long>")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, shingles array<long>, sketch array<long>, fold array<long>")
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -133,7 +136,7 @@ def chunks(flat: np.ndarray, n: np.ndarray, hot: Levels) -> tuple[np.ndarray, np
         (own, most_differences(n, 4 * n // 3), n >= 3),
         (below, most_differences(n, n), (n >= 3) & (_band(low) < own)),
     ):
-        need = np.where(member, most + 1, 0)
+        need = np.where(member, most + np.where(n > PLAIN, n // SPARE, 1), 0)
         keep = member[of]
         h, doc = flat[keep], of[keep]
         p = (h >> np.uint64(32)).astype(np.int64) % many[doc]
@@ -232,11 +235,11 @@ def _small_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, sketch, c) that may be linked, across components."""
+    """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, sketch, fold, c) that may be linked, across components."""
     x, y = left.alias("x"), right.alias("y")
     fits = 7 * F.least("x.most", "y.most") >= 3 * (F.col("x.n") + F.col("y.n"))
-    close = 7 * _differing("x.sketch", "y.sketch") <= F.col("x.n") + F.col("y.n")
-    met = x.join(y, (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.c") != F.col("y.c")) & fits & close)
+    close = lambda sketch: 7 * _differing(f"x.{sketch}", f"y.{sketch}") <= F.col("x.n") + F.col("y.n")
+    met = x.join(y, (F.col("x.chunk") == F.col("y.chunk")) & (F.col("x.c") != F.col("y.c")) & fits & close("fold") & close("sketch"))
     return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
@@ -267,23 +270,23 @@ def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
     rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
     if not rest.isEmpty():
         found = materialise(found.union(_verified(_rest_pairs(rest, documents, width), documents, width)))
-    large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select(F.col("alone").alias("doc_id")).distinct()
+    large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select(F.explode("members").alias("x")).select("x.*")
+    # a partner of a larger set puts forward at least three quarters as many chunks to spare as this one
+    enough = F.when(F.col("n") > PLAIN * 4 // 3, F.floor(F.col("n") * 3 / 4 / SPARE)).otherwise(1)
+    large = materialise(large.groupBy("doc", "n").agg(F.count("*").alias("many")).where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")).distinct())
     if large.isEmpty():
         return found
     sets = materialise(sets_of(_only(documents, large, "left_semi"), width).dropDuplicates(["doc_id"]))
     bucket = Window.partitionBy("chunk")
     member = rarest(sets).withColumns({"m": F.count("*").over(bucket), "rank": F.row_number().over(bucket.orderBy(F.xxhash64("doc", "chunk"), "doc"))})
     member = materialise(member.where("m > 1"))
-    done, centres = 0, 1
-    while True:
-        member = materialise(_open(member.where(f"m > {done}"), found))
-        if member.isEmpty():
-            return found
+    for met in ("rank = 1", "rank > 1"):
+        member = materialise(_open(member, found))
         # members bring their sketches, so that only close pairs leave the join
-        sketched = member.join(sets.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-        pairs = _pairs(sketched.where(f"rank > {done} AND rank <= {done + centres}"), sketched)
+        sketched = member.join(sets.select(F.col("doc_id").alias("doc"), "sketch", "fold"), "doc")
+        pairs = _pairs(sketched.where(met), sketched)
         found = materialise(found.union(_verified(pairs, documents, width, sets)))
-        done, centres = done + centres, centres * SMALL
+    return found
 
 
 def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
