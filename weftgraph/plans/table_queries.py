@@ -297,7 +297,7 @@ def gene_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tuples(T.gene_tuples(rows))
 
 
-@register("search_char_ngrams", "WITH t AS (SELECT p_partkey, p_name, k, unnest(range(1, greatest(length(p_name) - k + 2, 1))) AS i FROM part, (SELECT unnest([3, 4]) AS k)), u AS (SELECT p_partkey, substr(p_name, i, k) AS token, i - 1 AS at FROM t UNION ALL SELECT p_partkey, p_name, 0 FROM part WHERE length(p_name) NOT BETWEEN 3 AND 4) SELECT CAST(p_partkey AS VARCHAR) AS key, token, count(*) AS freq, CAST(min(at) AS INTEGER) AS first FROM u GROUP BY ALL")
+@register("search_char_ngrams", "WITH t AS (SELECT p_partkey, p_name, k, unnest(range(1, greatest(length(p_name) - k + 2, 1))) AS i FROM part, (SELECT unnest([3, 4]) AS k)), u AS (SELECT p_partkey, substr(p_name, i, k) AS token, i - 1 AS pos FROM t UNION ALL SELECT p_partkey, p_name, 0 FROM part WHERE length(p_name) NOT BETWEEN 3 AND 4) SELECT CAST(p_partkey AS VARCHAR) AS key, token, count(*) AS freq, CAST(min(pos) AS INTEGER) AS first FROM u GROUP BY ALL")
 def search_char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = D.table(spark, sf_dir, "part").select(F.lit("PART").alias("collection"), F.col("p_partkey").cast("string").alias("key"), F.lit("label").alias("field"), F.col("p_name").alias("text"))
     return S.char_ngrams(fields).select("key", "token", "freq", "first")
@@ -305,9 +305,9 @@ def search_char_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "search_word_prefixes",
-    """WITH w AS (SELECT doc_id, unnest(string_split(w, ' ')) AS word, unnest(range(0, len(string_split(w, ' ')))) AS at FROM (SELECT doc_id, trim(regexp_replace(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\\pL\\pN]+', ' ', 'g')) AS w FROM documents)),
-    t AS (SELECT doc_id, at, word, unnest(list_distinct(list_concat(CASE WHEN length(word) >= 3 THEN range(3, least(length(word), 12) + 1) ELSE [] END, [length(word)]))) AS k FROM w WHERE word <> '')
-    SELECT CAST(doc_id AS VARCHAR) AS key, substr(word, 1, k) AS token, count(*) AS freq, CAST(min(at) AS INTEGER) AS first FROM t GROUP BY ALL""",
+    """WITH w AS (SELECT doc_id, unnest(string_split(w, ' ')) AS word, unnest(range(0, len(string_split(w, ' ')))) AS pos FROM (SELECT doc_id, trim(regexp_replace(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\\pL\\pN]+', ' ', 'g')) AS w FROM documents)),
+    t AS (SELECT doc_id, pos, word, unnest(list_distinct(list_concat(CASE WHEN length(word) >= 3 THEN range(3, least(length(word), 12) + 1) ELSE [] END, [length(word)]))) AS k FROM w WHERE word <> '')
+    SELECT CAST(doc_id AS VARCHAR) AS key, substr(word, 1, k) AS token, count(*) AS freq, CAST(min(pos) AS INTEGER) AS first FROM t GROUP BY ALL""",
 )
 def search_word_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = D.table(spark, sf_dir, "documents").select(F.lit("DOC").alias("collection"), F.col("doc_id").cast("string").alias("key"), F.lit("text").alias("field"), "text")
