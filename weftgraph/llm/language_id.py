@@ -2,8 +2,8 @@
 
 Each language has a tree of contexts of up to ``ORDER`` bytes with the counts of the bytes that followed, gathered once
 from a bounded sample of training documents and then frozen. A byte costs the exact length of its code under the tree:
-from the longest known context downwards, either the byte's share there or an escape (method C: as many escapes counted
-as distinct bytes seen) and a shorter context, down to equal chances for all 256 bytes. A text's language is the one
+from the longest known context downwards, the byte's share there and the share of an escape (method C: as many escapes
+counted as distinct bytes seen) times its chance in the shorter context, down to equal chances for all 256 bytes. A text's language is the one
 with the shortest code; its score is that language's share when code lengths are read as likelihoods.
 
 The trees of all languages share one numbering of contexts. Frozen, they are two tables: from the last three bytes to
@@ -81,10 +81,12 @@ def window_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def freeze(counts) -> Trees:
     """The two tables, from a pandas frame (lang, key, n) of bounded size."""
+    if not len(counts):
+        return Trees([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
     languages = sorted(counts["lang"].unique())
     key, n = counts["key"].to_numpy(np.int64), counts["n"].to_numpy(np.float64)
-    which = np.searchsorted(languages, counts["lang"].to_numpy()) if len(key) else np.zeros(0, int)
-    seen = np.unique(np.concatenate([key >> s & 255 for s in (0, 8, 16, 24)])) if len(key) else np.zeros(0, np.int64)
+    which = np.searchsorted(languages, counts["lang"].to_numpy())
+    seen = np.unique(np.concatenate([key >> s & 255 for s in (0, 8, 16, 24)]))
     size = len(seen) + 1
     symbol = np.full(256, size - 1, np.int64)
     symbol[seen] = np.arange(len(seen))
