@@ -9,30 +9,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weftgraph.llm import jaccard_join, language_id, packing, quality_rules, secrets
-from weftgraph.llm.common import materialise, table
+from weftgraph.llm.common import materialise, prepared, table
 from weftgraph.llm.entry import vocabulary_path
 
 
+@prepared
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the model fitted on the labelled ones among them."""
     return quality_rules.passing(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
 
 
+@prepared
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told."""
     return language_id.passing(docs, language_id.fit(docs))
 
 
+@prepared
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates, the document with the smallest doc_id."""
     return jaccard_join.one_each(docs)
 
 
+@prepared
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark and n_chars counted anew."""
     return secrets.redacted(docs)
 
 
+@prepared
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences."""
     return packing.best_fit(docs, vocabulary_path())

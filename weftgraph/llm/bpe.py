@@ -26,9 +26,9 @@ from weftgraph.llm import kernel
 
 #: Bytes of a pre-token that are merged at once, besides the look-ahead; pre-tokens kept in the memo.
 WINDOW = 256
-MEMO = 300_000
+MEMO = 200_000
 CHUNK = 1 << 16
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _NONE = np.int32(2**31 - 1)
 
 

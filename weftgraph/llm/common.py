@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.plans.shipping import ship
+
+#: Rows of an Arrow batch, where the session has Spark's default: whole texts are long, and workers small.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepared(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage (spark, ...) whose session has the package on its workers and small Arrow batches."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args: object) -> DataFrame:
+        ship(spark)
+        if spark.conf.get(_BATCH, "10000") == "10000":
+            spark.conf.set(_BATCH, BATCH_ROWS)
+        return query(spark, *args)
+
+    return run
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from weftgraph.llm import bpe, html_text, jaccard_join, language_id, nearest, packing, quality_classifier, quality_rules, secrets, sharding
-from weftgraph.llm.common import table
+from weftgraph.llm.common import prepared, table
 
 
 def vocabulary_path() -> str:
@@ -55,5 +55,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op8_nearest_neighbours, op9_quality_rules, op10_html_extraction)}
+QUERIES = {f.__name__: prepared(f) for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scan, op5_bpe_round_trip, op6_language_id, op7_sharding, op8_nearest_neighbours, op9_quality_rules, op10_html_extraction)}
 ORACLES: dict[str, str] = {"op4_secret_scan": secrets.oracle_sql()}

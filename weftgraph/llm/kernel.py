@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -37,7 +37,7 @@ _TABLES: list[tuple[np.ndarray, np.ndarray]] = []
 
 def tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLES or len(_TABLES[0][0]) < n:
-        _TABLES[:] = [_powers(max(n, BLOCK * 2))]
+        _TABLES[:] = [_powers(max(n, BLOCK + 4096))]
     return _TABLES[0]
 
 
