@@ -140,3 +140,23 @@ def part_of_tuples(structures: DataFrame) -> DataFrame:
     each = structures.withColumn("whole", F.explode("part_of")).where(F.col("id").contains("UBERON") & F.col("whole").contains("UBERON"))
     s = curie_term(F.col("id"))
     return emit(each, [*annotations(s, {"Label": F.col("label")}), *association("AnatomicalStructurePartOfAnatomicalStructure", s, curie_term(F.col("whole")), "HuBMAP")], "id")
+
+
+def cell_type_part_of_tuples(cell_types: DataFrame, known: DataFrame) -> DataFrame:
+    """Cell types (id, located_in array) that mappings know (id), to part-of tuples; ids of other ontologies are left out."""
+    each = cell_types.join(known.select("id").distinct(), "id", "left_semi").withColumn("whole", F.explode("located_in"))
+    each = each.where(F.col("id").startswith("CL:") & F.col("whole").contains("UBERON"))
+    return emit(each, association("AnatomicalStructurePartOfAnatomicalStructure", curie_term(F.col("id")), curie_term(F.col("whole")), "HuBMAP"), "id")
+
+
+def publication_record(tuples: DataFrame, fields: tuple[str, ...] = ("Author", "Title", "Year", "Journal")) -> DataFrame:
+    """(s, fields): of each subject the last value of each annotation named so."""
+    field = F.substring_index("p", "#", -1)
+    each = tuples.withColumn("field", field).where(F.col("field").isin(*fields))
+    return each.groupBy("s").pivot("field", list(fields)).agg(F.max_by("o", "seq"))
+
+
+def realised(rows: DataFrame, required: dict[str, Column]) -> DataFrame:
+    """Adds ``status``: Created, or Partial or Failed where some or all of the required fields are missing."""
+    missing = sum((c.isNull().cast("int") for c in required.values()), F.lit(0))
+    return rows.withColumn("status", F.when(missing == 0, "Created").when(missing < len(required), "Partial").otherwise("Failed"))

@@ -34,7 +34,12 @@ def _xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
 
 def ontology_classes(spark: SparkSession, path: str) -> DataFrame:
     """One row per named class: file, about, labels, parents, restrictions (property, filler), deprecated, xrefs."""
-    rows = _xml(spark, path, "owl:Class", CLASS_SCHEMA).where("`_rdf:about` IS NOT NULL")
+    return classes_of(_xml(spark, path, "owl:Class", CLASS_SCHEMA))
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """The classes of parsed rows of ``CLASS_SCHEMA`` and their file."""
+    rows = rows.where("`_rdf:about` IS NOT NULL")
     values = lambda c: F.coalesce(F.transform(F.col(f"`{c}`"), lambda x: x["_VALUE"]), F.array().cast("array<string>"))
     none = F.array().cast("array<string>")
     parents = F.coalesce(F.array_compact(F.transform("`rdfs:subClassOf`", lambda x: x["_rdf:resource"])), none)
