@@ -190,9 +190,9 @@ def rarest(sets: DataFrame) -> DataFrame:
     ``most`` counts a set's shingles that other sets have: no partner has more in common. A link needs three quarters of
     the set, so the others and one more must include a shingle in common; sets with fewer such shingles link nothing.
     """
-    each = sets.select(F.col("doc_id").alias("doc"), "n", F.explode("shingles").alias("chunk")).distinct()
-    known = each.groupBy("chunk").agg(F.count("*").alias("df")).where("df > 1")
-    each = each.join(known, "chunk").withColumn("most", F.count("*").over(Window.partitionBy("doc")))
+    each = sets.select(F.col("doc_id").alias("doc"), "n", F.explode("shingles").alias("chunk"))
+    each = each.withColumn("df", F.count("*").over(Window.partitionBy("chunk"))).where("df > 1")
+    each = each.withColumn("most", F.count("*").over(Window.partitionBy("doc")))
     each = each.where("4 * most >= 3 * n").withColumn("nth", F.row_number().over(Window.partitionBy("doc").orderBy("df", "chunk")))
     return each.where(F.col("nth") <= F.col("most") - F.ceil(F.col("n") * 3 / 4) + 1).select("chunk", "doc", F.col("n").cast("int"), F.col("most").cast("int"))
 
@@ -276,7 +276,9 @@ def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
     large = materialise(large.groupBy("doc", "n").agg(F.count("*").alias("many")).where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")).distinct())
     if large.isEmpty():
         return found
-    sets = materialise(sets_of(_only(documents, large, "left_semi"), width).dropDuplicates(["doc_id"]))
+    sets = materialise(sets_of(_only(documents, large, "left_semi"), width))
+    if sets.count() > large.count():  # rows with one doc_id
+        sets = materialise(sets.dropDuplicates(["doc_id"]))
     bucket = Window.partitionBy("chunk")
     member = rarest(sets).withColumns({"m": F.count("*").over(bucket), "rank": F.row_number().over(bucket.orderBy(F.xxhash64("doc", "chunk"), "doc"))})
     member = materialise(member.where("m > 1"))
