@@ -316,6 +316,23 @@ def test_nearest(spark):
     assert nearest.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_nearest_with_many_lists(spark, monkeypatch):
+    """Recall where lists are many more than ``MOST``, over directions that hardly differ in variance."""
+    monkeypatch.setattr(nearest, "LIST", 16)
+    n = 12_000
+    v = np.random.default_rng(6).normal(size=(n, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert n // nearest.LIST > 10 * nearest.MOST
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    found = nearest.search(rows).toPandas()
+    hit = 0
+    for q, part in found.groupby("query_id"):
+        d = np.sqrt(((v - v[q]) ** 2).sum(1))
+        hit += len(set(np.argsort(d, kind="stable")[1:11]) & set(part.vec_id))
+    assert found.query_id.nunique() == 120
+    assert hit >= 0.9 * 1200
+
+
 def test_html(spark):
     page = """<html><head><title>x</title><style>p{}</style></head><body><header>Site</header><nav><a href="/">Home</a></nav><div class="cookie-notice">We use cookies on this page and all others here.</div>
     <article><h1>A  title</h1><p>First &amp; second&nbsp;part<br>third.</p><p>Of.</p><script>var a = "</p><p>no";</script><div class="comments"><p>Nice article, thank you very much for it.</p></div><p>Last <b>bold</b> &#233;</p></article>

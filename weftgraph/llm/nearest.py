@@ -2,9 +2,9 @@
 
 Centroids come from repeated halving of the largest cluster of a bounded sample, so lists are balanced; they and the
 graph of their nearest neighbours have a bounded size and travel by broadcast. Every vector is put on the list of its
-nearest centroid and, near a boundary, on those of other centroids that are almost as near. A query walks the graph to
-its nearest centroids, and takes the lists whose distance is within a ratio of the nearest one's, at least ``LEAST`` of
-them and enough to fill its answer. Lists are cut into parts of bounded size, so one list (many equal vectors) is spread
+nearest centroid and, near a boundary, on those of other centroids that are almost as near; the graph is walked to find them. A query ranks all
+centroids exactly, and takes the lists whose distance is within a ratio of the nearest one's, at least ``LEAST`` of them,
+enough to fill its answer, and at most a fixed share of all lists, so that recall doesn't fall as lists become more. Lists are cut into parts of bounded size, so one list (many equal vectors) is spread
 over tasks; each part gives a query its best candidates, with exact distances in double precision.
 
 Defined cases: vectors that are null, of zero length, all zero, or hold null or non-finite components take no part, nor
@@ -33,8 +33,10 @@ MAX_LISTS = 2048
 DEGREE, POOL = 16, 64
 #: Lists of a vector at most, and how much farther than the nearest they may be.
 COPIES, NEAR = 4, 1.10
-#: Lists of a query at least and at most, how much farther they may be, and vectors on them at least.
-LEAST, MOST, REACH, FILL = 12, 40, 1.25, 64
+#: Lists of a query at least, how much farther they may be, and vectors on them at least.
+LEAST, REACH, FILL = 12, 1.5, 64
+#: Lists of a query at most: the share of all lists, where that is more than the number.
+MOST, SHARE = 40, 1 / 8
 PART = 2048
 
 
@@ -128,6 +130,18 @@ def walk(index: Index, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.take_along_axis(nodes, order, 1), np.take_along_axis(dist, order, 1)
 
 
+def probes(index: Index, filled: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list): of each query, the lists it takes; ``filled`` has the number of vectors on each list."""
+    lists = len(index.centroids)
+    dist = _distances(vectors, index.centroids)
+    nodes = np.argsort(dist, axis=1, kind="stable")
+    dist = np.take_along_axis(dist, nodes, 1)
+    before = np.cumsum(filled[nodes], 1) - filled[nodes]
+    place = np.arange(lists)
+    row, place = np.nonzero((place < LEAST) | (before < FILL) | (dist <= REACH * dist[:, :1]) & (place < max(MOST, SHARE * lists)))
+    return row, nodes[row, place]
+
+
 def search(embeddings: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): of each vector whose id is divisible by ``every``, its k nearest others found."""
     spark = embeddings.sparkSession
@@ -159,15 +173,11 @@ def search(embeddings: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                some = batch.slice(i, 1024)
-                nodes, dist = walk(shared.value, some.column("v").flatten().to_numpy().reshape(some.num_rows, -1))
-                before = np.cumsum(filled.value[nodes], 1) - filled.value[nodes]
-                place = np.arange(nodes.shape[1])
-                ok = np.isfinite(dist) & ((place < LEAST) | (before < FILL) | (dist <= REACH * dist[:, :1]) & (place < MOST))
-                row, place = np.nonzero(ok)
-                many = parts.value[nodes[row, place]]
-                row, node = np.repeat(row, many), np.repeat(nodes[row, place], many)
+            for i in range(0, batch.num_rows, 256):
+                some = batch.slice(i, 256)
+                row, node = probes(shared.value, filled.value, some.column("v").flatten().to_numpy().reshape(some.num_rows, -1))
+                many = parts.value[node]
+                row, node = np.repeat(row, many), np.repeat(node, many)
                 part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(part), some.column("vec_id").take(take), some.column("v").take(take)], ["list", "part", "query_id", "q"])
