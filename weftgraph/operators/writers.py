@@ -15,6 +15,8 @@ from weftgraph.functions.terms import PURL
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 MIN_CLUSTER_SIZE = 10
 VALID_PHASES = ("PHASE_3", "APPROVAL")
+# fixed values: attributes of the edge from a cell set to its markers, by column
+MARKER_EDGE = {"precision": "Precision", "TN": "TN", "TP": "TP", "FN": "FN", "FP": "FP", "marker_count": "Marker_count"}
 # fixed values: associations and their predicates
 PREDICATES = {
     "CellSetDatasetIsAboutAnatomicalStructure": "IAO_0000136",
@@ -86,7 +88,11 @@ def emit(rows: DataFrame, tuples: list[Column], *keys: str) -> DataFrame:
 
 
 def marker_tuples(clusters: DataFrame) -> DataFrame:
-    """Clusters (cluster, size, uuid, f_score, markers array, dataset, uberon) of enough cells to tuples."""
+    """Clusters (cluster, size, uuid, f_score, markers array, dataset, uberon) of enough cells to tuples.
+
+    Columns that may be absent: binary_genes array (genes of the binary gene set, which are then those expressed, instead of
+    the markers), citation (of the dataset), the columns of ``MARKER_EDGE``; ``about`` (boolean) asks for what datasets are about.
+    """
     big = clusters.where(F.col("size") >= MIN_CLUSTER_SIZE)
     cell_set, combination = term("CS", F.col("cluster"), F.col("uuid")), term("BMC", F.col("uuid"))
     dataset = term("CSD", F.col("dataset"))
@@ -96,10 +102,28 @@ def marker_tuples(clusters: DataFrame) -> DataFrame:
         *association("CellSetHasCharacterizingMarkerSetBiomarkerCombination", cell_set, combination, "NSForest", {"F_beta_confidence_score": F.col("f_score")}),
         *association("CellSetMemberOfCellSetDataset", cell_set, dataset, "NSForest"),
     ]
+    has = set(clusters.columns)
+    edge = {attr: F.col(c) for c, attr in MARKER_EDGE.items() if c in has}
+    if edge:
+        marked = predicate("CellSetHasCharacterizingMarkerSetBiomarkerCombination")
+        edge_tuples = [quintuple(cell_set, marked, combination, attr, value) for attr, value in edge.items()]
+        once += [*edge_tuples, quintuple(cell_set, marked, combination, "source_algorithm", F.lit("NSForest-v4.0_dev"))]
+    if "about" in has:
+        anatomy = F.when(F.col("about"), curie_term(F.col("uberon")))
+        once += association("CellSetDatasetIsAboutAnatomicalStructure", dataset, anatomy, "NSForest")
+    if "citation" in has:
+        once += annotations(dataset, {"Citation": F.col("citation")})
     gene = term("GS", F.col("gene"))
-    each = [*association("GenePartOfBiomarkerCombination", gene, combination, "NSForest"), *association("CellSetExpressesGene", cell_set, gene, "NSForest")]
+    part = association("GenePartOfBiomarkerCombination", gene, combination, "NSForest")
+    expressed = association("CellSetExpressesGene", cell_set, gene, "NSForest")
     genes = big.withColumn("gene", F.explode("markers"))
-    return emit(big, once, "cluster").unionByName(emit(genes, each, "cluster"))
+    if "binary_genes" not in has:
+        return emit(big, once, "cluster").unionByName(emit(genes, part + expressed, "cluster"))
+    binary = term("BGS", F.col("uuid"))
+    once += association("CellSetExpressesBinaryGeneSet", cell_set, binary, "NSForest")
+    once += association("BiomarkerCombinationSubclusterOfBinaryGeneSet", combination, binary, "NSForest")
+    binary_genes = big.withColumn("gene", F.explode("binary_genes"))
+    return emit(big, once, "cluster").unionByName(emit(genes, part, "cluster")).unionByName(emit(binary_genes, expressed, "cluster"))
 
 
 def mapping_tuples(mappings: DataFrame) -> DataFrame:
@@ -115,7 +139,11 @@ def mapping_tuples(mappings: DataFrame) -> DataFrame:
 
 
 def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """Targets (gene, protein, diseases array<struct<id,name,score>>, drugs array<struct<id,name,phase,withdrawn,trials array<string>>>) to tuples."""
+    """Targets (gene, protein, diseases array<struct<id,name,score>>, drugs array<struct<id,name,phase,withdrawn,trials array<string>>>) to tuples.
+
+    What may be absent: ``indications`` array<struct<id,name,stage,trials array<string>>> in a drug, and a column
+    ``pharmacogenetics`` array<struct<rs,consequence,consequence_label,drugs array<struct<id,name>>>>.
+    """
     gene = term("GS", F.col("gene"))
     disease = targets.withColumn("d", F.explode("diseases")).where(F.col("d.score") >= least_score)
     of_disease = term("MONDO", F.col("d.id"))
@@ -125,7 +153,30 @@ def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
     drugs = emit(drug, [*annotations(of_drug, {"Name": F.col("d.name")}), *association("DrugMolecularlyInteractsWithProtein", of_drug, term("PR", F.col("protein")), "Open Targets")], "gene")
     trial = drug.withColumn("trial", F.explode("d.trials")).where(F.lower("trial").contains("nct"))
     trials = emit(trial, association("DrugEvaluatedInClinicalTrial", of_drug, term("NCT", F.regexp_replace(F.upper("trial"), "^NCT_?", "")), "Open Targets"), "gene")
-    return diseases.unionByName(drugs).unionByName(trials)
+    out = diseases.unionByName(drugs).unionByName(trials)
+    if "indications" in targets.schema["drugs"].dataType.elementType.names:
+        treated = drug.withColumn("i", F.explode("d.indications")).where(F.col("i.stage").isin(*VALID_PHASES) & F.col("i.id").isNotNull())
+        of_treated = term("MONDO", F.col("i.id"))
+        treats = [*annotations(of_treated, {"Name": F.col("i.name")}), *association("DrugIsSubstanceThatTreatsDisease", of_drug, of_treated, "Open Targets")]
+        report = treated.withColumn("trial", F.explode("i.trials")).where(F.lower("trial").contains("nct"))
+        of_trial = term("NCT", F.regexp_replace(F.upper("trial"), "^NCT_?", ""))
+        out = out.unionByName(emit(treated, treats, "gene")).unionByName(emit(report, association("DrugEvaluatedInClinicalTrial", of_drug, of_trial, "Open Targets"), "gene"))
+    if "pharmacogenetics" in targets.columns:
+        found = targets.withColumn("m", F.explode("pharmacogenetics")).where(F.col("m.rs").isNotNull())
+        mutation = F.concat(F.lit(PURL), F.replace(F.col("m.rs"), F.lit("rs"), F.lit("RS_")))
+        consequence = F.concat(F.lit(PURL), F.when(F.col("m.consequence") != "", F.col("m.consequence")))
+        label = F.when(consequence.isNotNull() & (F.col("m.consequence_label") != ""), F.col("m.consequence_label"))
+        mutations = [
+            *association("GeneHasQualityMutation", gene, mutation, "Open Targets"),
+            *association("MutationInvolvedInVariantConsequence", mutation, consequence, "Open Targets"),
+            *annotations(consequence, {"Variant_consequence_label": label}),
+        ]
+        affected = found.withColumn("d", F.explode("m.drugs")).where(F.col("d.id").isNotNull())
+        of_affected = term("CHEMBL", F.replace(F.col("d.id"), F.lit("CHEMBL"), F.lit("")))
+        name = F.coalesce(F.col("d.name"), F.col("d.id"))
+        effects = [*annotations(of_affected, {"Name": name}), *association("MutationHasPharmacologicalEffectDrug", mutation, of_affected, "Open Targets")]
+        out = out.unionByName(emit(found, mutations, "gene")).unionByName(emit(affected, effects, "gene"))
+    return out
 
 
 def gene_tuples(genes: DataFrame) -> DataFrame:
