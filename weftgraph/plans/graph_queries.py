@@ -286,3 +286,36 @@ def tuple_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 2, 5).when(kind == 3, 4).otherwise(3).alias("arity"),
     )
     return B.validate(made).where("problem IS NOT NULL").groupBy("l_orderkey", "l_linenumber", "problem").agg(F.count("*").alias("n"))
+
+
+# The whole walks, from all vertices of a collection and with the operator's own depth; they have no SQL (recursive SQL repeats
+# a vertex at each depth), tests compare them with brute force.
+
+
+@register("breadth_first_search_whole")
+def breadth_first_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", **WALK_ARGS)[0]
+
+
+@register("induced_subgraph_whole")
+def induced_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", **WALK_ARGS)[1])
+
+
+@register("enriched_subgraph_whole")
+def enriched_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, e = vertices(spark, sf_dir), edges(spark, sf_dir)
+    return G.enrich(v, e, *G.find(v, e, "SUPP", **WALK_ARGS), RULES)[0]
+
+
+@register("ancestor_walk_whole")
+def ancestor_walk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = G.ids_of(vertices(spark, sf_dir), "PART")
+    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)[1])
+
+
+@register("longest_chains_whole")
+def longest_chains_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = G.ids_of(vertices(spark, sf_dir), "PART")
+    chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)
+    return chains.select("start", F.array_join("chain", " ").alias("chain"))

@@ -115,3 +115,10 @@ def legacy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = F.concat(F.when(F.col("p_partkey") % 4 == 0, F.lit(P + "GOREL_")).otherwise(F.lit(P + "PART_")), "p_partkey")
     t = terms.legacy_term(uri)
     return D.table(spark, sf_dir, "part").select("p_partkey", t["id"].alias("id"), t["number"].alias("number"))
+
+
+@register("ancestor_edges_whole")
+def ancestor_edges_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``ancestor_edges_by_prefix``, from every turn."""
+    starts = G.ids_of(vertices(spark, sf_dir), "TURN")
+    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir), {"TURN": ("walk", "PART_OF")}), starts)[1])
