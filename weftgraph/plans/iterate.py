@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a new one where that is unset (local runs)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or a new one where that is unset and the run local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="weftgraph-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -23,14 +26,28 @@ def step(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/weftgraph-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.step_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the tables of steps whose rows no later job reads."""
+    for frame in frames:
+        path = getattr(frame, "step_path", None)
+        if path is not None:
+            spark = frame.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(v, c): of each end of a link (a, b), the smallest vertex reachable from it.
 
     Labels start as the smallest neighbour and go down by neighbours' labels and by the label's own label until none
-    changes, so that paths shrink geometrically; one aggregation and two joins a round, by vertex.
+    changes, so that paths shrink geometrically; one aggregation and two joins a round, by vertex. The aggregation
+    combines before it shuffles, and the joins have one label for each vertex on one side, so that the rows of a hub
+    can be split over tasks.
     """
     both = step(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = step(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")).withColumnRenamed("a", "v"))
@@ -40,5 +57,8 @@ def components(links: DataFrame) -> DataFrame:
         found = labels.join(near, labels["v"] == near["a"]).join(far, "c").select("v", F.least("c", "n", "f").alias("d"), "c")
         found = step(found)
         if found.where("d <> c").isEmpty():
+            discard(both, found)
             return labels
+        discard(labels)
         labels = found.select("v", F.col("d").alias("c"))
+        labels.step_path = found.step_path
