@@ -77,10 +77,10 @@ def test_jaccard_join_where_too_few_chunks_come_forward(spark, texts, monkeypatc
     real = jaccard_join.chunks
 
     def short(flat, n, hot):
-        name, owner, _ = real(flat, n, hot)
+        name, owner, _, common = real(flat, n, hot)
         some = np.flatnonzero((n > 0) & (n % 2 == 0))
         keep = ~np.isin(owner, some)
-        return name[keep], owner[keep], some
+        return name[keep], owner[keep], some, common[keep]
 
     rest = jaccard_join._rest_pairs
     texts = texts[:60]
@@ -189,7 +189,9 @@ def test_bpe(spark, texts):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(vocabulary_path())
-    more = texts + ["it's they'll 'S ''s <|endoftext|> a\n\n  b\t c  ", "<|endoftext|", "ab" * 4000, "x" * 3000 + " y", "　  z "]
+    long = "".join(random.Random(4).choice(["some ", "wörds ", "日本。", "it's\n", "  "]) for _ in range(700_000))
+    assert len(long.encode()) > 3 * bpe.BLOCK
+    more = texts + [long, "it's they'll 'S ''s <|endoftext|> a\n\n  b\t c  ", "<|endoftext|", "ab" * 4000, "x" * 3000 + " y", "　  z "]
     found = {r.doc_id: r for r in bpe.round_trip(documents(spark, more), vocabulary_path()).collect()}
     for i, text in enumerate(more):
         ids = library.encode(text or "", add_special_tokens=False).ids
@@ -198,6 +200,31 @@ def test_bpe(spark, texts):
         assert found[i].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_pretokens_of_all_code_points():
+    """Every assigned code point after a letter, a digit and a sign, and before a contraction, is cut as by the library."""
+    from tokenizers import pre_tokenizers
+
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE0200)]]
+    for at in range(0, len(points), 30_000):
+        text = "".join(f"a{c}1{c}!{c}'s  {c}\n" for c in points[at : at + 30_000])
+        data = np.frombuffer(text.encode(), np.uint8)
+        widths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+        byte_of = np.concatenate(([0], np.cumsum(widths)))
+        wanted = byte_of[[a for _, (a, _) in library.pre_tokenize_str(text)]]
+        assert np.array_equal(bpe.pretokens(data, np.array([0, len(data)]), [])[:-1], wanted)
+
+
+def test_long_texts_go_through_windows():
+    coder = bpe.encoder(bpe.spec_of(vocabulary_path()))
+    rng = random.Random(12)
+    text = "".join(rng.choice(["it's ", "wörd ", "  ", "\n\n", "日本語。", "x" * 300, "'ll", "!?'", "12 ", "<|endoftext|>", "\u3000 ", "é"]) for _ in range(4000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    whole = coder.encode(data, np.array([0, len(data)]))[0]
+    for size in (64, 257, 5000):
+        assert np.array_equal(np.concatenate([*coder.windows(data, size)]), whole)
+
+
 def test_transducer_windows_and_decoder():
     vocabulary = bpe.Vocabulary(bpe.spec_of(vocabulary_path()))
     look = vocabulary.lookahead()
@@ -269,16 +296,32 @@ def test_secrets(spark, texts):
     assert clean[0].text == more[0] and clean[texts.index(None)].text is None
 
 
-def test_ledger_scans_only_what_is_new(spark):
-    docs = documents(spark, ["token=abcdef", "token=abcdef", "nothing"])
-    first = secrets.unseen(docs, None)
-    assert first.count() == 2
-    ledger = secrets.ledger_rows(first)
-    assert secrets.unseen(docs, ledger).count() == 0
+def test_ledger_over_two_runs(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = documents(spark, ["token=abcdef", "token=abcdef", "nothing", None])
+    first = secrets.scanned(docs, ledger)
+    assert first.count() == 3 and secrets.unseen(docs, first).count() == 0
+    wanted = secrets.report(docs, ledger=ledger).collect()
+    assert {r.doc_id: r.spans for r in wanted} == {0: "assign:0:12", 1: "assign:0:12", 2: "", 3: ""}
+    assert secrets.read_ledger(docs, ledger).count() == 3  # the second run had nothing to scan
+    # a third run meets one new text and one new rule; what earlier runs found is joined to all documents with that content
     newer = (*secrets.RULES, secrets.Rule("word", 1, "nothing", 0, 1, base=False))
-    again = secrets.unseen(docs, ledger, newer)
-    assert [r.todo for r in again.collect()] == [["word/1"]] * 2
-    assert secrets.scan(again, newer).count() == 1
+    more = documents(spark, ["token=abcdef", "nothing", "secret: 1234567"], first=10)
+    todo = {r.text: r.todo for r in secrets.unseen(more, secrets.read_ledger(docs, ledger), newer).collect()}
+    assert todo["nothing"] == ["word/1"] and todo["token=abcdef"] == ["word/1"] and len(todo["secret: 1234567"]) == len(newer)
+    found = {r.doc_id: r.spans for r in secrets.report(more, newer, ledger).collect()}
+    assert found == {10: "assign:0:12", 11: "word:0:7", 12: "assign:0:15"}
+    assert {r.doc_id: r.spans for r in secrets.report(docs, ledger=ledger).collect()} == {0: "assign:0:12", 1: "assign:0:12", 2: "", 3: ""}
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nabc-def\nMII\n-----END RSA PRIVATE KEY-----"
+    rows = [(1, f"x {key} y", 0, "mine", "a"), (2, "clean", 5, "own", "b"), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, blob string, found string")
+    out = secrets.redacted(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "x [REDACTED] y", 14, "mine", "a"), *rows[1:]], key=str)
+    assert secrets.report(docs.limit(0)).count() == 0 and secrets.redacted(docs.limit(0)).count() == 0
 
 
 def test_sharding(spark, texts):
@@ -291,6 +334,15 @@ def test_sharding(spark, texts):
     per = found.groupby("shard")["size"].sum()
     largest = found["size"].max()
     assert found.shard.between(0, 15).all() and per.max() <= per.sum() / 16 + 2 * largest
+    # one text very often, and many pairs: no small group is torn, and shards stay nearly equal
+    rng = random.Random(9)
+    pairs = ["".join(rng.choices("abc ", k=rng.randint(20, 60))) for _ in range(4000)]
+    many = ["often"] * 2000 + pairs + pairs
+    found = sharding.shard(documents(spark, many)).toPandas().set_index("doc_id")
+    found["text"] = [many[i] for i in found.index]
+    assert (found[found.text != "often"].groupby("text").shard.nunique() == 1).all()
+    per = found.groupby("shard")["size"].sum()
+    assert per.max() - per.min() <= 4 * 62 and all(sorted(x) == list(range(len(x))) for _, x in found.groupby("shard").slot)
     assert sharding.shard(documents(spark, []).limit(0)).count() == 0
 
 

@@ -6,7 +6,10 @@ decided by what stands to its right, and only through a chain of merges of falli
 bounds how far to look: ``lookahead`` computes that many bytes. A pre-token longer than a window goes through the
 transducer window by window: all tokens that start at least the look-ahead before the window's end are stable and
 emitted, and the window moves to the first one that is not, so the state is one window whatever the text. Pre-tokens
-of one block that are not yet in the (bounded) memo are merged side by side in numpy.
+of one block that are not yet in the (bounded) memo are merged side by side in numpy. Where a pre-token starts is known
+from the text after it alone, so a text longer than a block goes through block-sized windows too: each starts at the last
+pre-token start that the window before was sure of. Only a run without any pre-token start longer than a window makes the
+window grow to its length.
 
 Decoding. Token bytes go through an incremental UTF-8 state machine in pieces, with U+FFFD for malformed parts.
 """
@@ -29,6 +32,8 @@ WINDOW = 256
 MEMO = 200_000
 CHUNK = 1 << 16
 BLOCK = 1 << 20
+#: Characters to the right of a pre-token's start that can change where it starts, besides the longest added token.
+MARGIN = 4
 _NONE = np.int32(2**31 - 1)
 
 
@@ -169,18 +174,29 @@ def transduce(vocabulary: Vocabulary, words: list[bytes], lookahead: int, window
     return np.concatenate(parts), counts
 
 
+# fixed values: letters and numbers that Unicode 16.0 has and 15.1 has not, as the tokenizers library knows them
+LETTERS_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+# fixed values: white space of the pattern
+SPACES = ((9, 13), (32, 32), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
+
 _CLASSES: list[np.ndarray] = []
 
 
 def classes() -> np.ndarray:
-    """Of each code point: 1 letter, 2 number, 3 white space, 0 other."""
+    """Of each code point: 1 letter, 2 number, 3 white space, 0 other, by Unicode 16.0."""
     if not _CLASSES:
         import unicodedata
 
         kind = {"L": 1, "N": 2}
         table = np.fromiter((kind.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), np.uint8, 0x110000)
-        for a, b in ((9, 13), (32, 32), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)):
-            table[a : b + 1] = 3
+        for which, ranges in ((1, LETTERS_16), (2, NUMBERS_16), (3, SPACES)):
+            for a, b in ranges:
+                table[a : b + 1] = which
         _CLASSES.append(table)
     return _CLASSES[0]
 
@@ -267,7 +283,9 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of a block of texts, one text after the other, and the number of tokens of each."""
-        cuts = pretokens(data, offsets, list(self.vocabulary.added))
+        return self._encode(data, offsets, pretokens(data, offsets, list(self.vocabulary.added)))
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(cuts) < 2:
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         words = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
@@ -291,6 +309,24 @@ class Encoder:
         totals = np.concatenate(([0], ends))[bounds]
         return self.flat[take], np.diff(totals)
 
+    def windows(self, data: np.ndarray, size: int = BLOCK) -> Iterator[np.ndarray]:
+        """Token ids of one text in pieces, window by window."""
+        margin = max([4 * MARGIN, *(len(t.encode()) for t in self.vocabulary.added)])
+        at, n, span = 0, len(data), size
+        while at < n:
+            end = min(at + span, n)
+            while end < n and data[end] & 0xC0 == 0x80:  # whole characters
+                end += 1
+            cuts = pretokens(data[at:end], np.array([0, end - at]), list(self.vocabulary.added))
+            if end < n:
+                cuts = cuts[: int(np.searchsorted(cuts, end - at - margin, "right"))]
+                if len(cuts) < 2:
+                    span *= 2
+                    continue
+                end = at + int(cuts[-1])
+            yield self._encode(data[at:end], np.array([0, end - at]), cuts)[0]
+            at, span = end, size
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -317,12 +353,22 @@ def spec_of(path: str) -> str:
         return f.read()
 
 
+def encoded(coder: Encoder, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Of each block of texts of a column: first row, row after the last, token ids of all texts, and how many each has."""
+    for first, last, data, offsets in kernel.blocks(column, BLOCK):
+        if last == first + 1 and len(data) > BLOCK:
+            ids = np.concatenate([np.zeros(0, np.int32), *coder.windows(data)])
+            yield first, last, ids, np.array([len(ids)])
+        else:
+            yield first, last, *coder.encode(data, offsets)
+
+
 def round_trip(documents: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): every text encoded, and its ids decoded again.
 
-    Null and empty texts have no token: the digests are those of the empty string. Texts of any length, repeated rows
-    and other columns of the input need no care. ``path`` is read on the driver; the file's text, of fixed size,
-    travels by broadcast.
+    Null and empty texts have no token: the digests are those of the empty string. A text longer than a block is encoded,
+    decoded and digested window by window. Repeated rows, a null doc_id, other columns of the input and an empty table
+    need no care. ``path`` is read on the driver; the file's text, of fixed size, travels by broadcast.
     """
     spec = documents.sparkSession.sparkContext.broadcast(spec_of(path))
 
@@ -332,19 +378,45 @@ def round_trip(documents: DataFrame, path: str) -> DataFrame:
         as_text = pa.array([b"%d," % i for i in range(len(coder.vocabulary.tokens))], pa.large_binary())
         for batch in batches:
             for first, last, data, offsets in kernel.blocks(batch.column("text"), BLOCK):
-                ids, counts = coder.encode(data, offsets)
-                bounds = np.concatenate(([0], np.cumsum(counts)))
-                digests = []
-                for table, digest in ((as_text, _digest_numbers), (as_bytes, _digest_text)):
-                    taken = table.take(pa.array(ids))
-                    ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1][bounds] if len(ids) else np.zeros(len(bounds), np.int64)
-                    joined = memoryview(taken.buffers()[2] or b"") if len(ids) else memoryview(b"")
-                    digests.append(pa.array([digest(joined[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), pa.array(counts.astype(np.int64)), *digests], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if last == first + 1 and len(data) > BLOCK:
+                    counts, digests = _long_digests(coder, data, as_text, as_bytes)
+                else:
+                    ids, counts = coder.encode(data, offsets)
+                    bounds = np.concatenate(([0], np.cumsum(counts)))
+                    digests = []
+                    for table, digest in ((as_text, _digest_numbers), (as_bytes, _digest_text)):
+                        joined, ends = _joined(table, ids)
+                        ends = ends[bounds]
+                        digests.append([digest(joined[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
+                columns = [batch.column("doc_id").slice(first, last - first), pa.array(np.asarray(counts, np.int64)), *(pa.array(x, pa.string()) for x in digests)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def _joined(table: pa.Array, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The entries of a table for ids, one after the other, and where each ends (with a 0 in front)."""
+    if not len(ids):
+        return memoryview(b""), np.zeros(1, np.int64)
+    taken = table.take(pa.array(ids))
+    return memoryview(taken.buffers()[2] or b""), np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1]
+
+
+def _long_digests(coder: Encoder, data: np.ndarray, as_text: pa.Array, as_bytes: pa.Array) -> tuple[list[int], list[list[str]]]:
+    """The number of tokens of one long text and both its digests, from one window of ids at a time."""
+    numbers, text = hashlib.sha256(), hashlib.sha256()
+    machine, count = codecs.getincrementaldecoder("utf-8")("replace"), 0
+    for ids in coder.windows(data):
+        joined = _joined(as_text, ids)[0]
+        if count and len(ids):
+            numbers.update(b",")
+        numbers.update(joined[:-1])
+        text.update(machine.decode(bytes(_joined(as_bytes, ids)[0])).encode())
+        count += len(ids)
+    text.update(machine.decode(b"", True).encode())
+    return [count], [[numbers.hexdigest()], [text.hexdigest()]]
+
+
 def _digest_numbers(joined: memoryview) -> str:
     return hashlib.sha256(joined[:-1] if len(joined) else joined).hexdigest()
 

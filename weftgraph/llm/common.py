@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import functools
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.plans.iterate import discard, shared_folder  # noqa: F401 (the operators take them from here)
+from weftgraph.plans.iterate import step as materialise  # noqa: F401
 from weftgraph.plans.shipping import ship
 
 #: Rows of an Arrow batch, where the session has Spark's default: whole texts are long, and workers small.
@@ -43,20 +43,3 @@ def held_out(key: Column) -> Column:
 def share(key: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the key and the seed alone."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (local runs)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="weftgraph-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def materialise(frame: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: its lineage ends there, and any executor can read it."""
-    spark = frame.sparkSession
-    path = f"{checkpoint_dir(spark)}/weftgraph-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)

@@ -15,9 +15,9 @@ possible) takes part by the smallest quarter of its shingles, looked up among al
 **Candidates.** Equal sets are one class from the start. Documents with an equal chunk form a bucket. Small buckets
 compare all members. A link that no small bucket shows needs K equal chunks in large buckets (passages that many
 documents share, groups of near copies); documents with so many are dealt anew by the rarest of single shingles. Only
-connections count: one member of each bucket meets the others, and then members of different components that are left
-meet, with the sketches in the join's condition. Candidates are dropped if the sketch of 4096 bits shows too many
-differences, and the rest verified on the sets, which are made for the documents of such pairs alone.
+connections count: documents first meet one partner each, components are contracted, and only members of different
+components meet again, with the sketches in the join's condition. Candidates are dropped if the sketch of 4096 bits
+shows too many differences, and the rest verified on the sets, which are made for the documents of such pairs alone.
 
 Defined cases: documents without words (null and empty texts too) have no shingles and are components of their own;
 fewer words than the width make one shingle; repeated documents are copies; a null doc_id gets a null component and
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.llm import kernel
-from weftgraph.llm.common import materialise, share
+from weftgraph.llm.common import discard, materialise, share
 from weftgraph.plans.iterate import components
 
 WIDTH = 5
@@ -47,6 +47,10 @@ PLAIN, SPARE = 96, 12
 HOT_SAMPLE, HOT_LEAST, HOT_KEPT = 8_000, 4, 50_000
 #: Buckets of at most so many documents are compared in full.
 SMALL = 12
+#: Lanes that a chunk of frequent shingles is dealt over.
+LANES = 64
+#: Turns of contraction in large buckets at most; the turns end when fewer than one in ``TURN_GAIN`` pairs is a link.
+TURNS, TURN_GAIN = 8, 20
 #: Ids of copies that are sent to all executors at most; with more, the documents are joined by a shuffle.
 SENT = 2_000_000
 
@@ -124,9 +128,9 @@ def _band(n: np.ndarray) -> np.ndarray:
     return np.maximum(CHUNKS, 1 << np.ceil(np.log2(n + 1)).astype(np.int64))
 
 
-def chunks(flat: np.ndarray, n: np.ndarray, hot: Levels) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Put forward by the sets of a block: (hash of the chunk, number of the set); and the sets with too few chunks."""
-    rows, owners, rest = [], [], []
+def chunks(flat: np.ndarray, n: np.ndarray, hot: Levels) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Put forward by the sets of a block: (hash of the chunk, number of the set); the sets with too few chunks; and of each chunk whether its shingles are all frequent."""
+    rows, owners, rest, common = [], [], [], []
     level = levels_of(flat, hot)
     of = np.repeat(np.arange(len(n)), n)
     own = _band(n)
@@ -155,19 +159,23 @@ def chunks(flat: np.ndarray, n: np.ndarray, hot: Levels) -> tuple[np.ndarray, np
         name = kernel.mix(bits ^ kernel.mix((key & 0xFFFFFFFF).astype(np.uint64) << np.uint64(32) | many[doc].astype(np.uint64)))
         place = rare << np.uint64(58) | name >> np.uint64(6)
         order = np.lexsort((place, doc))
-        name, doc = name[order], doc[order]
+        name, doc, rare = name[order], doc[order], rare[order]
         have = np.bincount(doc, minlength=len(n))
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(have) - have, have)
         first = nth < need[doc]
         rows.append(name[first])
         owners.append(doc[first])
+        common.append(rare[first] > 0)
         rest.append(np.flatnonzero(have < need))
     none = np.zeros(0, np.int64)
-    return np.concatenate([*rows, none.view(np.uint64)]), np.concatenate([*owners, none]), np.unique(np.concatenate([*rest, none]))
+    return np.concatenate([*rows, none.view(np.uint64)]), np.concatenate([*owners, none]), np.unique(np.concatenate([*rest, none])), np.concatenate([*common, none.astype(bool)])
 
 
 def put_forward(documents: DataFrame, hot: Levels, width: int = WIDTH) -> DataFrame:
-    """(chunk, doc, n) of documents; a row without chunk for each document with too few."""
+    """(chunk, lane, doc, n) of documents; a row without chunk for each document with too few.
+
+    Chunks of frequent shingles alone may have any number of documents; they are dealt over ``LANES`` lanes, from 1 on.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,13 +183,16 @@ def put_forward(documents: DataFrame, hot: Levels, width: int = WIDTH) -> DataFr
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for first, last, data, offsets in kernel.blocks(batch.column("text")):
                 flat, n = _flat(data, offsets, width)
-                name, owner, rest = chunks(flat, n, shared.value)
+                name, owner, rest, common = chunks(flat, n, shared.value)
                 valid = np.concatenate((np.zeros(len(name), bool), np.ones(len(rest), bool)))
                 owner = np.concatenate((owner, rest))
                 chunk = pa.array(np.concatenate((name.view(np.int64), rest)), mask=valid)
-                yield pa.RecordBatch.from_arrays([chunk, pa.array(ids[first:last][owner]), pa.array(n[owner].astype(np.int32))], ["chunk", "doc", "n"])
+                docs = ids[first:last][owner]
+                lane = 1 + (kernel.mix(docs.astype(np.int64).view(np.uint64)) % np.uint64(LANES)).astype(np.int32)
+                lane[: len(name)][~common] = 0
+                yield pa.RecordBatch.from_arrays([chunk, pa.array(lane), pa.array(docs), pa.array(n[owner].astype(np.int32))], ["chunk", "lane", "doc", "n"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "chunk long, doc long, n int")
+    return documents.select("doc_id", "text").mapInArrow(run, "chunk long, lane int, doc long, n int")
 
 
 def rarest(sets: DataFrame) -> DataFrame:
@@ -189,11 +200,13 @@ def rarest(sets: DataFrame) -> DataFrame:
 
     ``most`` counts a set's shingles that other sets have: no partner has more in common. A link needs three quarters of
     the set, so the others and one more must include a shingle in common; sets with fewer such shingles link nothing.
+    Documents of a shingle are counted before they are shuffled, and the counts joined back, so no shingle needs one task.
     """
-    each = sets.select(F.col("doc_id").alias("doc"), "n", F.explode("shingles").alias("chunk"))
-    each = each.withColumn("df", F.count("*").over(Window.partitionBy("chunk"))).where("df > 1")
-    each = each.withColumn("most", F.count("*").over(Window.partitionBy("doc")))
-    each = each.where("4 * most >= 3 * n").withColumn("nth", F.row_number().over(Window.partitionBy("doc").orderBy("df", "chunk")))
+    each = sets.select(F.col("doc_id").alias("doc"), "n", F.xxhash64("shingles").alias("variant"), F.explode("shingles").alias("chunk"))
+    counts = each.groupBy("chunk").agg(F.count("*").alias("df")).where("df > 1")
+    each = each.join(counts, "chunk")
+    own = Window.partitionBy("doc", "variant")
+    each = each.withColumn("most", F.count("*").over(own)).where("4 * most >= 3 * n").withColumn("nth", F.row_number().over(own.orderBy("df", "chunk")))
     return each.where(F.col("nth") <= F.col("most") - F.ceil(F.col("n") * 3 / 4) + 1).select("chunk", "doc", F.col("n").cast("int"), F.col("most").cast("int"))
 
 
@@ -234,6 +247,22 @@ def _small_pairs(buckets: DataFrame) -> DataFrame:
     return one.where((F.col("x.doc") < F.col("y.doc")) & fits).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
 
 
+def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents the links found so far do not connect."""
+    labels = components(found)
+    for side in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("v").alias(side), F.col("c").alias(f"c_{side}")), side, "left")
+    return pairs.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
+def _connecting(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """Links among candidate pairs (a, b) that connect what all of them connect: each document with its smallest partner
+    first, then only pairs of documents that are not connected yet, so that links grow with documents, not with pairs."""
+    pairs = materialise(pairs)
+    found = _verified(pairs.groupBy("b").agg(F.min("a").alias("a")), documents, width)
+    return materialise(found.union(_verified(_across(pairs, found), documents, width)))
+
+
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of members of one bucket (chunk, doc, n, most, sketch, fold, c) that may be linked, across components."""
     x, y = left.alias("x"), right.alias("y")
@@ -251,43 +280,74 @@ def _rest_pairs(rest: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     return few.join(all_, "h").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _open(member: DataFrame, links: DataFrame) -> DataFrame:
+def _open(member: DataFrame, found: DataFrame) -> DataFrame:
     """Members with their component now, of buckets that have more than one."""
-    now = member.drop("c").join(components(links).withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-    bucket = Window.partitionBy("chunk")
-    return now.withColumns({"low": F.min("c").over(bucket), "high": F.max("c").over(bucket)}).where("low <> high").drop("low", "high")
+    now = materialise(member.drop("c").join(components(found).withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc")))
+    several = now.groupBy("chunk").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    return materialise(now.join(several.select("chunk"), "chunk", "left_semi"))
+
+
+def _star(member: DataFrame, turn: int) -> DataFrame:
+    """One pair (a, b) for each member of open buckets: with the one document that its buckets have chosen, of another component."""
+    order = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
+    chosen = member.groupBy("chunk").agg(F.min(F.struct(order.alias("h"), F.col("doc").alias("to"), F.col("c").alias("c_to"))).alias("x"))
+    met = member.join(chosen.select("chunk", "x.*"), "chunk").where("c <> c_to")
+    best = met.groupBy("doc").agg(F.min(F.struct("h", "to")).alias("x"))
+    return best.select(F.least("doc", "x.to").alias("a"), F.greatest("doc", "x.to").alias("b")).distinct()
+
+
+def _large_links(large: DataFrame, found: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """``found`` and links of documents (doc_id) of large buckets, dealt anew by their rarest shingles.
+
+    In each of up to ``TURNS`` turns every bucket chooses a document, every document of another component meets one of
+    these, and components are contracted; that leaves few components in large groups of near copies. Then members
+    that are not in their bucket's largest component meet all members of other components, so no link is missed.
+    """
+    sets = materialise(sets_of(_only(documents, large, "left_semi"), width))
+    if sets.count() > large.count():  # a doc_id with several texts has several sets
+        sets = materialise(sets.dropDuplicates(["doc_id", "shingles"]))
+    member = materialise(rarest(sets))
+    for turn in range(TURNS):
+        member = _open(member, found)
+        if member.isEmpty():
+            return found
+        pairs = materialise(_star(member, turn))
+        new = _verified(pairs, documents, width, sets)
+        found = materialise(found.union(new))
+        if TURN_GAIN * new.count() < pairs.count():
+            break
+    member = _open(member, found)
+    if member.isEmpty():
+        return found
+    # members bring their sketches, so that only close pairs leave the join
+    largest = member.groupBy("chunk", "c").count().groupBy("chunk").agg(F.max_by("c", F.struct("count", "c")).alias("main"))
+    sketched = materialise(member.join(largest, "chunk").join(sets.select(F.col("doc_id").alias("doc"), "sketch", "fold"), "doc"))
+    return materialise(found.union(_verified(_pairs(sketched.where("c <> main"), sketched), documents, width, sets)))
 
 
 def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
     """Links (a, b) of documents with different sets that connect all that are connected."""
     member = put_forward(documents, frequent(documents, rows, width), width)
-    size = F.count("*").over(Window.partitionBy("chunk"))
-    # one row for each small bucket, one for each member of a large one, in the same partitions
-    member = member.withColumn("m", size).where((F.col("m") > 1) | F.col("chunk").isNull())
-    alone = F.when((F.col("m") > SMALL) | F.col("chunk").isNull(), F.col("doc")).alias("alone")
-    buckets = materialise(member.groupBy("chunk", alone).agg(F.collect_list(F.struct("doc", "n")).alias("members")))
-    found = _verified(_small_pairs(buckets.where("alone IS NULL")), documents, width)
+    size = F.count("*").over(Window.partitionBy("chunk", "lane"))
+    # one row for each small bucket, one for each member of a large one, in the same partitions; lanes make a bucket large
+    single = (F.col("lane") > 0) | F.col("chunk").isNull()
+    member = member.withColumn("m", size).where((F.col("m") > 1) | single)
+    alone = F.when((F.col("m") > SMALL) | single, F.col("doc")).alias("alone")
+    buckets = materialise(member.groupBy("chunk", "lane", alone).agg(F.collect_list(F.struct("doc", "n")).alias("members")))
+    found = _connecting(_small_pairs(buckets.where("alone IS NULL")), documents, width)
     rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
     if not rest.isEmpty():
-        found = materialise(found.union(_verified(_rest_pairs(rest, documents, width), documents, width)))
-    large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select(F.explode("members").alias("x")).select("x.*")
+        found = materialise(found.union(_connecting(_rest_pairs(rest, documents, width), documents, width)))
+    large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select("chunk", F.explode("members").alias("x")).select("chunk", "x.*")
+    # buckets of one document tell nothing
+    shared = large.groupBy("chunk").agg(F.count("*").alias("m")).where("m > 1").select("chunk")
     # a partner of a larger set puts forward at least three quarters as many chunks to spare as this one
     enough = F.when(F.col("n") > PLAIN * 4 // 3, F.floor(F.col("n") * 3 / 4 / SPARE)).otherwise(1)
-    large = materialise(large.groupBy("doc", "n").agg(F.count("*").alias("many")).where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")).distinct())
-    if large.isEmpty():
-        return found
-    sets = materialise(sets_of(_only(documents, large, "left_semi"), width))
-    if sets.count() > large.count():  # rows with one doc_id
-        sets = materialise(sets.dropDuplicates(["doc_id"]))
-    bucket = Window.partitionBy("chunk")
-    member = rarest(sets).withColumns({"m": F.count("*").over(bucket), "rank": F.row_number().over(bucket.orderBy(F.xxhash64("doc", "chunk"), "doc"))})
-    member = materialise(member.where("m > 1"))
-    for met in ("rank = 1", "rank > 1"):
-        member = materialise(_open(member, found))
-        # members bring their sketches, so that only close pairs leave the join
-        sketched = member.join(sets.select(F.col("doc_id").alias("doc"), "sketch", "fold"), "doc")
-        pairs = _pairs(sketched.where(met), sketched)
-        found = materialise(found.union(_verified(pairs, documents, width, sets)))
+    many = large.join(shared, "chunk", "left_semi").groupBy("doc", "n").agg(F.count("*").alias("many"))
+    large = materialise(many.where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")).distinct())
+    if not large.isEmpty():
+        found = _large_links(large, found, documents, width)
+    discard(buckets)
     return found
 
 
@@ -307,11 +367,18 @@ def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def one_each(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The documents (all columns) without those whose component has a smaller doc_id; of rows with one doc_id, one."""
+    """The documents (all columns) without those whose component has a smaller doc_id.
+
+    Of rows with one doc_id the one with the smallest text stays (null first; ties by the other columns), whatever order
+    they come in; rows with a null doc_id all stay.
+    """
     found = materialise(join(documents, width))
     later = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = _only(documents, later, "left_anti")
-    again = found.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    return _only(kept, again, "left_anti").union(_only(kept, again, "left_semi").dropDuplicates(["doc_id"]))
+    row = F.struct(*[F.col(c) for c in documents.columns])
+    order = F.struct(F.col("text"), F.to_json(row))
+    one = _only(kept, again, "left_semi").groupBy("doc_id").agg(F.min_by(row, order).alias("row")).select("row.*")
+    return _only(kept, again, "left_anti").unionByName(one.select(documents.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.llm import kernel
-from weftgraph.llm.common import materialise, share
+from weftgraph.llm.common import discard, materialise, share
 
 DIMENSIONS = 1 << 18
 #: Feature families of a block: for each, the hashed index of every n-gram and the number of n-grams of each text.
@@ -161,15 +161,16 @@ def train(sample: DataFrame, featurise: Featuriser, *, shards: int = 8, rounds:
                 for _ in range(passes):
                     ftrl_pass(rows, z, n, alpha, beta, l1, l2)
                 touched = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(touched), pa.array(z[touched]), pa.array(n[touched])], ["i", "z", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(touched.astype(np.int32)), pa.array(z[touched]), pa.array(n[touched])], ["i", "z", "n"])
 
-        merged = sample.mapInArrow(local, "i long, z double, n double")
-        merged = merged.groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("k")).toPandas()
-        state.unpersist()
-        i = merged["i"].to_numpy()
-        # an index that only some shards met keeps what those found
+        # averaged by index over the shards that met it; an index that only some met keeps what those found
+        merged = sample.mapInArrow(local, "i int, z double, n double").groupBy("i").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
+        state.destroy()
+        i = merged.column("i").to_numpy()
         z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
-        z[i], n[i] = merged["z"] / merged["k"], merged["n"] / merged["k"]
+        z[i], n[i] = merged.column("z").to_numpy(), merged.column("n").to_numpy()
+        del merged
+    discard(sample)
     return weights_of(z, n, alpha, beta, l1, l2)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, kernel
+from weftgraph.llm import bpe
 from weftgraph.llm.common import materialise
 
 CAPACITY = 2048
@@ -39,8 +39,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe.encoder(spec.value)
         for batch in batches:
-            for first, last, data, offsets in kernel.blocks(batch.column("text"), bpe.BLOCK):
-                ids, counts = coder.encode(data, offsets)
+            for first, last, ids, counts in bpe.encoded(coder, batch.column("text")):
                 ends = np.cumsum(counts)
                 # every document's ids and its separator, one after the other
                 ids = np.insert(ids, ends, SEPARATOR).astype("<u4")

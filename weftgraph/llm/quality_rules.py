@@ -5,7 +5,8 @@ labelled quality rows (``SAMPLE``, about); a fifth of the sample is left out of
 the probability scale (Platt's). A document is kept if it passes the base rules and its probability reaches
 ``THRESHOLD``. Defined cases: null, empty and white-space texts have no words, all counts 0 (``n_symbols`` counts any
 text) and fail the base rule; repeated documents get equal rows; without labels of both classes the model keeps all that
-passes the base rules; other columns are ignored.
+passes the base rules; a null doc_id is judged like any; texts of any length are whole blocks of their own, so memory
+follows the longest text by a small factor; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,9 +45,10 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     sample = linear.bounded_sample(documents, labels, F.lit(True), rows, 23)
     left_out = share(F.col("doc_id"), 29) < 0.2
     weights = linear.train(sample.where(~left_out), linear.word_char_features)
-    found = _decisions(sample.where(left_out), weights).toPandas()
-    slope, offset = _platt(found["decision"].to_numpy(), found["label"].to_numpy())
-    return Model(weights.astype(np.float32), slope, offset, found["label"].nunique() == 2)
+    found = _decisions(sample.where(left_out), weights).toArrow()
+    decision, label = (found.column(c).to_numpy() for c in ("decision", "label"))
+    slope, offset = _platt(decision, label)
+    return Model(weights.astype(np.float32), slope, offset, len(np.unique(label)) == 2)
 
 
 def _decisions(sample: DataFrame, weights: np.ndarray) -> DataFrame:

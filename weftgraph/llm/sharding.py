@@ -2,13 +2,15 @@
 
 Records are ordered by a hash of their text, so that equal texts stand together. A sample of keys, each drawn with a
 chance in proportion to the record's size, gives the quantile boundaries of some hundreds of ranges; records find their
-range by binary search. Ranges with too many rows (one text repeated often) are subdivided by a hash of doc_id. Running
-sums inside ranges and the totals of the ranges before give every record its exact place among all bytes and rows, and
-the place its shard: no shard is off by more than a record or a small group of equal texts. A group of equal texts of at
-most ``TOGETHER`` of a shard's bytes goes whole to one shard.
-
-Defined cases: null and empty texts have size 1; repeated rows take neighbouring slots; an empty table gives an empty
-result; other columns are ignored.
+range by binary search. Overfull ranges are subdivided: one text repeated often gets parts of its own by a hash of
+doc_id, all other records of the range are dealt by a hash of their text, so that no group of equal texts is torn.
+Running sums inside parts and the totals of the parts before give every record its exact place among all bytes and rows,
+and the place its shard: no shard is off by more than a record or a group of equal texts that goes whole. A group of
+equal texts goes whole to the shard of its first byte if it has at most ``TOGETHER`` of a shard's bytes; a larger one is
+cut where shards end, since shards could not be nearly equal otherwise.
+
+Defined cases: null and empty texts have size 1; repeated rows take neighbouring slots; a null doc_id keeps its row;
+texts of any length are one record; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,25 +51,38 @@ def range_of(key: Column, cuts: list[int]) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), narrow)
 
 
+def often(records: DataFrame, most: int) -> DataFrame:
+    """(key, lot, lots, key_bytes) of keys with more than ``most`` rows; there are fewer than rows / most of them."""
+    counts = records.groupBy("key").agg(F.count("*").alias("rows"), F.sum("size").alias("key_bytes")).where(F.col("rows") > most)
+    lot = F.row_number().over(Window.orderBy("key"))  # over some thousand rows at most
+    return counts.select("key", lot.alias("lot"), F.ceil(F.col("rows") / float(most)).cast("int").alias("lots"), "key_bytes")
+
+
 def placed(records: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Adds each record's place: ``at`` (bytes before it), ``row`` (rows before it) and ``shard``."""
+    """Adds each record's place: ``row`` (rows before it) and ``shard``."""
     whole = records.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     rows, total = whole["rows"], max(whole["bytes"], 1)
     ranges = min(MAX_RANGES, max(RANGES, rows // RANGE_ROWS))
+    most = max(1, 2 * rows // ranges)
     records = records.withColumn("range", range_of(F.col("key"), splitters(records, ranges, total)))
-    # ranges with over twice the mean number of rows are subdivided; there are at most MAX_RANGES of them to send
-    fanout = records.groupBy("range").agg(F.ceil(F.count("*") / float(max(1, 2 * rows // ranges))).cast("int").alias("fanout"))
-    records = records.join(F.broadcast(fanout), "range").withColumn("part", F.floor(share(F.col("doc_id"), 43) * F.col("fanout")).cast("int"))
-    sums = records.groupBy("range", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    before = Window.orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)  # over at most some thousand rows
-    sums = sums.select("range", "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("bytes", "rows")])
-    group = Window.partitionBy("range", "part", "key")
-    order = Window.partitionBy("range", "part").orderBy("key", "doc_id", "size", "text_crc32")
+    # a repeated text is a lot of its own in its range, after the other records, which are lot 0
+    records = records.join(F.broadcast(materialise(often(records, most))), "key", "left").fillna(0, ["lot"])
+    fanout = records.where("lot = 0").groupBy("range").agg(F.ceil(F.count("*") / float(most)).cast("int").alias("fanout"))
+    records = records.join(F.broadcast(fanout), "range", "left")
+    spread = F.when(F.col("lot") > 0, share(F.col("doc_id"), 43) * F.col("lots")).otherwise(share(F.col("key"), 43) * F.col("fanout"))
+    records = records.withColumn("part", F.floor(spread).cast("int"))
+    sums = records.groupBy("range", "lot", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    before = Window.orderBy("range", "lot", "part").rowsBetween(Window.unboundedPreceding, -1)  # over at most some thousand rows
+    sums = sums.select("range", "lot", "part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("bytes", "rows")])
+    sums = sums.withColumn("lot_before", F.min("bytes_before").over(Window.partitionBy("range", "lot")))
+    group = Window.partitionBy("range", "lot", "part", "key")
+    order = Window.partitionBy("range", "lot", "part").orderBy("key", "doc_id", "size", "text_crc32")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     records = records.withColumns({"local": F.sum("size").over(running) - F.col("size"), "nth": F.row_number().over(order) - 1})
-    records = records.withColumns({"group_at": F.min("local").over(group), "group_bytes": F.sum("size").over(group)})
-    records = records.join(F.broadcast(sums), ["range", "part"])
-    anchor = F.when(F.col("group_bytes") <= TOGETHER * total / shards, F.col("group_at")).otherwise(F.col("local")) + F.col("bytes_before")
+    records = records.withColumns({"group_at": F.min("local").over(group), "group_bytes": F.coalesce("key_bytes", F.sum("size").over(group))})
+    records = records.join(F.broadcast(sums), ["range", "lot", "part"])
+    first = F.when(F.col("lot") > 0, F.col("lot_before")).otherwise(F.col("group_at") + F.col("bytes_before"))
+    anchor = F.when(F.col("group_bytes") <= TOGETHER * total / shards, first).otherwise(F.col("local") + F.col("bytes_before"))
     shard = F.least(F.floor(anchor * shards / F.lit(total).cast("decimal(20,0)")), F.lit(shards - 1)).cast("int")
     return records.select("doc_id", "size", "text_crc32", (F.col("nth") + F.col("rows_before")).alias("row"), shard.alias("shard"))
 
