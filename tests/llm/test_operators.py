@@ -174,15 +174,65 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.identify(docs.where("lang IS NULL")).collect()} == {"und"}
 
 
-def test_language_costs_are_code_lengths(spark):
-    """Under every context the chances of all 256 bytes add up to one."""
-    docs = spark.createDataFrame([(i, "abracadabra" * 3, "x") for i in range(6)], "doc_id long, text string, lang string")
-    trees = language_id.fit(docs)
-    size = round(len(trees.context) ** (1 / 3))
-    seen = np.unique(trees.symbol)
-    many = np.bincount(trees.symbol, minlength=size)
-    p = np.exp2(-trees.cost.reshape(-1, size, 1).astype(float))[:, :, 0]
-    assert len(seen) <= size and np.allclose((p * many).sum(1), 1, atol=1e-4)
+def test_language_costs_are_code_lengths(spark, monkeypatch):
+    """Bits of texts equal those of a byte-by-byte coder with dictionaries, for languages in one group and in many."""
+    rng = random.Random(18)
+    speak = lambda letters, n: "".join(rng.choices(letters, k=n))
+    rows = [(i, speak("abc é", 60) if i % 2 else speak("xyz b", 60), "a" if i % 2 else "b") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {lang: [{} for _ in range(4)] for lang in "ab"}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 3 == 1:
+            continue
+        raw = b"\0\0\0" + text.encode()
+        for at in range(3, len(raw)):
+            for k in range(4):
+                table = counts[lang][k].setdefault(raw[at - k : at], Counter())
+                table[raw[at]] += 1
+
+    def cost(lang, context, byte):
+        p = 1 / 256
+        for k in range(4):
+            table = counts[lang][k].get(context[3 - k :])
+            if table:
+                p = (table[byte] + len(table) * p) / (table.total() + len(table))
+        return -np.log2(p)
+
+    import pyarrow as pa
+
+    texts = ["abc cab é", "zzz", "", "ab xy ÿ~ 日本", "b" * 50, None]
+    for size in (1, 16):
+        monkeypatch.setattr(language_id, "GROUP", size)
+        model = language_id.fit(docs)
+        for _, _, data, offsets in kernel.blocks(pa.array(texts, pa.string())):
+            for trees in model:
+                got = language_id.code_lengths(trees, data, offsets)
+                for i, text in enumerate(texts):
+                    raw = b"\0\0\0" + (text or "").encode()
+                    for j, lang in enumerate(trees.languages):
+                        wanted = sum(cost(lang, raw[at - 3 : at], raw[at]) for at in range(3, len(raw)))
+                        assert abs(got[i, j] - wanted) < 1e-3 * max(1, wanted)
+
+
+def test_language_groups_agree(spark, monkeypatch):
+    rng = random.Random(28)
+    alphabets = {f"l{k:02d}": "".join(chr(97 + (k * 5 + j) % 26) for j in range(6)) + " " for k in range(20)}
+    rows = [(i, "".join(rng.choices(alphabets[lang], k=80)), lang) for i, lang in enumerate(lang for lang in alphabets for _ in range(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = {r.doc_id: (r.lang_pred, round(r.score, 6)) for r in language_id.identify(docs).collect()}
+    monkeypatch.setattr(language_id, "GROUP", 3)
+    assert {r.doc_id: (r.lang_pred, round(r.score, 6)) for r in language_id.identify(docs).collect()} == one
+
+
+def test_language_stage_drops_what_was_not_learned(spark):
+    rng = random.Random(38)
+    speak = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(80))
+    rows = [(i, speak("abcde" if i % 2 else "vwxyz"), "en" if i % 2 else "de") for i in range(60)]
+    rows += [(100, speak("αβγδεζηθ"), None), (101, "".join(rng.choices([chr(c) for c in range(33, 127)], k=600)), None), (102, speak("abcde"), None)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lang string, letters int, score string")
+    kept = language_id.passing(docs, language_id.fit(docs))
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {*range(60), 102}
+    assert language_id.passing(docs.limit(0), language_id.fit(docs.limit(0))).count() == 0
 
 
 def test_bpe(spark, texts):
