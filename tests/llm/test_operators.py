@@ -444,6 +444,35 @@ def test_html(spark):
     by = {r.page_id: r for r in found}
     assert len(found) == 7 and by[1].text == "A title\nFirst & second part\nthird.\nOf.\nLast bold é" and by[1].n_chars == len(by[1].text)
     assert by[2].text == by[3].text == by[4].text == "" and by[5].n_chars == 15 * 5000 - 1
+    assert html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").limit(0)).count() == 0
     tree = html_text.fit()
     table = np.array(html_text.LABELLED, float)
     assert (html_text.keeps(tree, table[:, :-1]) == table[:, -1]).mean() >= 0.95
+
+
+def test_html_names_are_hints_only():
+    body = "A paragraph of some length that says what there is to say about the matter and then some more."
+    keep = ("side-by-side", "lead share", "text", "article-header")
+    drop = ("comments", "cookie-notice", "sidebar", "ad", "share", "ad-slot", "newsletter-signup", "related")
+    inner = "".join(f'<div class="{name}"><p>{body} {name}.</p></div>' for name in keep + drop)
+    page = f'<body><article><h1>Title</h1><section id="related-work"><h2>Related</h2><p>Short.</p></section>{inner}<p>End.</p></article></body>'
+    assert html_text.main_text(page, html_text.fit()) == "\n".join(["Title", "Related", "Short.", *(f"{body} {name}." for name in keep), "End."])
+
+
+def test_html_pages_without_an_article():
+    """Random pages, with the main text known from how they were made: headings and short paragraphs beside text stay."""
+    rng = random.Random(21)
+    tree = html_text.fit()
+    say = lambda a, b: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(rng.randint(a, b)))
+    for _ in range(200):
+        menu = "".join(f'<li><a href="/{k}">{say(1, 3)}</a></li>' for k in range(rng.randint(3, 8)))
+        wanted, parts = [], []
+        for k in range(rng.randint(2, 5)):
+            for tag, text in ((f"h{rng.randint(1, 3)}", say(2, 7)), ("p", say(2, 6)), ("p", say(20, 90)), ("p", say(1, 5)), ("p", say(15, 60))):
+                if tag == "p" or k == 0 or rng.random() < 0.6:
+                    parts.append(f"<{tag}>{text}</{tag}>")
+                    wanted.append(text)
+        side = f'<div class="sidebar"><h3>{say(1, 3)}</h3><p>{say(5, 30)}</p></div>'
+        notice = f'<div id="cookie-banner"><p>{say(5, 20)}</p><button>OK</button></div>'
+        page = f'<html><head><title>{say(2, 6)}</title></head><body>{notice}<ul class="main-menu">{menu}</ul><div class="{rng.choice(["content", "post", "entry text"])}">{"".join(parts)}</div>{side}<footer>{say(3, 12)}</footer></body></html>'
+        assert html_text.main_text(page, tree) == "\n".join(wanted)

@@ -1,14 +1,17 @@
 """Main text of web pages: flat text blocks, classified by a decision tree on their own and their neighbours' features.
 
 A page is read as a flat run of tags and text. Text between two block-level tags is one block; each has its number of
-words, its link density (share of words inside links), those of the blocks before and after it, and marks of where it
-stands: inside a part that by tag, role, class or id is a menu, header, footer, sidebar, notice, advert, form or comment
-section, inside an article, and whether the page has an article at all. A small decision tree, trained on the labelled
-table below, keeps or drops each block. Scripts, styles, comments and other text that is never shown make no blocks.
+words, its link density (share of words inside links), those of its neighbours before and after it (of the nearest two
+the longer one), and marks of where it stands: in a heading; inside an element that by tag or role is a menu, header,
+footer, sidebar, form or the like; how far names of the elements around it (class, id) speak of such parts; inside an
+article, and whether the page has an article at all. A small decision tree, trained on the labelled table below, keeps or
+drops each block. Names are a hint among the features, not a verdict: a name of several words, of which one is suspicious,
+weighs little. Scripts, styles, comments and other text that is never shown make no blocks.
 
 Defined cases: null and empty pages give an empty text; markup may end anywhere (open tags count as open to the end, an
 unclosed script or comment hides the rest); repeated pages get equal rows; a page without blocks to keep has an empty
-text; other columns are ignored.
+text; pages of any length are read whole, one after the other; an empty table gives an empty result; other columns are
+ignored. Pages are read one by one in Python, batch by batch of a column.
 """
 
 from __future__ import annotations
@@ -22,109 +25,156 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "article", "page_article")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "apart", "hint", "article", "page_article")
 
 # the labelled table: typical blocks and whether they belong to the main text
 LABELLED = (
-    # words, links, words_before, links_before, words_after, links_after, apart, article, page_article, main
-    (12, 0.0, 8, 0.0, 140, 0.0, 0, 1, 1, 1),  # title
-    (140, 0.0, 12, 0.0, 1, 0.0, 0, 1, 1, 1),  # paragraph
-    (1, 0.0, 140, 0.0, 30, 0.0, 0, 1, 1, 1),  # one-word paragraph
-    (30, 0.1, 1, 0.0, 9, 0.0, 0, 1, 1, 1),
-    (4, 0.0, 60, 0.0, 12, 0.0, 0, 1, 1, 1),  # subheading
-    (6, 1.0, 60, 0.0, 40, 0.0, 0, 1, 1, 1),  # a paragraph that is one link
-    (9, 0.5, 25, 0.0, 0, 0.0, 0, 1, 1, 1),
-    (2, 0.0, 0, 0.0, 80, 0.0, 0, 1, 1, 1),
-    (300, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1, 1),
-    (55, 0.0, 7, 1.0, 11, 0.0, 0, 1, 1, 1),
-    (90, 0.0, 60, 0.0, 70, 0.0, 0, 1, 1, 1),
-    (200, 0.02, 150, 0.0, 3, 0.0, 0, 1, 1, 1),
-    (75, 0.0, 22, 0.0, 1, 0.0, 0, 1, 1, 1),
-    (60, 0.0, 110, 0.0, 15, 0.0, 0, 1, 1, 1),
-    (3, 0.0, 2, 0.0, 4, 0.0, 0, 1, 1, 1),
-    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 1, 1),
-    (5, 0.2, 9, 0.5, 7, 1.0, 0, 1, 1, 1),
-    (20, 0.7, 3, 0.0, 18, 0.9, 0, 1, 1, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 1, 1),  # a list of links that belongs to the text
-    (8, 0.0, 1, 1.0, 10, 0.0, 0, 1, 1, 1),
-    (16, 0.0, 4, 0.0, 5, 0.0, 0, 1, 1, 1),
-    (400, 0.1, 0, 0.0, 20, 0.0, 0, 1, 1, 1),
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 1, 0),  # menu entries
-    (2, 1.0, 1, 1.0, 2, 1.0, 1, 0, 1, 0),
-    (1, 1.0, 1, 1.0, 8, 0.0, 1, 0, 1, 0),
-    (8, 0.0, 1, 1.0, 12, 0.0, 1, 0, 1, 0),  # advert before the title
-    (45, 0.0, 1, 1.0, 12, 0.0, 1, 0, 1, 0),
-    (11, 0.0, 30, 0.0, 0, 0.0, 1, 0, 1, 0),  # footer
-    (70, 0.0, 200, 0.0, 0, 0.0, 1, 0, 1, 0),
-    (25, 0.1, 60, 0.0, 20, 0.0, 1, 1, 1, 0),  # comment or notice inside the article
-    (6, 0.8, 90, 0.0, 70, 0.0, 1, 1, 1, 0),  # related links inside the article
-    (120, 0.0, 80, 0.0, 90, 0.0, 1, 1, 1, 0),
-    (14, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1, 0),  # outside the article, unmarked
-    (60, 0.0, 30, 0.0, 11, 0.0, 0, 0, 1, 0),
-    (3, 1.0, 30, 0.0, 2, 1.0, 0, 0, 1, 0),
-    (150, 0.0, 90, 0.0, 100, 0.0, 0, 0, 1, 0),
-    (5, 0.0, 2, 0.0, 6, 0.0, 0, 0, 1, 0),
-    (28, 0.1, 60, 0.0, 45, 0.0, 0, 0, 1, 0),
-    (1, 0.0, 12, 0.0, 3, 0.0, 0, 0, 1, 0),
-    (40, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1, 0),
-    (80, 0.3, 5, 1.0, 60, 0.0, 0, 0, 1, 0),
-    (10, 0.0, 70, 0.0, 30, 0.0, 0, 0, 1, 0),
-    (90, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1),  # pages without an article
-    (60, 0.0, 4, 0.0, 2, 0.0, 0, 0, 0, 1),  # between short ones
-    (45, 0.0, 2, 1.0, 3, 0.0, 0, 0, 0, 1),
-    (80, 0.02, 5, 1.0, 6, 1.0, 0, 0, 0, 1),
-    (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
-    (25, 0.1, 6, 0.0, 8, 0.0, 0, 0, 0, 1),
-    (150, 0.05, 1, 1.0, 1, 1.0, 0, 0, 0, 1),
-    (40, 0.05, 90, 0.0, 35, 0.0, 0, 0, 0, 1),
-    (24, 0.1, 3, 1.0, 80, 0.0, 0, 0, 0, 1),
-    (18, 0.2, 50, 0.0, 2, 1.0, 0, 0, 0, 1),
-    (15, 0.0, 22, 0.0, 30, 0.1, 0, 0, 0, 1),
-    (5, 0.0, 60, 0.0, 45, 0.0, 0, 0, 0, 1),
-    (7, 0.0, 2, 1.0, 70, 0.0, 0, 0, 0, 1),  # title
-    (3, 0.0, 40, 0.0, 35, 0.0, 0, 0, 0, 1),
-    (1, 0.0, 30, 0.0, 28, 0.0, 0, 0, 0, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (4, 1.0, 60, 0.0, 3, 1.0, 0, 0, 0, 0),
-    (20, 0.9, 4, 1.0, 5, 1.0, 0, 0, 0, 0),
-    (16, 0.6, 8, 0.5, 3, 1.0, 0, 0, 0, 0),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (6, 0.0, 4, 0.5, 0, 0.0, 0, 0, 0, 0),
-    (7, 0.0, 3, 1.0, 4, 0.0, 0, 0, 0, 0),
-    (2, 1.0, 0, 0.0, 90, 0.0, 1, 0, 0, 0),
-    (35, 0.0, 50, 0.0, 0, 0.0, 1, 0, 0, 0),
-    (80, 0.0, 90, 0.0, 60, 0.0, 1, 0, 0, 0),
+    # words, links, words_before, links_before, words_after, links_after, heading, apart, hint, article, page_article, main
+    # in an article: headings, paragraphs of any length, links that belong to the text
+    (12, 0.0, 8, 0.0, 140, 0.0, 1, 0, 0.0, 1, 1, 1),
+    (4, 0.0, 60, 0.0, 12, 0.0, 1, 0, 0.0, 1, 1, 1),
+    (3, 1.0, 90, 0.0, 40, 0.0, 1, 0, 0.0, 1, 1, 1),
+    (140, 0.0, 12, 0.0, 1, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (1, 0.0, 140, 0.0, 30, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (30, 0.1, 1, 0.0, 9, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (6, 1.0, 60, 0.0, 40, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (9, 0.5, 25, 0.0, 0, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (2, 0.0, 0, 0.0, 80, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (300, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (55, 0.0, 7, 1.0, 11, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (75, 0.0, 22, 0.0, 1, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (3, 0.0, 2, 0.0, 4, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (1, 0.0, 1, 0.0, 1, 0.0, 0, 0, 0.0, 1, 1, 1),
+    (5, 0.2, 9, 0.5, 7, 1.0, 0, 0, 0.0, 1, 1, 1),
+    (20, 0.7, 3, 0.0, 18, 0.9, 0, 0, 0.0, 1, 1, 1),
+    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0.0, 1, 1, 1),
+    (16, 0.0, 4, 0.0, 5, 0.0, 0, 0, 0.0, 1, 1, 1),
+    # in an article, with a name of which a part is suspicious
+    (40, 0.0, 12, 0.0, 60, 0.0, 0, 0, 0.3, 1, 1, 1),
+    (7, 0.0, 12, 0.0, 30, 0.0, 0, 0, 0.25, 1, 1, 1),
+    (90, 0.0, 40, 0.0, 20, 0.0, 0, 0, 0.375, 1, 1, 1),
+    (3, 0.0, 90, 0.0, 50, 0.0, 1, 0, 0.25, 1, 1, 1),
+    (25, 0.1, 8, 0.0, 8, 0.0, 0, 0, 0.33, 1, 1, 1),
+    # comments, notices, adverts and related links in an article
+    (25, 0.1, 60, 0.0, 20, 0.0, 0, 0, 1.0, 1, 1, 0),
+    (6, 0.8, 90, 0.0, 70, 0.0, 0, 0, 0.5, 1, 1, 0),
+    (120, 0.0, 80, 0.0, 90, 0.0, 0, 0, 1.0, 1, 1, 0),
+    (12, 0.0, 80, 0.0, 15, 0.0, 0, 0, 0.5, 1, 1, 0),
+    (4, 0.0, 80, 0.0, 30, 0.0, 1, 0, 1.0, 1, 1, 0),
+    (2, 0.0, 70, 0.0, 25, 0.0, 1, 0, 0.5, 1, 1, 0),
+    (40, 0.0, 70, 0.0, 35, 0.0, 0, 0, 0.5, 1, 1, 0),
+    (25, 0.1, 60, 0.0, 20, 0.0, 0, 1, 0.0, 1, 1, 0),
+    (6, 0.8, 90, 0.0, 70, 0.0, 0, 1, 0.0, 1, 1, 0),
+    (120, 0.0, 80, 0.0, 90, 0.0, 0, 1, 0.0, 1, 1, 0),
+    (3, 0.0, 80, 0.0, 90, 0.0, 1, 1, 0.0, 1, 1, 0),
+    # outside the article of a page that has one
+    (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0.0, 0, 1, 0),
+    (2, 1.0, 1, 1.0, 8, 0.0, 0, 1, 0.0, 0, 1, 0),
+    (8, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1.0, 0, 1, 0),
+    (45, 0.0, 1, 1.0, 12, 0.0, 0, 0, 1.0, 0, 1, 0),
+    (11, 0.0, 30, 0.0, 0, 0.0, 0, 1, 0.0, 0, 1, 0),
+    (70, 0.0, 200, 0.0, 0, 0.0, 0, 1, 0.0, 0, 1, 0),
+    (14, 0.0, 1, 1.0, 12, 0.0, 0, 0, 0.0, 0, 1, 0),
+    (60, 0.0, 30, 0.0, 11, 0.0, 0, 0, 0.0, 0, 1, 0),
+    (3, 1.0, 30, 0.0, 2, 1.0, 0, 0, 0.0, 0, 1, 0),
+    (150, 0.0, 90, 0.0, 100, 0.0, 0, 0, 0.0, 0, 1, 0),
+    (5, 0.0, 2, 0.0, 6, 0.0, 1, 0, 0.0, 0, 1, 0),
+    (28, 0.1, 60, 0.0, 45, 0.0, 0, 0, 0.25, 0, 1, 0),
+    (1, 0.0, 12, 0.0, 3, 0.0, 0, 0, 0.0, 0, 1, 0),
+    (80, 0.3, 5, 1.0, 60, 0.0, 0, 0, 0.0, 0, 1, 0),
+    # pages without an article: text of some length with few links
+    (90, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (60, 0.0, 4, 0.0, 2, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (45, 0.0, 2, 1.0, 3, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (80, 0.02, 5, 1.0, 6, 1.0, 0, 0, 0.0, 0, 0, 1),
+    (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (25, 0.1, 6, 0.0, 8, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (150, 0.05, 1, 1.0, 1, 1.0, 0, 0, 0.0, 0, 0, 1),
+    (24, 0.1, 3, 1.0, 80, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (18, 0.2, 50, 0.0, 2, 1.0, 0, 0, 0.0, 0, 0, 1),
+    (15, 0.0, 22, 0.0, 30, 0.1, 0, 0, 0.0, 0, 0, 1),
+    (40, 0.3, 2, 1.0, 3, 1.0, 0, 0, 0.0, 0, 0, 1),
+    (50, 0.0, 30, 0.0, 30, 0.0, 0, 0, 0.3, 0, 0, 1),
+    (22, 0.0, 3, 1.0, 3, 1.0, 0, 0, 0.25, 0, 0, 1),
+    # ... short text beside such text
+    (5, 0.0, 60, 0.0, 45, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (3, 0.0, 40, 0.0, 2, 1.0, 0, 0, 0.0, 0, 0, 1),
+    (1, 0.0, 30, 0.0, 28, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (6, 0.0, 2, 1.0, 35, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (8, 0.0, 4, 0.0, 25, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (9, 0.1, 18, 0.0, 0, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 90, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (6, 0.0, 8, 1.0, 35, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (9, 0.0, 5, 1.0, 60, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (4, 0.0, 12, 0.8, 40, 0.0, 0, 0, 0.0, 0, 0, 1),
+    (12, 0.0, 3, 1.0, 20, 0.1, 0, 0, 0.0, 0, 0, 1),
+    (10, 0.0, 45, 0.0, 3, 1.0, 0, 0, 0.0, 0, 0, 1),
+    # ... headings
+    (7, 0.0, 2, 1.0, 70, 0.0, 1, 0, 0.0, 0, 0, 1),
+    (3, 0.0, 0, 0.0, 6, 0.0, 1, 0, 0.0, 0, 0, 1),
+    (4, 0.0, 40, 0.0, 9, 0.0, 1, 0, 0.0, 0, 0, 1),
+    (2, 0.0, 2, 1.0, 5, 0.0, 1, 0, 0.2, 0, 0, 1),
+    # ... links, and short text that no such text is beside
+    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (4, 1.0, 60, 0.0, 3, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (20, 0.9, 4, 1.0, 5, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (16, 0.6, 8, 0.5, 3, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (30, 0.8, 60, 0.0, 3, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (3, 1.0, 2, 1.0, 70, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (1, 1.0, 0, 0.0, 90, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (5, 1.0, 3, 1.0, 4, 1.0, 1, 0, 0.0, 0, 0, 0),
+    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (6, 0.0, 4, 0.5, 0, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (7, 0.0, 3, 1.0, 4, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (9, 0.2, 5, 1.0, 6, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (3, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (5, 0.0, 2, 1.0, 4, 0.1, 0, 0, 0.0, 0, 0, 0),
+    (8, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (3, 0.0, 0, 0.0, 4, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (5, 0.0, 6, 0.0, 7, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (4, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0.0, 0, 0, 0),
+    (2, 0.0, 9, 0.0, 0, 0.0, 0, 0, 0.0, 0, 0, 0),
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0.0, 0, 0, 0),
+    # ... parts that stand apart, by tag or by name
+    (2, 1.0, 0, 0.0, 90, 0.0, 0, 1, 0.0, 0, 0, 0),
+    (35, 0.0, 50, 0.0, 0, 0.0, 0, 1, 0.0, 0, 0, 0),
+    (80, 0.0, 90, 0.0, 60, 0.0, 0, 1, 0.0, 0, 0, 0),
+    (5, 0.0, 0, 0.0, 60, 0.0, 1, 1, 0.0, 0, 0, 0),
+    (18, 0.0, 50, 0.0, 0, 0.0, 0, 0, 0.5, 0, 0, 0),
+    (40, 0.0, 60, 0.0, 30, 0.0, 0, 0, 0.5, 0, 0, 0),
+    (80, 0.0, 90, 0.0, 60, 0.0, 0, 0, 1.0, 0, 0, 0),
+    (4, 0.0, 60, 0.0, 30, 0.0, 1, 0, 0.75, 0, 0, 0),
 )
 
 # fixed values: elements of HTML by their role here
 BLOCK = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noscript object ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul video audio canvas".split())
-HOLDS = frozenset("a article aside body button details dialog div dl fieldset figure footer form head header iframe li main menu nav noscript object ol p search section select span table tbody td template tr ul".split())
+HOLDS = frozenset("a article aside body button details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 head header iframe li main menu nav noscript object ol p search section select span table tbody td template tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 APART = frozenset("aside button dialog fieldset footer form head header iframe menu nav noscript object search select template".split())
 HIDDEN = frozenset("script style textarea title svg math audio video canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog".split())
-APART_WORDS = re.compile(
-    r"(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|sidebar|side|aside|rail|related|recommend\w*|share|sharing|social|comment\w*|disqus|respond|replies|reply|breadcrumb\w*|nav|navbar|navigation|menu|footer|header|masthead|copyright|pagination|pager|widget\w*|toolbar|skip|hidden)"
-)
-
+# words of names that speak of parts beside the main text: by themselves, and those that main text has in its names too
+STRONG = re.compile(r"(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|banner|cookies?|consent|gdpr|popup|modal|overlay|newsletter\w*|signup|login|sidebar|comments?|commentlist|disqus|breadcrumbs?|nav|navbar|navigation|menu|footer|masthead|copyright|pagination|pager|toolbar)")
+WEAK = re.compile(r"(?:promo\w*|notices?|alerts?|subscri\w*|side|aside|rail|related|recommend\w*|share|sharing|social|respond|replies|reply|header|widgets?|skip|hidden)")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_MARKED = re.compile(r"role|aria-hidden|style", re.I)
+_NAMED = re.compile(r"class|id", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
 def _apart(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element stands apart from the main text; an article's own header doesn't."""
+    """Whether an element stands apart from the main text by tag, role or style; an article's own header doesn't."""
     if tag in APART and not (tag == "header" and in_article):
         return True
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
         return False
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) and not re.search(r"hidden\s*=\s*[\"']?false", attributes):
         return True
-    for name, *values in _ATTRIBUTE.findall(attributes):
+    for name, *values in _ATTRIBUTE.findall(attributes) if _MARKED.search(attributes) else ():
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id") and any(APART_WORDS.fullmatch(w) for w in _WORD.findall(value)):
-            return True
         if name == "role" and value.strip() in ROLES or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -132,17 +182,36 @@ def _apart(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def hint(tag: str, attributes: str) -> float:
+    """How far the names of an element speak of a part beside the main text: from 0 to 1.
+
+    A name counts the mean of its words, 1 for a strong and 1/2 for a weak one; several names count halfway between the
+    greatest and the mean.
+    """
+    if not _NAMED.search(attributes) or tag in ("html", "body", "article", "main"):
+        return 0.0
+    weights = []
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for one in "".join(values).split():
+                words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower())
+                if words:
+                    weights.append(sum(1.0 if STRONG.fullmatch(w) else 0.5 if WEAK.fullmatch(w) else 0.0 for w in words) / len(words))
+    return (max(weights) + sum(weights) / len(weights)) / 2 if weights else 0.0
+
+
 def blocks_of(page: str) -> tuple[list[str], np.ndarray]:
     """The texts of a page's blocks, in order, and their features."""
     texts: list[str] = []
-    rows: list[tuple[int, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open holders: tag, apart, article
-    open_: Counter[str | int] = Counter()  # how many holders are open, by tag, and (1, 2) apart and articles
+    rows: list[tuple[int, int, bool, bool, float, bool]] = []
+    stack: list[tuple[str, bool, bool, float]] = []  # open holders: tag, apart, article, greatest hint so far
+    open_: Counter[str | int] = Counter()  # how many holders are open, by tag, and (1, 2, 3) apart, articles and headings
 
-    def count(holder: tuple[str, bool, bool], by: int) -> None:
+    def count(holder: tuple[str, bool, bool, float], by: int) -> None:
         open_[holder[0]] += by
         open_[1] += by * holder[1]
         open_[2] += by * holder[2]
+        open_[3] += by * (holder[0] in HEADINGS)
 
     parts: list[str] = []
     linked: list[str] = []
@@ -153,7 +222,8 @@ def blocks_of(page: str) -> tuple[list[str], np.ndarray]:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
                 texts.append(text)
-                rows.append((len(text.split()), len(html.unescape(" ".join(linked)).split()), open_[1] > 0, open_[2] > 0))
+                links = len(html.unescape(" ".join(linked)).split())
+                rows.append((len(text.split()), links, open_[3] > 0, open_[1] > 0, stack[-1][3] if stack else 0.0, open_[2] > 0))
             parts.clear()
             linked.clear()
 
@@ -188,29 +258,34 @@ def blocks_of(page: str) -> tuple[list[str], np.ndarray]:
         elif tag in HOLDS and tag not in VOID:
             if tag in ("p", "li", "a", "td", "tr") and stack and stack[-1][0] == tag:
                 count(stack.pop(), -1)
-            apart = _apart(tag, attributes, open_[2] > 0)
-            if tag == "span" and not apart:
+            apart, named = _apart(tag, attributes, open_[2] > 0), hint(tag, attributes)
+            if tag == "span" and not apart and named < 1:
                 continue
             if tag == "span":
                 flush()
             article = tag in ("article", "main")
             has_article |= article and not apart
-            stack.append((tag, apart, article))
+            stack.append((tag, apart, article, max(named, stack[-1][3] if stack else 0.0)))
             count(stack[-1], 1)
     flush()
     n = len(rows)
     out = np.zeros((n, len(FEATURES)))
     if n:
         raw = np.array(rows, float)
-        density = raw[:, 1] / np.maximum(raw[:, 0], 1)
-        out[:, 0], out[:, 1] = raw[:, 0], np.minimum(density, 1)
-        out[1:, 2], out[1:, 3] = out[:-1, 0], out[:-1, 1]
-        out[:-1, 4], out[:-1, 5] = out[1:, 0], out[1:, 1]
-        out[:, 6], out[:, 7], out[:, 8] = raw[:, 2], raw[:, 3], has_article
+        out[:, 0], out[:, 1] = raw[:, 0], np.minimum(raw[:, 1] / np.maximum(raw[:, 0], 1), 1)
+        for column, step in ((2, -1), (4, 1)):
+            # the longer one of the two blocks on that side
+            at1, at2 = np.arange(n) + step, np.arange(n) + 2 * step
+            words = lambda at: np.where((at >= 0) & (at < n), raw[np.clip(at, 0, n - 1), 0], 0)
+            best = np.where(words(at2) > words(at1), at2, at1)
+            there = (best >= 0) & (best < n)
+            out[:, column] = words(best)
+            out[:, column + 1] = np.where(there, out[np.clip(best, 0, n - 1), 1], 0)
+        out[:, 6:10], out[:, 10] = raw[:, 2:6], has_article
     return texts, out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> dict | float:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 12) -> dict | float:
     """A decision tree: the split of least Gini impurity, halfway between neighbouring values; the first feature on ties."""
     if depth == 0 or len(y) < 2 or y.min() == y.max():
         return float(y.mean())
