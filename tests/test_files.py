@@ -13,8 +13,9 @@ OWL = """<?xml version="1.0"?>
 <owl:Class rdf:about="http://purl.obolibrary.org/obo/XX_1"><rdfs:label xml:lang="en">one</rdfs:label>
 <rdfs:subClassOf rdf:resource="http://purl.obolibrary.org/obo/XX_2"/><rdfs:subClassOf rdf:resource="http://purl.obolibrary.org/obo/YY_9"/>
 <rdfs:subClassOf><owl:Restriction><owl:onProperty rdf:resource="http://purl.obolibrary.org/obo/RO_0002202"/><owl:someValuesFrom rdf:resource="http://purl.obolibrary.org/obo/XX_3"/></owl:Restriction></rdfs:subClassOf></owl:Class>
-<owl:Class rdf:about="http://purl.obolibrary.org/obo/XX_2"><rdfs:label>two</rdfs:label><owl:deprecated>true</owl:deprecated></owl:Class>
-<owl:Class rdf:about="http://purl.obolibrary.org/obo/YY_9"><rdfs:label>other</rdfs:label></owl:Class>
+<owl:Class rdf:about="http://purl.obolibrary.org/obo/XX_2"><rdfs:label>two</rdfs:label><owl:deprecated>true</owl:deprecated><obo:IAO_0000115>007</obo:IAO_0000115><rdfs:seeAlso rdf:resource="http://purl.obolibrary.org/obo/XX_1"/><rdfs:seeAlso rdf:resource="http://x/YY_1"/><dc:date>1.10</dc:date></owl:Class>
+<owl:Class rdf:about="http://purl.obolibrary.org/obo/YY_9"><rdfs:label>other</rdfs:label><obo:IAO_0000115>of another namespace</obo:IAO_0000115></owl:Class>
+<owl:ObjectProperty rdf:about="http://purl.obolibrary.org/obo/RO_0002202"><rdfs:label>develops from</rdfs:label></owl:ObjectProperty>
 </rdf:RDF>"""
 
 
@@ -25,11 +26,24 @@ def test_ontology(spark, tmp_path):
     header = headers.first()
     assert (header.title, header.version, header.imports) == ("Things", "2024-02-03", ["RO"])
     spaces = files.root_namespaces(classes, headers)
-    assert spaces.first().namespaces == ["XX"]
+    assert spaces.first().namespaces == ["http://purl.obolibrary.org/obo/XX"]
+    # without a root the first class of the file counts, not the first by name
+    assert files.root_namespaces(classes.where("about LIKE '%Y_9' OR about LIKE '%X_2'"), headers).first().namespaces == ["http://purl.obolibrary.org/obo/XX"]
     found = {(r.s[-4:], r.p.split("/")[-1], r.o.split("/")[-1]) for r in files.ontology_triples(classes, spaces).collect()}
-    assert found == {("XX_1", "rdf-schema#label", "one"), ("XX_1", "rdf-schema#subClassOf", "XX_2"), ("XX_1", "RO_0002202", "XX_3"), ("XX_2", "rdf-schema#label", "two"), ("XX_2", "owl#deprecated", "true")}
+    assert found == {("XX_1", "rdf-schema#label", "one"), ("XX_1", "rdf-schema#subClassOf", "XX_2"), ("XX_1", "RO_0002202", "XX_3"), ("XX_2", "rdf-schema#label", "two")}  # owl: isn't among the kept predicates
+    statements = files.statement_triples(files.ontology_statements(spark, str(path)), files.prefixes(spark, str(path)), spaces)
+    kept = {(r.s[-4:], r.p.split("/")[-1], r.o.split("/")[-1]) for r in statements.collect()}
+    assert kept == {("XX_1", "rdf-schema#label", "one"), ("XX_1", "rdf-schema#subClassOf", "XX_2"), ("XX_2", "rdf-schema#label", "two"), ("XX_2", "IAO_0000115", "007"), ("XX_2", "rdf-schema#seeAlso", "XX_1"), ("XX_2", "date", "1.10")}
+    elements = files.ontology_terms(spark, str(path))
+    assert {r.file: r.ids for r in files.term_ids(elements).collect()} == {"xx.owl": ["RO", "XX", "YY"]}
+    assert {(r.namespace[-2:], r.is_root) for r in files.class_namespaces(classes, spaces).collect()} == {("XX", True), ("YY", False)}
+    labels = files.term_labels(elements)
+    assert {r.term: r.label for r in labels.collect()} == {"XX_1": "one", "XX_2": "two", "YY_9": "other", "RO_0002202": "develops from"}
+    both = files.term_labels(elements.union(elements.withColumn("file", F.lit("ro.owl")).where("about LIKE '%RO_%'")))
+    assert {r.term: r.label for r in both.collect()}["IAO_0000136"] == "is about"
+    slim = files.slimmed(classes, headers, files.ontology_statements(spark, str(path), "owl:ObjectProperty"), "http://purl.obolibrary.org/obo/XX_3")
+    assert slim[0].count() == 1 and slim[2].first().literal == "develops from" and slim[3].first().kept == 1
     assert [r.about[-4:] for r in files.taxon_slim(classes, "http://purl.obolibrary.org/obo/XX_3").collect()] == ["XX_1"]
-    assert {r.term: r.label for r in files.term_labels(classes).collect()}["RO_0002202"] == "develops from"
     assert files.files_matching(spark, str(tmp_path), r"x+\.owl").count() == 1
 
 

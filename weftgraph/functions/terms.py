@@ -43,6 +43,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: URIs whose parts can be cut out as they are: no escapes, no ports, no queries, nothing that is normalised; with one
+#: underscore in the last segment, or with a fragment.
+_PLAIN = r"^https?://[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?:/[A-Za-z0-9._-]+)*"
+PLAIN_TERM = _PLAIN + r"/[A-Za-z0-9.-]+_[A-Za-z0-9.-]+$"
+PLAIN_PREDICATE = _PLAIN + r"/[A-Za-z0-9._-]+(?:#[A-Za-z0-9._-]+)?$"
+
+
+def _plain(uri: Column, pattern: str) -> Column:
+    return uri.rlike(pattern) & ~uri.contains("/pcl/CS") & ~uri.contains("/ensembl/ENSG")
+
+
 def last_segment(uri: Column) -> Column:
     """The last segment of a URI's path, percent-decoded; null for what is no URI (a space, a bar or a ``<`` in it)."""
     path = F.try_url_decode(F.replace(F.try_parse_url(uri, F.lit("PATH")), F.lit("+"), F.lit("%2B")))
@@ -50,7 +61,13 @@ def last_segment(uri: Column) -> Column:
 
 
 def parse_term(uri: Column, valid: tuple[str, ...] = VALID_IDS) -> Column:
-    """struct(term, id, number, is_valid) of a URI: exactly two parts around ``_`` (or else ``:``), or all null."""
+    """struct(term, id, number, is_valid) of a URI: exactly two parts around ``_`` (or else ``:``), or all null.
+
+    Plain URIs, nearly all, are cut by generated code; the others go the way of expressions on their decoded path.
+    """
+    segment = F.substring_index(uri, "/", -1)
+    before = F.substring_index(segment, "_", 1)
+    cut = F.struct(segment.alias("term"), before.alias("id"), F.substring_index(segment, "_", -1).alias("number"), before.isin(*valid).alias("is_valid"))
 
     def parts(term: Column) -> Column:
         # trailing empty parts don't count
@@ -62,7 +79,7 @@ def parse_term(uri: Column, valid: tuple[str, ...] = VALID_IDS) -> Column:
         term = F.when(F.size(x["parts"]) == 2, x["term"])
         return F.struct(term.alias("term"), part(0).alias("id"), part(1).alias("number"), F.coalesce(part(0).isin(*valid), F.lit(False)).alias("is_valid"))
 
-    return let(let(let(let(uri, normalise_uri), last_segment), parts), fields)
+    return F.when(_plain(uri, PLAIN_TERM), cut).otherwise(let(let(let(let(uri, normalise_uri), last_segment), parts), fields))
 
 
 def parse_predicate(uri: Column) -> Column:

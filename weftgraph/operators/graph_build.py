@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.functions import terms
+from weftgraph.plans.iterate import step
 
 ORDER = ("file_rank", "seq", "value")
 
@@ -36,8 +37,9 @@ def vertices(triples: DataFrame, valid: tuple[str, ...], positions: tuple[str, .
 def attributes(triples: DataFrame, valid: tuple[str, ...]) -> DataFrame:
     """Literal triples as (collection, key, attr, value, file_rank, seq)."""
     literal = triples.where(terms.node_kind(F.col("o")) == "literal")
-    parsed = literal.select(terms.parse_term(F.col("s"), valid).alias("t"), terms.parse_predicate(F.col("p")).alias("q"), F.col("o").alias("value"), "file_rank", "seq")
-    return parsed.where("t.is_valid AND q.label IS NOT NULL").select(F.col("t.id").alias("collection"), F.col("t.number").alias("key"), F.col("q.label").alias("attr"), "value", "file_rank", "seq")
+    names = step(literal.select("p").distinct().select("p", terms.parse_predicate(F.col("p"))["label"].alias("attr")).where("attr IS NOT NULL"))
+    parsed = _beside(literal, names).select(terms.parse_term(F.col("s"), valid).alias("t"), "attr", F.col("o").alias("value"), "file_rank", "seq")
+    return parsed.where("t.is_valid").select(F.col("t.id").alias("collection"), F.col("t.number").alias("key"), "attr", "value", "file_rank", "seq")
 
 
 def promoted(attrs: DataFrame) -> DataFrame:
@@ -50,37 +52,79 @@ def last_wins(attrs: DataFrame, keys: tuple[str, ...] = ("collection", "key", "a
     return attrs.groupBy(*keys).agg(F.max_by("value", F.struct(*ORDER)).alias("value"))
 
 
-def edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
-    """Edges between valid terms, one per key, with all labels: (collection, key, src, dst, labels).
+#: Distinct predicates that are sent to all executors at most; with more, triples are shuffled by predicate.
+SENT = 10_000
 
-    ``labels`` (term, label) names predicates without a fragment; it is a small look-up, joined by Spark's choice.
-    """
-    parsed = triples.where(terms.node_kind(F.col("o")) == "uri").select(
-        terms.parse_term(F.col("s"), valid).alias("a"), terms.parse_predicate(F.col("p")).alias("q"), terms.parse_term(F.col("o"), valid).alias("b")
-    )
-    parsed = parsed.where("a.is_valid AND b.is_valid")
+
+def predicates(triples: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(p, curie, label) of the distinct predicates of triples, parsed once each; ``labels`` (term, label) names those without a fragment."""
+    found = triples.select("p").where("p IS NOT NULL").distinct().select("p", terms.parse_predicate(F.col("p")).alias("q"))
     label = F.col("q.label")
     if labels is not None:
         named = labels.select(F.col("term").alias("named_term"), F.col("label").alias("named"))
-        parsed = parsed.join(named, F.col("q.term") == F.col("named_term"), "left")
+        found = found.join(named, F.col("q.term") == F.col("named_term"), "left")
         label = F.coalesce(label, F.col("named"))
-    each = parsed.select(
+    return step(found.select("p", F.col("q.curie").alias("curie"), terms.edge_label(label).alias("label")))
+
+
+def _beside(triples: DataFrame, found: DataFrame) -> DataFrame:
+    return triples.join(F.broadcast(found) if found.count() <= SENT else found, "p")
+
+
+def edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
+    """Edges between valid terms, one per key, with all labels: (collection, key, src, dst, labels).
+
+    Triples whose predicate has no label make no edge. Predicates are few: they are parsed apart and sent to the triples.
+    As a key names its predicate, an edge has one label unless several predicates share a CURIE but not their label.
+    """
+    found = predicates(triples, labels).where("label IS NOT NULL")
+    parsed = _beside(triples.where(terms.node_kind(F.col("o")) == "uri").select("s", "p", "o"), found).select(
+        terms.parse_term(F.col("s"), valid).alias("a"), "curie", "label", terms.parse_term(F.col("o"), valid).alias("b")
+    )
+    each = parsed.where("a.is_valid AND b.is_valid").select(
         F.concat_ws("-", "a.id", "b.id").alias("collection"),
-        F.concat_ws("-", "a.number", "q.curie", "b.number").alias("key"),
+        F.concat_ws("-", "a.number", "curie", "b.number").alias("key"),
         F.concat_ws("/", "a.id", "a.number").alias("src"),
         F.concat_ws("/", "b.id", "b.number").alias("dst"),
-        terms.edge_label(label).alias("label"),
+        "label",
     )
+    if found.groupBy("curie").agg(F.count_distinct("label").alias("n")).where("n > 1").isEmpty():
+        return each.distinct().select("collection", "key", "src", "dst", F.array("label").alias("labels"))
     return each.groupBy("collection", "key", "src", "dst").agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 
+def last_label_edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
+    """Edges (collection, key, src, dst, label) of result tuples (file_rank, seq, s, p, o): the label of the last tuple of a key stays."""
+    found = predicates(triples, labels).where("label IS NOT NULL")
+    parsed = _beside(triples.where(terms.node_kind(F.col("o")) == "uri"), found)
+    a, b = terms.parse_term(F.col("s"), valid), terms.parse_term(F.col("o"), valid)
+    each = parsed.select(a.alias("a"), b.alias("b"), "curie", "label", "file_rank", "seq").where("a.is_valid AND b.is_valid").select(
+        F.concat_ws("-", "a.id", "b.id").alias("collection"),
+        F.concat_ws("-", "a.number", "curie", "b.number").alias("key"),
+        F.concat_ws("/", "a.id", "a.number").alias("src"),
+        F.concat_ws("/", "b.id", "b.number").alias("dst"),
+        "label",
+        "file_rank",
+        "seq",
+    )
+    return each.groupBy("collection", "key", "src", "dst").agg(F.max_by("label", F.struct("file_rank", "seq", "label")).alias("label"))
+
+
+def with_source(edges: DataFrame) -> DataFrame:
+    """Edges of ontologies with ``source``, which follows from the collection of their subject."""
+    return edges.withColumn("source", terms.edge_source(F.substring_index("src", "/", 1)))
+
+
 def edge_attributes(quintuples: DataFrame, edges: DataFrame, valid: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """The last value of each edge attribute, and the quintuples whose edge does not exist."""
-    parsed = quintuples.select(terms.parse_term(F.col("s"), valid).alias("a"), terms.parse_predicate(F.col("p")).alias("q"), terms.parse_term(F.col("o"), valid).alias("b"), "attr", "value", "file_rank", "seq")
+    found = predicates(quintuples).select("p", "curie")
+    names = step(quintuples.select("attr").where("attr IS NOT NULL").distinct().select("attr", terms.parse_predicate(F.col("attr"))["label"].alias("name")))
+    parsed = _beside(quintuples, found).join(F.broadcast(names) if names.count() <= SENT else names, "attr")
+    parsed = parsed.select(terms.parse_term(F.col("s"), valid).alias("a"), "curie", terms.parse_term(F.col("o"), valid).alias("b"), F.col("name").alias("attr"), "value", "file_rank", "seq")
     each = parsed.select(
         F.concat_ws("-", "a.id", "b.id").alias("collection"),
-        F.concat_ws("-", "a.number", "q.curie", "b.number").alias("key"),
-        terms.parse_predicate(F.col("attr"))["label"].alias("attr"),
+        F.concat_ws("-", "a.number", "curie", "b.number").alias("key"),
+        "attr",
         "value",
         "file_rank",
         "seq",

@@ -180,5 +180,63 @@ def longest_chains(edges: DataFrame, starts: DataFrame, most: int = 64) -> DataF
     return best.join(size, "start").where(F.size("chain") == F.col("size")).groupBy("start").agg(F.min("chain").alias("chain"))
 
 
-def empty_ids(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "id string")
+def paths_with_chains(edges: DataFrame, start: str, steps: tuple[str, ...], position: int, label: str, most: int = 64) -> DataFrame:
+    """(vertices, edges, chain): typed paths, each with the longest chain of one label above its vertex at ``position``.
+
+    The chain starts with that vertex; paths whose vertex has nothing above it get a chain of it alone.
+    """
+    paths = typed_paths(edges, start, steps).withColumn("_at", F.get("vertices", F.lit(position)))
+    collection = steps[position - 1]
+    up = hierarchy_edges(edges, {collection: ("walk", label)})
+    chains = longest_chains(up, paths.select(F.col("_at").alias("id")).distinct(), most)
+    return paths.join(chains.withColumnRenamed("start", "_at"), "_at", "left").select("vertices", "edges", F.coalesce("chain", F.array("_at")).alias("chain"))
+
+
+def path_set(edges: DataFrame, start: str, patterns: list[tuple[tuple[str, ...], str | None]]) -> DataFrame:
+    """(pattern, vertices, edges, chain): the paths of all patterns (collections, label of the chain above the last one, or None).
+
+    Patterns are walked together: every prefix that several share is joined once and written.
+    """
+    both = edges.select(F.concat_ws("/", "collection", "key").alias("e"), F.col("src").alias("a"), F.col("dst").alias("b"))
+    both = both.union(both.select("e", F.col("b").alias("a"), F.col("a").alias("b")))
+    both = step(both.withColumns({"ca": terms.collection_of(F.col("a")), "cb": terms.collection_of(F.col("b"))}))
+    prefixes: dict[tuple[str, ...], DataFrame] = {}
+
+    def walked(steps: tuple[str, ...]) -> DataFrame:
+        if steps not in prefixes:
+            hop = both.where((F.col("ca") == (start, *steps)[-2]) & (F.col("cb") == steps[-1])).select("e", "a", "b")
+            if len(steps) == 1:
+                found = hop.select(F.array("a", "b").alias("vertices"), F.array("e").alias("edges"), F.col("b").alias("at"))
+            else:
+                before = walked(steps[:-1])
+                on = (before["at"] == hop["a"]) & ~F.array_contains(before["edges"], hop["e"])
+                found = before.join(hop, on).select(F.array_append("vertices", F.col("b")).alias("vertices"), F.array_append("edges", F.col("e")).alias("edges"), F.col("b").alias("at"))
+            shared = sum(p[: len(steps)] == steps for p, _ in patterns) > 1
+            prefixes[steps] = step(found) if shared else found
+        return prefixes[steps]
+
+    out = None
+    for steps, label in patterns:
+        found = walked(steps)
+        if label is None:
+            made = found.withColumn("chain", F.lit(None).cast("array<string>"))
+        else:
+            up = hierarchy_edges(edges, {steps[-1]: ("walk", label)})
+            chains = longest_chains(up, found.select(F.col("at").alias("id")).distinct())
+            made = found.join(chains.withColumnRenamed("start", "at"), "at", "left").withColumn("chain", F.coalesce("chain", F.array("at")))
+        made = made.select(F.lit(" ".join((start, *steps))).alias("pattern"), "vertices", "edges", "chain")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
+def members(paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct vertices (id) and edges (id) of paths and their chains."""
+    vertices = paths.select(F.explode(F.concat("vertices", F.coalesce("chain", F.array().cast("array<string>")))).alias("id")).distinct()
+    return vertices, paths.select(F.explode("edges").alias("id")).distinct()
+
+
+def build_subgraph(vertices: DataFrame, edges: DataFrame, collection: str, rules: dict[str, tuple[str, str | None]] = HIERARCHY, depth: int = MAX_DEPTH, **ignored: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The whole job: vertices and edges around a collection, completed by their ontologies, with all their columns."""
+    ids, among = enrich(vertices, edges, *find(vertices, edges, collection, depth, **ignored), rules)
+    kept = vertices.withColumn("_id", F.concat_ws("/", "collection", "key")).join(ids.withColumnRenamed("id", "_id"), "_id", "left_semi").drop("_id")
+    return kept, among

@@ -60,3 +60,34 @@ def mesh_to_mondo(classes: DataFrame, overrides: DataFrame) -> DataFrame:
     first = F.get(F.filter("xrefs", lambda x: x.startswith("MESH:")), F.lit(0))
     found = classes.withColumn("mesh", first).where("mesh IS NOT NULL").groupBy("mesh").agg(F.max_by("mondo", "seq").alias("mondo"))
     return found.join(overrides, "mesh", "left_anti").unionByName(overrides.select("mesh", "mondo"))
+
+
+def gene_maps(mapping: DataFrame) -> dict[str, DataFrame]:
+    """The four look-ups of a gene mapping (row_no, name, ensembl, entrez): (key, values), all values in row order."""
+    pairs = (("name", "ensembl"), ("ensembl", "name"), ("name", "entrez"), ("entrez", "name"))
+    return {f"{a}_to_{b}": all_matches(mapping.select("row_no", a, b), a, b).withColumnRenamed(a, "key") for a, b in pairs}
+
+
+def protein_maps(rows: DataFrame) -> dict[str, DataFrame]:
+    """Both look-ups of protein ids (row_no, ensp, accession): (key, values), in row order."""
+    pairs = (("ensp", "accession"), ("accession", "ensp"))
+    return {f"{a}_to_{b}": all_matches(rows.select("row_no", a, b), a, b).withColumnRenamed(a, "key") for a, b in pairs}
+
+
+def ids_of_names(names: DataFrame, mapping: DataFrame, ident: str) -> DataFrame:
+    """(id): distinct ids (``ensembl`` or ``entrez``) of names (name), the first of each, sorted; Ensembl-like names count as their own id, version cut off."""
+    first = first_match(mapping.select("row_no", "name", ident), "name", ident)
+    found = names.join(first, "name", "left")
+    own = F.when(F.col("name").contains("ENSG"), F.substring_index("name", ".", 1)) if ident == "ensembl" else F.lit(None).cast("string")
+    return found.select(F.coalesce(own, ident).alias("id")).where("id IS NOT NULL").distinct().orderBy("id")
+
+
+def accessions(genes: DataFrame) -> DataFrame:
+    """(accession): distinct, non-empty protein names of gene records (UniProt_name)."""
+    return genes.where("UniProt_name <> ''").select(F.col("UniProt_name").alias("accession")).distinct()
+
+
+def with_gene_records(rows: DataFrame, genes: DataFrame) -> DataFrame:
+    """Rows (entrez, ...) with the protein name and link of their gene record (Gene_ID, UniProt_name, Link_to_UniProt_ID), or null."""
+    record = genes.select(F.col("Gene_ID").alias("entrez"), F.col("UniProt_name").alias("protein"), F.col("Link_to_UniProt_ID").alias("link"))
+    return rows.join(record, "entrez", "left")

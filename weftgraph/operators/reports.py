@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,3 +99,44 @@ def newest(files: DataFrame, stem: str, version: str) -> DataFrame:
     """Files with ``current``: whether theirs is the newest version of its stem (ties: the greatest name)."""
     top = Window.partitionBy(stem).orderBy(F.desc(version), F.desc("name"))
     return files.withColumn("current", F.row_number().over(top) == 1)
+
+
+def flattened(rows: DataFrame, key: str, payload: str, depth: int = 6) -> DataFrame:
+    """(key, path, type, value) of the leaves of variant payloads, and of lists their length (path ``[]``); nested ``depth`` deep at most."""
+    spark, out = rows.sparkSession, None
+    level = rows.select(key, F.lit("$").alias("path"), F.col(payload).alias("v"))
+    for _ in range(depth + 1):
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+        level = level.withColumn("type", kind)
+        leaf = level.where(~F.col("type").isin("OBJECT", "ARRAY")).select(key, "path", "type", F.col("v").cast("string").alias("value"))
+        size = F.size(F.try_variant_get("v", "$", "array<variant>"))
+        lists = level.where("type = 'ARRAY'").select(key, F.concat("path", F.lit("[]")).alias("path"), F.lit("LENGTH").alias("type"), size.cast("string").alias("value"))
+        found = leaf.unionByName(lists)
+        out = found if out is None else out.unionByName(found)
+        inner = level.where(F.col("type").isin("OBJECT", "ARRAY")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        name = F.when(F.col("key_").isNull(), F.concat(F.lit("["), F.col("pos"), F.lit("]"))).otherwise(F.concat(F.lit("."), "key_"))
+        level = inner.toDF(key, "path", "v", "type", "pos", "key_", "value").select(key, F.concat("path", name).alias("path"), F.col("value").alias("v"))
+    return out
+
+
+def nested_difference(old: DataFrame, new: DataFrame, key: str, payload: str) -> DataFrame:
+    """(key, path, problem, old, new): where two sets of payloads differ - missing or extra paths, types, lengths, values."""
+    o = flattened(old, key, payload).select(key, "path", F.col("type").alias("old_type"), F.col("value").alias("old"))
+    n = flattened(new, key, payload).select(key, "path", F.col("type").alias("new_type"), F.col("value").alias("new"))
+    problem = (
+        F.when(F.col("new_type").isNull(), "missing")
+        .when(F.col("old_type").isNull(), "extra")
+        .when(F.col("old_type") != F.col("new_type"), "type")
+        .when(~F.col("old").eqNullSafe(F.col("new")), F.when(F.col("old_type") == "LENGTH", "length").otherwise("value"))
+    )
+    return o.join(n, [key, "path"], "full_outer").select(key, "path", problem.alias("problem"), "old", "new").where("problem IS NOT NULL")
+
+
+def most_common(rows: DataFrame, column: str, most: int = 10) -> DataFrame:
+    """(value, n): the values that stand most often, ties by value. The limit is the feature."""
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(most)
+
+
+def statement_kinds(triples: DataFrame, kind: Callable[[str], Column]) -> DataFrame:
+    """(s_kind, p, o_kind, n): how many triples have each kind of subject and object under each predicate."""
+    return triples.groupBy(kind("s").alias("s_kind"), "p", kind("o").alias("o_kind")).agg(F.count("*").alias("n"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.functions.terms import edge_label
 from weftgraph.operators.reports import edge_definitions
 
 
@@ -30,8 +31,27 @@ def prefer_full(part: DataFrame, full: DataFrame) -> DataFrame:
 
 def node_table(vertices: DataFrame) -> DataFrame:
     """Nodes for TSV: (id, category, attributes), arrays joined by bars."""
-    attrs = F.array_join(F.transform(F.map_entries("attrs"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "|"))), ";")
-    return vertices.select(F.concat_ws(":", "collection", "key").alias("id"), F.col("collection").alias("category"), attrs.alias("attributes"))
+    entries = F.array_sort(F.transform(F.map_entries("attrs"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "|"))))
+    return vertices.select(F.concat_ws(":", "collection", "key").alias("id"), F.col("collection").alias("category"), F.array_join(entries, ";").alias("attributes"))
+
+
+def write_tsv(table: DataFrame, path: str) -> None:
+    table.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").csv(path)
+
+
+def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of nodes or edges written as TSV."""
+    return spark.read.option("sep", "\t").option("header", True).option("quote", "").schema(schema).csv(path)
+
+
+def write_lines(lines: DataFrame, column: str, path: str) -> None:
+    """A text column as lines of text: label catalogues, obsolete terms, N-Triples."""
+    lines.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+
+
+def label_lines(labels: DataFrame) -> DataFrame:
+    """``label: NORMALISED`` of distinct raw labels (label)."""
+    return labels.distinct().select(F.concat_ws(": ", "label", edge_label(F.col("label"))).alias("value"))
 
 
 def edge_table(edges: DataFrame) -> DataFrame:
@@ -47,6 +67,13 @@ def n_triples(edges: DataFrame, base: str) -> DataFrame:
     return each.select(F.concat(uri(F.col("src")), F.lit(" "), uri(F.col("label")), F.lit(" "), uri(F.col("dst")), F.lit(" .")).alias("value"))
 
 
+def attribute_triples(vertices: DataFrame, base: str) -> DataFrame:
+    """One line of N-Triples for each value of each attribute of vertices (collection, key, attrs)."""
+    each = vertices.select(F.concat_ws("_", "collection", "key").alias("term"), F.explode("attrs").alias("name", "values")).select("term", "name", F.explode("values").alias("v"))
+    text = F.replace(F.replace(F.replace("v", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+    return each.select(F.concat(F.lit(f"<{base}"), "term", F.lit(f"> <{base}"), "name", F.lit('> "'), text, F.lit('" .')).alias("value"))
+
+
 def routed(nodes: DataFrame) -> DataFrame:
     """Nodes (id as CURIE, ...) with the collection and key that their id names."""
     return nodes.withColumns({"collection": F.substring_index("id", ":", 1), "key": F.substr(F.col("id"), F.instr("id", ":") + 1)})

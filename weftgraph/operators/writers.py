@@ -6,7 +6,7 @@ list, on which last-wins rules depend. Tuples with a null term, object or value
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions import terms
@@ -30,6 +30,7 @@ PREDICATES = {
     "BiomarkerCombinationSubclusterOfBinaryGeneSet": "RO_0015003",
     "CellSetComposedPrimarilyOfCellType": "RO_0002473",
     "CellTypeHasExemplarDataCellSetDataset": "RO_0015001",
+    "CellSetDatasetWasAttributedToPublication": "source",
     "GeneIsGeneticBasisForDisease": "RO_0004010",
     "DrugMolecularlyInteractsWithProtein": "RO_0002436",
     "DrugIsSubstanceThatTreatsDisease": "RO_0002606",
@@ -38,7 +39,16 @@ PREDICATES = {
     "MutationHasPharmacologicalEffectDrug": "RO_0002027",
     "MutationInvolvedInVariantConsequence": "RO_0002331",
     "GeneProducesProtein": "RO_0003000",
+    "CellTypePartOfAnatomicalStructure": "BFO_0000050",
+    "CellTypeExpressesGene": "RO_0002292",
+    "GenePartOfCellType": "BFO_0000050",
+    "CellTypeSelectivelyExpressesGene": "RO_0002294",
 }
+DC = "http://purl.org/dc/elements/1.1/"
+# fixed values: fields of datasets, publications and proteins, by the column they come from
+DATASET_FIELDS = {"Dataset_name": "dataset_name", "Organism": "species", "Tissue": "anatomical_structure", "Disease_status": "disease_status", "Number_of_cells": "cell_count", "Link_to_CELLxGENE_collection": "cellxgene_collection", "Link_to_CELLxGENE_dataset": "cellxgene_dataset", "Collection_ID": "collection_id"}
+PUBLICATION_FIELDS = {"Author_list": "author_list", "Year": "year", "Title": "title", "Journal": "journal"}
+PROTEIN_FIELDS = {"Protein_name": "label", "Number_of_amino_acids": "number_of_amino_acids", "Function": "protein_function", "Organism": "species", "Annotation_score": "annotation_score"}
 
 
 def term(prefix: str, *parts: Column) -> Column:
@@ -54,7 +64,44 @@ def curie_term(curie: Column) -> Column:
 
 
 def predicate(association: str) -> Column:
-    return F.lit(PURL + PREDICATES[association])
+    name = PREDICATES[association]
+    return F.lit((DC if name == "source" else PURL) + name)
+
+
+def catalogue(spark: SparkSession) -> DataFrame:
+    """(association, predicate): all associations and the URI of their predicates."""
+    return spark.createDataFrame([(name, (DC if p == "source" else PURL) + p) for name, p in PREDICATES.items()], "association string, predicate string")
+
+
+def resolved(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (association, ...) with their predicate, and the rows whose association the catalogue lacks."""
+    small = F.broadcast(known)  # the catalogue, of fixed size
+    secure = F.regexp_replace("predicate", "^https:", "http:")
+    return rows.join(small, "association").withColumn("predicate", secure), rows.join(small, "association", "left_anti")
+
+
+def field_name(name: Column, names: dict[str, str] | None = None) -> Column:
+    """The attribute of a field: as it is, but for the given names."""
+    if not names:
+        return name
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), name), name)
+
+
+def entity_term(kind: str, **part: Column) -> Column:
+    """The term of an entity of a kind from its parts; null if a part that its rule needs is missing."""
+    by = {
+        "Gene": lambda: F.concat(F.lit("GS_"), part["symbol"]),
+        "Protein": lambda: F.concat(F.lit("PR_"), part["accession"]),
+        "CellSet": lambda: F.concat(F.lit("CS_"), terms.hyphenate(part["name"]), F.lit("-"), part["uuid"]),
+        "CellSetDataset": lambda: F.concat(F.lit("CSD_"), part["id"]),
+        "BiomarkerCombination": lambda: F.concat(F.lit("BMC_"), part["uuid"]),
+        "BinaryGeneSet": lambda: F.concat(F.lit("BGS_"), part["uuid"]),
+        "Publication": lambda: F.concat(F.lit("PUB_"), F.coalesce(part["dataset"], part["doi"])),
+        "Drug": lambda: F.coalesce(F.concat(F.lit("CHEMBL_"), F.replace(part["id"], F.lit("CHEMBL"), F.lit(""))), F.concat(F.lit("DRUG_"), part["label"])),
+        "ClinicalTrial": lambda: F.concat(F.lit("NCT_"), F.regexp_replace(F.upper(part["id"]), "^NCT_?", "")),
+        "Mutation": lambda: F.replace(part["id"], F.lit("rs"), F.lit("RS_")),
+    }
+    return by[kind]() if kind in by else terms.curie_to_term(part["curie"])
 
 
 def triple(s: Column, p: Column, o: Column) -> Column:
@@ -79,10 +126,10 @@ def association(name: str, s: Column, o: Column, source: str | None = None, fiel
     return out + [quintuple(s, predicate(name), o, attr, value) for attr, value in (fields or {}).items()]
 
 
-def emit(rows: DataFrame, tuples: list[Column], *keys: str) -> DataFrame:
-    """(keys, seq, arity, s, p, o, attr, value) of all tuples of all rows."""
+def emit(rows: DataFrame, tuples: list[Column], *keys: str, after: int = 0) -> DataFrame:
+    """(keys, seq, arity, s, p, o, attr, value) of all tuples of all rows; places are counted from ``after``."""
     whole = lambda x: x["s"].isNotNull() & x["p"].isNotNull() & x["o"].isNotNull() & (x["attr"].isNull() | x["value"].isNotNull())
-    made = rows.select(*keys, F.posexplode(F.array(*tuples)).alias("seq", "t")).where(whole(F.col("t")))
+    made = rows.select(*keys, F.posexplode(F.array(*tuples)).alias("seq", "t")).where(whole(F.col("t"))).withColumn("seq", F.col("seq") + after)
     arity = F.when(F.col("t.attr").isNull(), 3).otherwise(5)
     return made.select(*keys, "seq", arity.alias("arity"), "t.*")
 
@@ -118,12 +165,13 @@ def marker_tuples(clusters: DataFrame) -> DataFrame:
     expressed = association("CellSetExpressesGene", cell_set, gene, "NSForest")
     genes = big.withColumn("gene", F.explode("markers"))
     if "binary_genes" not in has:
-        return emit(big, once, "cluster").unionByName(emit(genes, part + expressed, "cluster"))
+        return emit(big, once, "cluster").unionByName(emit(genes, part + expressed, "cluster", after=len(once)))
     binary = term("BGS", F.col("uuid"))
     once += association("CellSetExpressesBinaryGeneSet", cell_set, binary, "NSForest")
     once += association("BiomarkerCombinationSubclusterOfBinaryGeneSet", combination, binary, "NSForest")
     binary_genes = big.withColumn("gene", F.explode("binary_genes"))
-    return emit(big, once, "cluster").unionByName(emit(genes, part, "cluster")).unionByName(emit(binary_genes, expressed, "cluster"))
+    made = emit(big, once, "cluster").unionByName(emit(genes, part, "cluster", after=len(once)))
+    return made.unionByName(emit(binary_genes, expressed, "cluster", after=len(once) + len(part)))
 
 
 def mapping_tuples(mappings: DataFrame) -> DataFrame:
@@ -135,9 +183,49 @@ def mapping_tuples(mappings: DataFrame) -> DataFrame:
         *association("CellSetComposedPrimarilyOfCellType", cell_set, cell_type, "Manual Mapping", {"Match": F.col("match"), "Mapping_method": F.col("method")}),
         *association("CellTypeHasExemplarDataCellSetDataset", cell_type, dataset, "Manual Mapping"),
     ]
+    if "citation" in mappings.columns:
+        tuples += annotations(dataset, {"Citation": F.col("citation")})
     return emit(good, tuples, "cluster")
 
 
+def dataset_tuples(datasets: DataFrame) -> DataFrame:
+    """Datasets (id, Link_to_publication, Citation and the columns of the field lists) to tuples of datasets and publications."""
+    dataset, publication = term("CSD", F.col("id")), term("PUB", F.col("id"))
+    link = {"publication_doi": F.col("Link_to_publication")}
+    fields = lambda names: {name: F.col(c) for c, name in names.items()}
+    tuples = [
+        *association("CellSetDatasetWasAttributedToPublication", dataset, publication, "CELLxGENE"),
+        *annotations(dataset, fields(DATASET_FIELDS)),
+        *annotations(publication, link | fields(PUBLICATION_FIELDS)),
+        *annotations(dataset, {"Citation": F.nullif("Citation", F.lit(""))}),
+        *annotations(publication, {"Citation": F.nullif("Citation", F.lit(""))}),
+    ]
+    return emit(datasets, tuples, "id")
+
+
+def protein_tuples(proteins: DataFrame) -> DataFrame:
+    """Proteins (accession and the columns of the field list) to annotations."""
+    return emit(proteins, annotations(term("PR", F.col("accession")), {name: F.col(c) for c, name in PROTEIN_FIELDS.items()}), "accession")
+
+
+def in_order(*writers: DataFrame) -> DataFrame:
+    """The tuples of all writers, each with the place of its writer in ``file_rank``: later ones take precedence."""
+    columns = ["seq", "arity", "s", "p", "o", "attr", "value"]
+    first, *rest = [tuples.select(F.lit(rank).alias("file_rank"), *columns) for rank, tuples in enumerate(writers)]
+    for tuples in rest:
+        first = first.unionByName(tuples)
+    return first
+
+
+def deduplicated(tuples: DataFrame) -> DataFrame:
+    """Tuples without repeats: relations and their attributes once, of a subject's annotations (s, p) the last (file_rank, seq)."""
+    order = F.struct("file_rank", "seq", "o", "value")
+    annotation = F.col("p").startswith(RDF) & (F.col("arity") == 3)
+    key = F.when(annotation, F.lit("")).otherwise(F.concat_ws("\u0001", "o", "attr", F.coalesce("value", F.lit(""))))
+    last = tuples.withColumn("_key", key).groupBy("arity", "s", "p", "_key").agg(F.max_by(F.struct("file_rank", "seq", "o", "attr", "value"), order).alias("x"))
+    return last.select("x.file_rank", "x.seq", "arity", "s", "p", "x.o", "x.attr", "x.value")
+
+
 def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
     """Targets (gene, protein, diseases array<struct<id,name,score>>, drugs array<struct<id,name,phase,withdrawn,trials array<string>>>) to tuples.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftgraph.functions import terms
 from weftgraph.operators import graph_build as B
 from weftgraph.operators import graph_query as G
+from weftgraph.plans.iterate import step
 from weftgraph.plans.registry import register
 from weftgraph.sources import derived as D
 
@@ -45,14 +46,26 @@ found AS (SELECT id, min(depth) AS depth FROM walk GROUP BY id)"""
 RULES = {"PART": ("walk", "SUB_CLASS_OF"), "NATION": ("all", None), "TURN": ("walk", "PART_OF"), "SUPP": ("none", None)}
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.edges(D.links(spark, sf_dir), D.VALID, D.predicate_labels(spark))
+def edges(spark: SparkSession, sf_dir: str, *predicates: str) -> DataFrame:
+    """Edges of all links, or of those with the given predicates; then only the tables that have them are read."""
+    links = D.links(spark, sf_dir)
+    return B.edges(links.where(F.col("p").isin(*predicates)) if predicates else links, D.VALID, D.predicate_labels(spark))
 
 
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.vertices(D.links(spark, sf_dir), D.VALID)
 
 
+def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges for walks, which read edges at every turn: written once. Vertices are the ends of edges here."""
+    e = step(edges(spark, sf_dir))
+    ends = e.select("src").union(e.select("dst")).distinct()
+    return ends.select(terms.collection_of(F.col("src")).alias("collection"), terms.key_of(F.col("src")).alias("key")), e
+
+
+PART_OF, SUB_CLASS_OF = terms.PURL + "BFO_0000050", terms.RDFS + "subClassOf"
+
+
 def flat(edges: DataFrame) -> DataFrame:
     return edges.select("collection", "key", "src", "dst", F.array_join("labels", ",").alias("label"))
 
@@ -112,12 +125,12 @@ QUINTUPLES = """each AS (SELECT concat(l_orderkey, '-RO:0002351-', l_partkey + C
 
 @register("edge_attributes_last_wins", f"WITH {LINKS}, {QUINTUPLES} SELECT 'ORD-PART' AS collection, key, attr, arg_max(value, row(rank, seq, value)) AS value FROM each SEMI JOIN edges USING (key) GROUP BY key, attr")
 def edge_attributes_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.edge_attributes(D.quintuples(spark, sf_dir), edges(spark, sf_dir), D.VALID)[0]
+    return B.edge_attributes(D.quintuples(spark, sf_dir), edges(spark, sf_dir, terms.PURL + "RO_0002351"), D.VALID)[0]
 
 
 @register("quintuples_without_edge", f"WITH {LINKS}, {QUINTUPLES} SELECT 'ORD-PART' AS collection, key, attr, value, CAST(rank AS INTEGER) AS file_rank, CAST(seq AS BIGINT) AS seq FROM each ANTI JOIN edges USING (key)")
 def quintuples_without_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.edge_attributes(D.quintuples(spark, sf_dir), edges(spark, sf_dir), D.VALID)[1]
+    return B.edge_attributes(D.quintuples(spark, sf_dir), edges(spark, sf_dir, terms.PURL + "RO_0002351"), D.VALID)[1]
 
 
 @register(
@@ -127,8 +140,8 @@ def quintuples_without_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edge_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges left when vertices of a kind (here: small parts, in the place of obsolete terms) are dropped."""
     attrs = B.attributes(D.literals(spark, sf_dir), D.VALID).withColumn("value", F.replace("value", F.lit("small"), F.lit("obsolete")))
-    kept = vertices(spark, sf_dir).join(B.obsolete(attrs), ["collection", "key"], "left_anti")
-    return flat(B.with_both_ends(edges(spark, sf_dir), kept))
+    v, e = graph(spark, sf_dir)
+    return flat(B.with_both_ends(e, v.join(B.obsolete(attrs), ["collection", "key"], "left_anti")))
 
 
 @register(
@@ -157,7 +170,7 @@ def vertex_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT * FROM o WHERE CAST(split_part(key, '-', 1) AS BIGINT) % 3 <> 0""",
 )
 def edge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_ = edges(spark, sf_dir).where("collection = 'CUST-NATION'").withColumn("number", F.substring_index("key", "-", 1).cast("long"))
+    all_ = edges(spark, sf_dir, terms.PURL + "RO_0001025").where("collection = 'CUST-NATION'").withColumn("number", F.substring_index("key", "-", 1).cast("long"))
     old = all_.where("number % 2 = 0").drop("number")
     new = all_.where("number % 3 = 0").drop("number").withColumn("labels", F.array(F.lit("NEW")))
     known = D.table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select(F.lit("CUST").alias("collection"), F.col("c_custkey").cast("string").alias("key"))
@@ -173,12 +186,12 @@ def pair_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("breadth_first_search", f"{WALK}, {REACHED} SELECT id, CAST(depth AS INTEGER) AS depth FROM found")
 def breadth_first_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", DEPTH, **WALK_ARGS)[0]
+    return G.find(*graph(spark, sf_dir), "SUPP", DEPTH, **WALK_ARGS)[0]
 
 
 @register("induced_subgraph", f"{WALK}, {REACHED} SELECT edges.* FROM edges WHERE src IN (SELECT id FROM found) AND dst IN (SELECT id FROM found)")
 def induced_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", DEPTH, **WALK_ARGS)[1])
+    return flat(G.find(*graph(spark, sf_dir), "SUPP", DEPTH, **WALK_ARGS)[1])
 
 
 @register(
@@ -186,8 +199,8 @@ def induced_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{WALK}, walk AS (SELECT 'NATION/' || n_nationkey AS source, 'NATION/' || n_nationkey AS id, 0 AS depth FROM nation UNION SELECT walk.source, near.b, walk.depth + 1 FROM walk JOIN near ON near.a = walk.id WHERE depth < 2) SELECT source, id, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY source, id",
 )
 def distances_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = G.adjacency(edges(spark, sf_dir), **WALK_ARGS)
-    return G.reach_each(near, G.ids_of(vertices(spark, sf_dir), "NATION"), 2)
+    v, e = graph(spark, sf_dir)
+    return G.reach_each(G.adjacency(e, **WALK_ARGS), G.ids_of(v, "NATION"), 2)
 
 
 @register(
@@ -196,7 +209,7 @@ def distances_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ancestor_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = D.table(spark, sf_dir, "part").where("p_size = 1").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
-    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)[1])
+    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)[1])
 
 
 @register(
@@ -206,7 +219,7 @@ def ancestor_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id FROM ids UNION SELECT id FROM up UNION SELECT 'NATION/' || key FROM verts WHERE collection = 'NATION'""",
 )
 def enriched_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = vertices(spark, sf_dir), edges(spark, sf_dir)
+    v, e = graph(spark, sf_dir)
     found = G.reach(G.adjacency(e, **WALK_ARGS), G.ids_of(v.where("collection = 'SUPP' AND CAST(key AS INT) < 3")), 3)
     return G.enrich(v, e, found, G.induced(e, found), RULES)[0]
 
@@ -216,7 +229,7 @@ def enriched_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {LINKS} SELECT concat_ws(' ', a.src, a.dst, b.dst) AS path FROM edges a JOIN edges b ON a.dst = b.src WHERE a.collection = 'SUPP-NATION' AND b.collection = 'NATION-REGION' UNION ALL SELECT concat_ws(' ', a.src, a.dst, b.src) FROM edges a JOIN edges b ON a.dst = b.dst AND a.key <> b.key WHERE a.collection = 'SUPP-NATION' AND b.collection = 'SUPP-NATION'",
 )
 def typed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = edges(spark, sf_dir)
+    e = step(edges(spark, sf_dir, terms.PURL + "RO_0001025", PART_OF))
     paths = G.typed_paths(e, "SUPP", ("NATION", "REGION")).union(G.typed_paths(e, "SUPP", ("NATION", "SUPP")))
     return paths.select(F.array_join("vertices", " ").alias("path"))
 
@@ -227,7 +240,7 @@ def typed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(0 AS INTEGER) AS position, r AS id FROM p UNION SELECT 1, n FROM p UNION SELECT 2, c FROM p UNION SELECT 3, o FROM p""",
 )
 def path_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.path_members(edges(spark, sf_dir), "REGION", ("NATION", "CUST", "ORD"))
+    return G.path_members(edges(spark, sf_dir, PART_OF, terms.PURL + "RO_0001025", terms.PURL + "RO_0000057"), "REGION", ("NATION", "CUST", "ORD"))
 
 
 @register(
@@ -236,7 +249,7 @@ def path_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def longest_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = D.table(spark, sf_dir, "part").where("p_size = 2").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
-    chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)
+    chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)
     return chains.select("start", F.array_join("chain", " ").alias("chain"))
 
 
@@ -244,7 +257,7 @@ def longest_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weftgraph.plans.iterate import components
 
-    turns = edges(spark, sf_dir).where("collection = 'TURN-TURN'").select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    turns = edges(spark, sf_dir, PART_OF).where("collection = 'TURN-TURN'").select(F.col("src").alias("a"), F.col("dst").alias("b"))
     return components(turns)
 
 
@@ -294,28 +307,28 @@ def tuple_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("breadth_first_search_whole")
 def breadth_first_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", **WALK_ARGS)[0]
+    return G.find(*graph(spark, sf_dir), "SUPP", **WALK_ARGS)[0]
 
 
 @register("induced_subgraph_whole")
 def induced_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(G.find(vertices(spark, sf_dir), edges(spark, sf_dir), "SUPP", **WALK_ARGS)[1])
+    return flat(G.find(*graph(spark, sf_dir), "SUPP", **WALK_ARGS)[1])
 
 
 @register("enriched_subgraph_whole")
 def enriched_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = vertices(spark, sf_dir), edges(spark, sf_dir)
+    v, e = graph(spark, sf_dir)
     return G.enrich(v, e, *G.find(v, e, "SUPP", **WALK_ARGS), RULES)[0]
 
 
 @register("ancestor_walk_whole")
 def ancestor_walk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = G.ids_of(vertices(spark, sf_dir), "PART")
-    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)[1])
+    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)[1])
 
 
 @register("longest_chains_whole")
 def longest_chains_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = G.ids_of(vertices(spark, sf_dir), "PART")
-    chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir), {"PART": RULES["PART"]}), starts)
+    chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)
     return chains.select("start", F.array_join("chain", " ").alias("chain"))

@@ -9,7 +9,7 @@ from weftgraph.functions import terms
 from weftgraph.operators import datasets as S
 from weftgraph.operators import graph_query as G
 from weftgraph.operators import writers as T
-from weftgraph.plans.graph_queries import LINKS, edges, flat, vertices
+from weftgraph.plans.graph_queries import LINKS, PART_OF, edges, flat, graph, vertices
 from weftgraph.plans.registry import register
 from weftgraph.sources import derived as D
 from weftgraph.sources import files
@@ -32,14 +32,14 @@ def xml_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(f'<rdfs:subClassOf><owl:Restriction><owl:onProperty rdf:resource="{P}RO_0002202"/>'), filler, F.lit("</owl:Restriction></rdfs:subClassOf></owl:Class>"),
     )
     read = D.table(spark, sf_dir, "part").select(F.from_xml(snippet, files.CLASS_SCHEMA, {"rowTag": "owl:Class"}).alias("x")).select("x.*")
-    classes = files.classes_of(read.withColumn("file", F.lit("part.owl")))
-    spaces = spark.createDataFrame([("part.owl", ["PART"])], "file string, namespaces array<string>")
+    classes = files.classes_of(read.withColumns({"file": F.lit("part.owl"), "position": F.lit(0)}))
+    spaces = spark.createDataFrame([("part.owl", [P + "PART"])], "file string, namespaces array<string>")
     return files.ontology_triples(classes, spaces)
 
 
 @register("whole_ontology", f"WITH {LINKS} SELECT 'vertex' AS kind, 'TURN/' || key AS id FROM verts WHERE collection = 'TURN' UNION ALL SELECT 'edge', 'TURN-TURN/' || key FROM edges WHERE collection = 'TURN-TURN'")
 def whole_ontology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, e = vertices(spark, sf_dir), edges(spark, sf_dir)
+    v, e = graph(spark, sf_dir)
     some = G.ids_of(v.where("collection = 'TURN'")).orderBy("id").limit(1)
     ids, among = G.enrich(v, e, some, G.induced(e, some), {"TURN": ("all", None)})
     return ids.select(F.lit("vertex").alias("kind"), "id").union(among.select(F.lit("edge"), F.concat_ws("/", "collection", "key")))
@@ -48,7 +48,7 @@ def whole_ontology(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ancestor_edges_by_prefix", f"WITH RECURSIVE {LINKS}, up AS (SELECT src AS id FROM edges WHERE collection = 'TURN-TURN' AND src LIKE '%5' UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'TURN-TURN') SELECT edges.* FROM edges JOIN up ON src = id WHERE collection = 'TURN-TURN'")
 def ancestor_edges_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second hierarchy label: turns of conversations, each a part of the one before."""
-    e = edges(spark, sf_dir)
+    e = edges(spark, sf_dir, PART_OF)
     starts = e.where("collection = 'TURN-TURN' AND src LIKE '%5'").select(F.col("src").alias("id"))
     return flat(G.ancestors(G.hierarchy_edges(e, {"TURN": ("walk", "PART_OF")}), starts)[1])
 
@@ -121,4 +121,4 @@ def legacy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ancestor_edges_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``ancestor_edges_by_prefix``, from every turn."""
     starts = G.ids_of(vertices(spark, sf_dir), "TURN")
-    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir), {"TURN": ("walk", "PART_OF")}), starts)[1])
+    return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir, PART_OF), {"TURN": ("walk", "PART_OF")}), starts)[1])

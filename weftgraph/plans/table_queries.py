@@ -10,7 +10,7 @@ from weftgraph.operators import lookups as L
 from weftgraph.operators import reports as R
 from weftgraph.operators import search as S
 from weftgraph.operators import writers as T
-from weftgraph.plans.graph_queries import LINKS, edges, vertices
+from weftgraph.plans.graph_queries import LINKS, edges, graph, vertices
 from weftgraph.plans.registry import register
 from weftgraph.sources import derived as D
 
@@ -19,7 +19,7 @@ P, RDF = T.PURL, T.RDF
 
 @register("collection_summary", f"WITH {LINKS}, b AS (SELECT 'vertex' AS kind, collection FROM verts UNION ALL SELECT 'edge', collection FROM edges) SELECT kind, collection, count(*) AS n FROM b GROUP BY GROUPING SETS ((kind, collection), (kind))")
 def collection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.collection_summary(vertices(spark, sf_dir), edges(spark, sf_dir))
+    return R.collection_summary(*graph(spark, sf_dir))
 
 
 @register("edge_definitions", f"WITH {LINKS} SELECT collection, string_agg(DISTINCT split_part(src, '/', 1), ',') AS from_collections, string_agg(DISTINCT split_part(dst, '/', 1), ',') AS to_collections FROM edges GROUP BY collection")
