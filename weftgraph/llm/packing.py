@@ -1,16 +1,19 @@
 """Best-fit packing in bulk-synchronous supersteps.
 
-Documents become pieces of at most ``capacity`` tokens. Pieces are ranked within their length (a distributed sort on
-length and lane, and running counts), and open sequences - gaps - are kept by free space. Pieces of one length, and gaps
-of one size, are interchangeable, so both live as ranges of ranks: at most ``capacity`` lengths and sizes, whatever the
-input. One superstep takes the pieces of the greatest length left, sweeps the gaps upwards from that length (the
-successors), matches ranges by rank, so that no two pieces want one place, updates the gaps, and goes on; pieces that
-find no gap open new sequences. The supersteps need only the number of pieces of each length; what they decide - for
-each range of ranks, the first sequence, pieces per sequence and offset - is of bounded size and sent to the pieces, which
-look themselves up by length and rank. The result is that of sequential best fit by decreasing length.
-
-Defined cases: null and empty texts are a piece of one token (the separator); repeated documents are packed each; a
-document of a multiple of ``capacity`` tokens has full pieces only, any longer other one starts with its short piece.
+Documents become pieces of at most ``capacity`` tokens, ranked within their length (a distributed sort on length and lane,
+and running counts). Pieces of one length, and open sequences - gaps - of one free space, are interchangeable, so both are
+ranges of ranks: a table with some thousand rows at most, whatever the input. Lengths are taken band by band from the
+longest down. A superstep is one Spark job on this table: pieces and gaps are sorted by size on one line; a sweep gives
+every run of pieces the gaps that follow it upwards, the nearest first (its successors); pieces that want one gap are
+told apart by rank - the nth longest piece takes the nth smallest gap of its run - and longer runs of pieces than gaps
+wait for the next superstep; gaps are updated, and pieces longer than every gap open new sequences. A band ends when it
+has no piece left. The supersteps' decisions - for each range of ranks the first sequence, pieces per sequence and
+offset - are sent to the pieces, which look themselves up by length and rank.
+
+Defined cases: null and empty texts are a piece of one token (the separator); repeated documents are packed each, and so are
+rows with one or no doc_id, which are told apart by piece, start, length and digest; a document of a multiple of
+``capacity`` tokens has full pieces only, any longer other one starts with its short piece; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.llm import bpe
-from weftgraph.llm.common import materialise
+from weftgraph.llm.common import discard, materialise
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -60,42 +63,121 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
-    """Rows (length, first rank, first sequence, pieces per sequence, offset), sorted by length and rank.
+#: Bands of lengths end at the capacity divided by these, and at 0.
+BANDS = (1, 2, 3, 4, 6, 8, 12, 16, 32, 64, 128)
+LEFT, GAP, PLACED = 2, 1, 0
+NAMES = ("kind", "size", "first", "n", "sequence", "each", "offset")
+STATE = ", ".join(f"{name} long" for name in NAMES)
+Row = tuple[int, ...]
 
-    Pieces of a length, from the first rank on, fill consecutive sequences from the first one on.
+
+def start(lengths: DataFrame) -> DataFrame:
+    """The first state: pieces left (kind, length, first rank, how many), of lengths (length, n)."""
+    values = {"kind": F.lit(LEFT), "size": F.col("length"), "n": F.col("n")}
+    return lengths.select(*[values.get(name, F.lit(0)).cast("long").alias(name) for name in NAMES])
+
+
+def swept(state: list[Row], capacity: int) -> list[Row]:
+    """The state after one superstep: over the longest band that has pieces left.
+
+    Rows are (LEFT, length, first rank, n), (GAP, space, first sequence, n) and (PLACED, length, first rank, n, first
+    sequence, pieces a sequence, offset).
+    """
+    bands = [*dict.fromkeys(capacity // k for k in BANDS if capacity // k), 0]
+    longest = max(row[1] for row in state if row[0] == LEFT)
+    high, low = next((h, w) for h, w in zip(bands, bands[1:]) if longest > w)
+    inside = lambda row: row[0] == LEFT and row[1] > low or row[0] == GAP and row[1] > low
+    out, line = [row for row in state if not inside(row)], [row for row in state if inside(row)]
+    # pieces longer than every gap open new sequences
+    widest = max((row[1] for row in line if row[0] == GAP), default=0)
+    longer = sum(row[3] for row in line if row[0] == LEFT and row[1] > widest)
+    opened = max((row[2] + row[3] if row[0] == GAP else row[4] + -(-row[3] // row[5]) for row in state if row[0] != LEFT), default=0)
+    if longer:
+        line.append((GAP, capacity, opened, -(-longer // (capacity // high)), 0, 0, 0))
+    # the sweep: every run of gaps, then the run of pieces below it
+    line.sort(key=lambda row: (-row[1], row[0], row[2]))
+    at = 0
+    while at < len(line):
+        end = at
+        while end < len(line) and line[end][0] == GAP:
+            end += 1
+        stop = end
+        while stop < len(line) and line[stop][0] == LEFT:
+            stop += 1
+        out += _by_rank(line[at:end][::-1], line[end:stop], high, capacity)
+        at = stop
+    return out
+
+
+def _by_rank(gaps: list[Row], pieces: list[Row], high: int, capacity: int) -> list[Row]:
+    """Matches pieces, longest first, with gaps, smallest first; a gap takes as many at once as it holds of the band's longest."""
+    out, k, rank, many = [], 0, 0, 0
+
+    def ready() -> bool:
+        nonlocal k, rank, many
+        if not many and k < len(pieces):
+            rank, many = pieces[k][2:4]
+            k += 1
+        return many > 0
+
+    for _, space, first, n, *_ in gaps:
+        slots = max(1, space // high)
+        while n and ready():
+            length = pieces[k - 1][1]
+            whole = min(n, many // slots)
+            if whole:
+                out.append((PLACED, length, rank, whole * slots, first, slots, capacity - space))
+                out.append((GAP, space - slots * length, first, whole, 0, 0, 0))
+                rank, many, first, n = rank + whole * slots, many - whole * slots, first + whole, n - whole
+                continue
+            used, free = 0, slots
+            while free and ready():
+                length, take = pieces[k - 1][1], min(free, many)
+                out.append((PLACED, length, rank, take, first, take, capacity - space + used))
+                rank, many, free, used = rank + take, many - take, free - take, used + take * length
+            out.append((GAP, space - used, first, 1, 0, 0, 0))
+            first, n = first + 1, n - 1
+        if n:
+            out.append((GAP, space, first, n, 0, 0, 0))
+    if many:
+        out.append((LEFT, pieces[k - 1][1], rank, many, 0, 0, 0))
+    return [row for row in out + pieces[k:] if row[0] != GAP or row[1]]
+
+
+def superstep(state: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``swept`` as a Spark job; the state has some thousand rows, in one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+        if any(row[0] == LEFT for row in rows):
+            rows = swept(rows, capacity)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], list(NAMES))
+
+    return state.select(*NAMES).coalesce(1).mapInArrow(run, STATE)
+
+
+def plan(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(size, first, n, sequence, each, offset) of lengths (length, n): where the pieces of a length from a rank on stand.
+
+    A table is written after each superstep, so a lost executor costs one.
     """
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by free space: ranges (first sequence, how many)
-    out, opened = [], 0
-    for length in sorted((k for k, n in histogram.items() if n), reverse=True):
-        left, rank = histogram[length], 0
-        while left:
-            space = next((g for g in range(length, capacity + 1) if gaps[g]), 0)
-            if not space:
-                space, new = capacity, -(-left // (capacity // length))
-                gaps[space].append((opened, new))
-                opened += new
-            first, n = gaps[space].pop()
-            each = space // length
-            full = min(n, left // each)
-            for many, per in ((full, each), (1 if full < n and 0 < left - full * each < each else 0, left - full * each)):
-                if many:
-                    out.append((length, rank, first, per, capacity - space))
-                    if space - per * length:
-                        gaps[space - per * length].append((first, many))
-                    first, n, rank, left = first + many, n - many, rank + many * per, left - many * per
-            if n:
-                gaps[space].append((first, n))
-    out.sort()
-    return np.array(out, np.int64).reshape(-1, 5)
+    state = materialise(start(lengths))
+    while not state.where(F.col("kind") == LEFT).isEmpty():
+        before, state = state, materialise(superstep(state, capacity))
+        discard(before)
+    return state.where(F.col("kind") == PLACED).drop("kind")
 
 
 def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32), which should be materialised."""
-    counts = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    table = made.sparkSession.sparkContext.broadcast(plan(counts, capacity))
-    lanes = max(16, sum(counts.values()) // LANE_ROWS)
-    made = made.withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lanes)))
+    lengths = materialise(made.groupBy("length").agg(F.count("*").alias("n")))
+    rows = lengths.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # some thousand rows
+    found = plan(lengths, capacity).orderBy("size", "first").toArrow()
+    table = made.sparkSession.sparkContext.broadcast(np.stack([found.column(c).to_numpy() for c in ("size", "first", "sequence", "each", "offset")], 1).reshape(-1, 5).astype(np.int64))
+    lanes = max(16, rows // LANE_ROWS)
+    made = made.withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes)))
     ranked = made.withColumn("rank", F.row_number().over(Window.partitionBy("length", "lane").orderBy("doc_id", "piece", "ids_crc32")) - 1)
     sizes = made.groupBy("length", "lane").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1))
