@@ -40,9 +40,16 @@ near AS (SELECT DISTINCT a, b FROM (SELECT src AS a, dst AS b, collection FROM e
   WHERE split_part(collection, '-', 1) <> split_part(collection, '-', 2) AND collection <> 'PART-SUPP' AND b NOT LIKE 'REGION/%')"""
 WALK_ARGS = {"ignored_vertices": ("REGION",), "ignored_edges": ("PART-SUPP",)}
 DEPTH = 2
-REACHED = f"""walk AS (SELECT concat('SUPP/', key) AS id, 0 AS depth FROM verts WHERE collection = 'SUPP'
-  UNION SELECT near.b, walk.depth + 1 FROM walk JOIN near ON near.a = walk.id WHERE walk.depth < {DEPTH}),
+
+
+def reached(depth: int) -> str:
+    return f"""walk AS (SELECT concat('SUPP/', key) AS id, 0 AS depth FROM verts WHERE collection = 'SUPP'
+  UNION SELECT near.b, walk.depth + 1 FROM walk JOIN near ON near.a = walk.id WHERE walk.depth < {depth}),
 found AS (SELECT id, min(depth) AS depth FROM walk GROUP BY id)"""
+
+
+REACHED, REACHED_WHOLE = reached(DEPTH), reached(G.MAX_DEPTH)
+UP = "up AS (SELECT id FROM found WHERE id LIKE 'PART/%' UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'PART-PART')"
 RULES = {"PART": ("walk", "SUB_CLASS_OF"), "NATION": ("all", None), "TURN": ("walk", "PART_OF"), "SUPP": ("none", None)}
 
 
@@ -205,22 +212,22 @@ def distances_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "ancestor_walk",
-    f"WITH RECURSIVE {LINKS}, up AS (SELECT 'PART/' || p_partkey AS id FROM part WHERE p_size = 1 UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'PART-PART') SELECT edges.* FROM edges JOIN up ON edges.src = up.id AND edges.collection = 'PART-PART'",
+    f"WITH RECURSIVE {LINKS}, up AS (SELECT 'PART/' || p_partkey AS id FROM part UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'PART-PART') SELECT edges.* FROM edges JOIN up ON edges.src = up.id AND edges.collection = 'PART-PART'",
 )
 def ancestor_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    starts = D.table(spark, sf_dir, "part").where("p_size = 1").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
+    starts = D.table(spark, sf_dir, "part").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
     return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)[1])
 
 
 @register(
     "enriched_subgraph",
-    f"""{WALK}, walk AS (SELECT 'SUPP/' || s_suppkey AS id, 0 AS depth FROM supplier WHERE s_suppkey < 3 UNION SELECT near.b, walk.depth + 1 FROM walk JOIN near ON near.a = walk.id WHERE depth < 3),
+    f"""{WALK}, walk AS (SELECT 'SUPP/' || s_suppkey AS id, 0 AS depth FROM supplier UNION SELECT near.b, walk.depth + 1 FROM walk JOIN near ON near.a = walk.id WHERE depth < 3),
     ids AS (SELECT DISTINCT id FROM walk), up AS (SELECT id FROM ids WHERE id LIKE 'PART/%' UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'PART-PART')
     SELECT id FROM ids UNION SELECT id FROM up UNION SELECT 'NATION/' || key FROM verts WHERE collection = 'NATION'""",
 )
 def enriched_subgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, e = graph(spark, sf_dir)
-    found = G.reach(G.adjacency(e, **WALK_ARGS), G.ids_of(v.where("collection = 'SUPP' AND CAST(key AS INT) < 3")), 3)
+    found = G.reach(G.adjacency(e, **WALK_ARGS), G.ids_of(v, "SUPP"), 3)
     return G.enrich(v, e, found, G.induced(e, found), RULES)[0]
 
 
@@ -245,10 +252,10 @@ def path_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "longest_chains",
-    "WITH RECURSIVE up AS (SELECT p_partkey AS start, p_partkey AS k, 0 AS n, 'PART/' || p_partkey AS chain FROM part WHERE p_size = 2 UNION ALL SELECT start, k // 2, n + 1, chain || ' PART/' || (k // 2) FROM up WHERE k > 0) SELECT 'PART/' || start AS start, arg_max(chain, n) AS chain FROM up GROUP BY start",
+    "WITH RECURSIVE up AS (SELECT p_partkey AS start, p_partkey AS k, 0 AS n, 'PART/' || p_partkey AS chain FROM part UNION ALL SELECT start, k // 2, n + 1, chain || ' PART/' || (k // 2) FROM up WHERE k > 0) SELECT 'PART/' || start AS start, arg_max(chain, n) AS chain FROM up GROUP BY start",
 )
 def longest_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    starts = D.table(spark, sf_dir, "part").where("p_size = 2").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
+    starts = D.table(spark, sf_dir, "part").select(F.concat(F.lit("PART/"), "p_partkey").alias("id"))
     chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)
     return chains.select("start", F.array_join("chain", " ").alias("chain"))
 
@@ -301,33 +308,32 @@ def tuple_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.validate(made).where("problem IS NOT NULL").groupBy("l_orderkey", "l_linenumber", "problem").agg(F.count("*").alias("n"))
 
 
-# The whole walks, from all vertices of a collection and with the operator's own depth; they have no SQL (recursive SQL repeats
-# a vertex at each depth), tests compare them with brute force.
+# The whole walks, from all vertices of a collection and with the operator's own depth.
 
 
-@register("breadth_first_search_whole")
+@register("breadth_first_search_whole", f"{WALK}, {REACHED_WHOLE} SELECT id, CAST(depth AS INTEGER) AS depth FROM found")
 def breadth_first_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.find(*graph(spark, sf_dir), "SUPP", **WALK_ARGS)[0]
 
 
-@register("induced_subgraph_whole")
+@register("induced_subgraph_whole", f"{WALK}, {REACHED_WHOLE} SELECT edges.* FROM edges WHERE src IN (SELECT id FROM found) AND dst IN (SELECT id FROM found)")
 def induced_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(G.find(*graph(spark, sf_dir), "SUPP", **WALK_ARGS)[1])
 
 
-@register("enriched_subgraph_whole")
+@register("enriched_subgraph_whole", f"{WALK}, {REACHED_WHOLE}, {UP} SELECT id FROM found UNION SELECT id FROM up UNION SELECT 'NATION/' || key FROM verts WHERE collection = 'NATION'")
 def enriched_subgraph_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, e = graph(spark, sf_dir)
     return G.enrich(v, e, *G.find(v, e, "SUPP", **WALK_ARGS), RULES)[0]
 
 
-@register("ancestor_walk_whole")
+@register("ancestor_walk_whole", f"WITH {LINKS} SELECT * FROM edges WHERE collection = 'PART-PART'")
 def ancestor_walk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = G.ids_of(vertices(spark, sf_dir), "PART")
     return flat(G.ancestors(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)[1])
 
 
-@register("longest_chains_whole")
+@register("longest_chains_whole", f"WITH RECURSIVE {LINKS}, up AS (SELECT key AS start, CAST(key AS BIGINT) AS k, 0 AS n, 'PART/' || key AS chain FROM verts WHERE collection = 'PART' UNION ALL SELECT start, k // 2, n + 1, chain || ' PART/' || (k // 2) FROM up WHERE k > 0) SELECT 'PART/' || start AS start, arg_max(chain, n) AS chain FROM up GROUP BY start")
 def longest_chains_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = G.ids_of(vertices(spark, sf_dir), "PART")
     chains = G.longest_chains(G.hierarchy_edges(edges(spark, sf_dir, SUB_CLASS_OF), {"PART": RULES["PART"]}), starts)

@@ -45,11 +45,11 @@ def whole_ontology(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select(F.lit("vertex").alias("kind"), "id").union(among.select(F.lit("edge"), F.concat_ws("/", "collection", "key")))
 
 
-@register("ancestor_edges_by_prefix", f"WITH RECURSIVE {LINKS}, up AS (SELECT src AS id FROM edges WHERE collection = 'TURN-TURN' AND src LIKE '%5' UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'TURN-TURN') SELECT edges.* FROM edges JOIN up ON src = id WHERE collection = 'TURN-TURN'")
+@register("ancestor_edges_by_prefix", f"WITH RECURSIVE {LINKS}, up AS (SELECT src AS id FROM edges WHERE collection = 'TURN-TURN' UNION SELECT edges.dst FROM up JOIN edges ON edges.src = up.id AND edges.collection = 'TURN-TURN') SELECT edges.* FROM edges JOIN up ON src = id WHERE collection = 'TURN-TURN'")
 def ancestor_edges_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second hierarchy label: turns of conversations, each a part of the one before."""
     e = edges(spark, sf_dir, PART_OF)
-    starts = e.where("collection = 'TURN-TURN' AND src LIKE '%5'").select(F.col("src").alias("id"))
+    starts = e.where("collection = 'TURN-TURN'").select(F.col("src").alias("id"))
     return flat(G.ancestors(G.hierarchy_edges(e, {"TURN": ("walk", "PART_OF")}), starts)[1])
 
 
@@ -117,7 +117,7 @@ def legacy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.table(spark, sf_dir, "part").select("p_partkey", t["id"].alias("id"), t["number"].alias("number"))
 
 
-@register("ancestor_edges_whole")
+@register("ancestor_edges_whole", f"WITH {LINKS} SELECT * FROM edges WHERE collection = 'TURN-TURN'")
 def ancestor_edges_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``ancestor_edges_by_prefix``, from every turn."""
     starts = G.ids_of(vertices(spark, sf_dir), "TURN")
