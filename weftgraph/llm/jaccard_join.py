@@ -240,11 +240,24 @@ def _verified(pairs: DataFrame, documents: DataFrame, width: int, sets: DataFram
     return materialise(both.where(100 * common >= 75 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct())
 
 
-def _small_pairs(buckets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of members (doc, n) of small buckets whose sizes allow a link."""
+def _spare(n: Column) -> Column:
+    """Chunks that a set of a size puts forward beyond those that may differ."""
+    return F.when(n > PLAIN, F.floor(n / SPARE)).otherwise(1)
+
+
+def _small_pairs(buckets: DataFrame, many: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of members (doc, n) of small buckets that may be linked: their sizes allow it, and they have
+    as many equal chunks as a link needs, if all large buckets that both stand in (doc, many) are counted as equal ones."""
     one = buckets.withColumn("x", F.explode("members")).withColumn("y", F.explode("members"))
     fits = (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n"))
-    return one.where((F.col("x.doc") < F.col("y.doc")) & fits).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    need = F.least(_spare(F.col("x.n")), _spare(F.col("y.n"))).alias("need")
+    each = one.where((F.col("x.doc") < F.col("y.doc")) & fits).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), need)
+    met = materialise(each.groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need")))
+    weak = met.where("common < need")
+    for side in ("a", "b"):
+        weak = weak.join(many.select(F.col("doc").alias(side), F.col("many").alias(f"many_{side}")), side)
+    weak = weak.where("common + least(many_a, many_b) >= need")
+    return met.where("common >= need").select("a", "b").union(weak.select("a", "b"))
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -349,17 +362,17 @@ def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
     member = member.withColumn("m", size).where((F.col("m") > 1) | single)
     alone = F.when((F.col("m") > SMALL) | single, F.col("doc")).alias("alone")
     buckets = materialise(member.groupBy("chunk", "lane", alone).agg(F.collect_list(F.struct("doc", "n")).alias("members")))
-    found = _connecting(_small_pairs(buckets.where("alone IS NULL")), documents, width)
-    rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
-    if not rest.isEmpty():
-        found = materialise(found.union(_connecting(_rest_pairs(rest, documents, width), documents, width)))
     large = buckets.where("chunk IS NOT NULL AND alone IS NOT NULL").select("chunk", F.explode("members").alias("x")).select("chunk", "x.*")
     # buckets of one document tell nothing
     shared = large.groupBy("chunk").agg(F.count("*").alias("m")).where("m > 1").select("chunk")
+    many = materialise(large.join(shared, "chunk", "left_semi").groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("many")))
+    found = _connecting(_small_pairs(buckets.where("alone IS NULL"), many), documents, width)
+    rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
+    if not rest.isEmpty():
+        found = materialise(found.union(_connecting(_rest_pairs(rest, documents, width), documents, width)))
     # a partner of a larger set puts forward at least three quarters as many chunks to spare as this one
     enough = F.when(F.col("n") > PLAIN * 4 // 3, F.floor(F.col("n") * 3 / 4 / SPARE)).otherwise(1)
-    many = large.join(shared, "chunk", "left_semi").groupBy("doc", "n").agg(F.count("*").alias("many"))
-    large = materialise(many.where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")).distinct())
+    large = materialise(many.where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")))
     if not large.isEmpty():
         found = _large_links(large, found, documents, width)
     discard(buckets)
