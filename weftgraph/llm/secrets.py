@@ -124,7 +124,9 @@ def by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     now = F.filter("found", lambda x: x["rule"].isin([rule.name for rule in rules]))
     each = F.transform(now, lambda x: F.struct(x["start"].alias("start"), F.element_at(number, x["rule"]).alias("rule"), x["end"].alias("end")))
     found = ledger.where(F.size("found") > 0).groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(each)))).alias("found"))
-    counts = [F.size(F.filter("found", lambda x, k=k: x["rule"] == k)).alias(f"n_{rule.kind}") for k, rule in enumerate(rules)]
+    # a filter's function must take one parameter alone: a second one would be given the element's place
+    many = lambda k: F.size(F.filter("found", lambda x: x["rule"] == k))
+    counts = [many(k).alias(f"n_{rule.kind}") for k, rule in enumerate(rules)]
     return found.where(F.size("found") > 0).select("blob", *counts, "found")
 
 
