@@ -93,12 +93,12 @@ def edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None =
     return each.groupBy("collection", "key", "src", "dst").agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 
-def last_label_edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
-    """Edges (collection, key, src, dst, label) of result tuples (file_rank, seq, s, p, o): the label of the last tuple of a key stays."""
+def edge_rows(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
+    """(collection, key, src, dst, label, file_rank, seq) of links between valid terms, one row each."""
     found = predicates(triples, labels).where("label IS NOT NULL")
     parsed = _beside(triples.where(terms.node_kind(F.col("o")) == "uri"), found)
     a, b = terms.parse_term(F.col("s"), valid), terms.parse_term(F.col("o"), valid)
-    each = parsed.select(a.alias("a"), b.alias("b"), "curie", "label", "file_rank", "seq").where("a.is_valid AND b.is_valid").select(
+    return parsed.select(a.alias("a"), b.alias("b"), "curie", "label", "file_rank", "seq").where("a.is_valid AND b.is_valid").select(
         F.concat_ws("-", "a.id", "b.id").alias("collection"),
         F.concat_ws("-", "a.number", "curie", "b.number").alias("key"),
         F.concat_ws("/", "a.id", "a.number").alias("src"),
@@ -107,6 +107,11 @@ def last_label_edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFra
         "file_rank",
         "seq",
     )
+
+
+def last_label_edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None = None) -> DataFrame:
+    """Edges (collection, key, src, dst, label) of result tuples (file_rank, seq, s, p, o): the label of the last tuple of a key stays."""
+    each = edge_rows(triples, valid, labels)
     return each.groupBy("collection", "key", "src", "dst").agg(F.max_by("label", F.struct("file_rank", "seq", "label")).alias("label"))
 
 

@@ -16,6 +16,19 @@ def write_tuples(tuples: DataFrame, path: str) -> None:
     rows.select("tuples").write.mode("overwrite").json(path)
 
 
+def write_ordered(tuples: DataFrame, path: str, per_file: int = 1_000_000) -> None:
+    """Tuples (file_rank, seq, s, p, o, attr, value) as JSON lines ``{"tuples": [[...]]}`` in order, ``per_file`` at most in a file.
+
+    Spark's ranges of (file_rank, seq) become files one after the other, and long ranges several; no file passes through
+    one row or one group. Files in order of their names, line by line, give the tuples in order; parts that are null are
+    left out of a tuple.
+    """
+    cells = F.filter(F.array("s", "p", "o", "attr", "value"), lambda x: x.isNotNull())
+    lines = tuples.select("file_rank", "seq", F.to_json(F.struct(F.array(cells).alias("tuples"))).alias("value"))
+    ordered = lines.repartitionByRange("file_rank", "seq", "value").sortWithinPartitions("file_rank", "seq", "value")
+    ordered.select("value").write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
+
+
 def write_graph(vertices: DataFrame, edges: DataFrame, folder: str) -> None:
     """Vertices and edges, partitioned by collection, and the edge definitions."""
     vertices.write.mode("overwrite").partitionBy("collection").parquet(f"{folder}/vertices")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions import terms
 from weftgraph.functions.terms import PURL
+from weftgraph.operators.sinks import write_ordered
+from weftgraph.plans.iterate import step
 
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 MIN_CLUSTER_SIZE = 10
@@ -226,6 +228,16 @@ def deduplicated(tuples: DataFrame) -> DataFrame:
     return last.select("x.file_rank", "x.seq", "arity", "s", "p", "x.o", "x.attr", "x.value")
 
 
+def pipeline(writers: list[DataFrame], path: str, per_file: int = 1_000_000) -> DataFrame:
+    """Runs all writers in their order, later ones taking precedence, and writes what remains as ordered tuple files.
+
+    Returns the tuples as they were written: (file_rank, seq, arity, s, p, o, attr, value).
+    """
+    made = step(deduplicated(in_order(*writers)))
+    write_ordered(made, path, per_file)
+    return made
+
+
 def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
     """Targets (gene, protein, diseases array<struct<id,name,score>>, drugs array<struct<id,name,phase,withdrawn,trials array<string>>>) to tuples.
 

@@ -231,6 +231,15 @@ def tuple_files(spark: SparkSession, path: str) -> DataFrame:
     return each.select("file", F.col("seq").cast("long").alias("seq"), F.size("t").alias("arity"), *[part(k).alias(c) for k, c in enumerate(("s", "p", "o", "attr", "value"))])
 
 
+def ordered_tuples(spark: SparkSession, path: str) -> DataFrame:
+    """(file, position, arity, s, p, o, attr, value) of files of JSON lines ``{"tuples": [[...], ...]}``; (file, position) is their order."""
+    rows = _placed(spark.read.schema("tuples array<array<string>>").json(path))
+    each = rows.select("file", "position", F.posexplode("tuples").alias("n", "t"))
+    part = lambda k: F.get("t", F.lit(k))
+    place = F.struct("position.block", "position.row", F.col("n").alias("n")).alias("position")
+    return each.select("file", place, F.size("t").alias("arity"), *[part(k).alias(c) for k, c in enumerate(("s", "p", "o", "attr", "value"))])
+
+
 def result_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV result table with a header and a leading index column, and a deterministic id where ``uuid`` is missing."""
     rows = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
