@@ -160,3 +160,21 @@ def test_first_success_and_states(spark):
     assert {r["key"] for r in tuples} == {"k1"} and len(tuples) == 3
     none = A.first_success(A.judged(frame.limit(0), kinds)[0])
     assert {r["status"]: r["associations"] for r in A.state_report(A.states(none, kinds)).collect()} == {"Created": 0, "Partial": 0, "Failed": 0, "Not possible": 1, "Not handled": 3}
+
+
+def test_annotations_are_scanned_with_their_identifiers(spark, tmp_path):
+    import json
+
+    record = {"subject_type": "Cell_set", "subject_name": "a b", "subject_identifier": "u1-x", "relation": "r", "object_type": "Gene", "object_name": "G1", "object_identifier": "i", "extra": 1}
+    (tmp_path / "array.json").write_text(json.dumps([record, {**record, "id": "own"}, {**record, "subject_name": None}], indent=4))
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text("\n".join(json.dumps(r) for r in [record, {**record, "object_name": "G2"}]))
+    rows = files.annotation_records(spark, str(tmp_path / "array.json")).collect()
+    assert [r["subject_identifier"] for r in rows] == ["u1-x"] * 3 and len({r["id"] for r in rows}) == 3 and "own" in {r["id"] for r in rows}
+    assert {r["file"] for r in rows} == {"array.json"}
+    more = files.annotation_records(spark, str(tmp_path / "lines"), lines=True)
+    assert {r["object_name"] for r in more.collect()} == {"G1", "G2"}
+    from weftgraph.operators import legacy
+
+    made = legacy.annotation_tuples(more, spark.createDataFrame([], "mesh string, mondo string"), spark.createDataFrame([("r", "RO_1")], "relation string, predicate string"))
+    assert {(r["s"], r["o"]) for r in made.where("arity = 3 AND p LIKE '%RO_1'").collect()} == {(f"{P}CS_a-b-u1", f"{P}GS_G1"), (f"{P}CS_a-b-u1", f"{P}GS_G2")}

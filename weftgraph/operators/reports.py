@@ -82,10 +82,16 @@ def examples(frame: DataFrame, group: str, key: str, seed: int = 0) -> DataFrame
 
 
 def components_of_triples(triples: DataFrame) -> DataFrame:
-    """(role, type, n, names): of each type on either side, how many rows and the distinct names, sorted."""
-    sides = [triples.select(F.lit(s).alias("role"), F.col(f"{s}_type").alias("type"), F.col(f"{s}_name").alias("name")) for s in ("subject", "object")]
-    both = reduce(DataFrame.unionByName, sides)
-    return both.groupBy("role", "type").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("name")).alias("names"))
+    """(role, type, n, names, identifiers): of each type on either side, how many rows and the distinct names and identifiers, sorted; and of
+    each relation, if there are any, how many rows. What ``triples`` lack of ``relation`` and of either side's ``_identifier`` stays empty."""
+    none = F.lit(None).cast("string")
+    column = lambda c: F.col(c) if c in triples.columns else none
+    sides = [triples.select(F.lit(s).alias("role"), F.col(f"{s}_type").alias("type"), F.col(f"{s}_name").alias("name"), column(f"{s}_identifier").alias("ident")) for s in ("subject", "object")]
+    if "relation" in triples.columns:
+        sides.append(triples.select(F.lit("relation"), "relation", none, none))
+    both = reduce(DataFrame.union, sides)
+    found = lambda c: F.array_sort(F.collect_set(c))
+    return both.groupBy("role", "type").agg(F.count("*").alias("n"), found("name").alias("names"), found("ident").alias("identifiers"))
 
 
 def blank_node_triples(statements: DataFrame) -> DataFrame:

@@ -87,12 +87,10 @@ def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertices(spark, sf_dir)
 
 
-@register("graph_vertices_with_predicates", f"WITH {LINKS} SELECT * FROM verts UNION SELECT 'RO', '0002351'")
+@register("graph_vertices_with_predicates", f"WITH {LINKS} SELECT * FROM verts UNION SELECT split_part(term, '_', 1), split_part(term, '_', 2) FROM (SELECT unnest({list(D.PREDICATES)}) AS term)")
 def graph_vertices_with_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result tuples count terms in predicate position too."""
-    links = D.links(spark, sf_dir)
-    both = B.vertices(links, D.VALID).union(B.vertices(links, ("RO",), ("p",)).where("key = '0002351'"))
-    return both.distinct()
+    """Result tuples count terms in predicate position too: those of relations here; ``subClassOf`` is no term."""
+    return B.vertices(D.links(spark, sf_dir), (*D.VALID, "RO", "BFO"), ("s", "p", "o"))
 
 
 @register("vertex_attributes", f"WITH {LITERALS} SELECT collection, key, attr, string_agg(DISTINCT value, '|' ORDER BY value) AS vals FROM literals WHERE value IS NOT NULL GROUP BY ALL")

@@ -398,19 +398,15 @@ def entity_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- graph
 
 
-@register("last_label_edges", "SELECT 'USER-USER' AS collection, user_id || '-p-' || (user_id + 1) AS key, 'USER/' || user_id AS src, 'USER/' || (user_id + 1) AS dst, arg_max(upper(event_type), event_id) AS label FROM events GROUP BY user_id")
+@register("last_label_edges", "SELECT 'USER-USER' AS collection, user_id || '-EV:rel-' || (user_id + 1) AS key, 'USER/' || user_id AS src, 'USER/' || (user_id + 1) AS dst, arg_max(CASE WHEN event_type IN ('click', 'view') THEN 'REL' ELSE 'HAS_RELATION' END, event_id) AS label FROM events GROUP BY user_id")
 def last_label_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of tuples with one edge key the label of the last stays (predicates that differ in their label only); predicates without a label make no edge."""
-    p = F.concat(F.lit("http://x.org/p"), F.lit("#"), "event_type")
+    """Two predicates with one CURIE, whose labels come from the URI and from the table of labels: of a user's tuples the
+    last one's label stays. A predicate without a label makes no edge."""
+    p = F.when(F.col("event_type").isin("click", "view"), "http://x.org/EV#rel").otherwise("http://x.org/EV_rel")
     rows = D.table(spark, sf_dir, "events").select(F.lit(0).alias("file_rank"), F.col("event_id").alias("seq"), D.uri("USER", text("user_id")).alias("s"), p.alias("p"), D.uri("USER", text(F.col("user_id") + 1)).alias("o"))
     none = rows.withColumn("p", F.lit("http://x.org/RO_9999999"))
-    made = B.last_label_edges(rows.union(none), ("USER",))
-    # the key names the predicate; here its label is cut off, so that all of a user's edges are one
-    key = F.regexp_replace("key", "-p:[a-z_]+-", "-p-")
-    order = F.struct("seq", "label")
-    each = B.last_label_edges(rows.withColumn("p", F.lit("http://x.org/p#x")), ("USER",)).select("src", "dst").join(made.select("collection", key.alias("key"), "src", "dst", "label"), ["src", "dst"])
-    last = rows.groupBy(F.concat(F.lit("USER/"), F.substring_index("s", "_", -1)).alias("src")).agg(F.max_by(F.upper(F.substring_index("p", "#", -1)), F.struct("seq", "p")).alias("last"))
-    return each.join(last, "src").where(F.col("label") == F.col("last")).select("collection", "key", "src", "dst", "label").distinct()
+    labels = spark.createDataFrame([("EV_rel", "has relation")], "term string, label string")
+    return B.last_label_edges(rows.union(none), ("USER",), labels)
 
 
 @register("edge_sources", f"WITH {LINKS} SELECT collection, key, split_part(src, '/', 1) AS source FROM edges WHERE collection IN ('NATION-REGION', 'CUST-NATION', 'SUPP-NATION')")
@@ -629,15 +625,54 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- older rules
 
 
-@register("annotation_tuples", f"SELECT 3 AS arity, '{P}CS_' || replace(c_name, '#', '#') || '-u' || c_custkey AS s, '{P}RO_1' AS p, '{P}MONDO_' || c_nationkey AS o FROM customer WHERE c_nationkey < 20 UNION ALL SELECT 5, '{P}CS_' || c_name || '-u' || c_custkey, '{P}RO_1', '{P}MONDO_' || c_nationkey FROM customer WHERE c_nationkey < 20 UNION ALL SELECT 3, '{P}CS_' || c_name || '-u' || c_custkey, '{RDF}Label', c_name FROM customer WHERE c_nationkey < 20")
+#: An annotation of each kind for every eighth customer, written as files of records.
+ANNOTATED = f"""a AS (
+  SELECT c_custkey AS k, ['Anatomical_structure', 'Assay', 'Biomarker_combination', 'Cell_set', 'Cell_set_dataset', 'Cell_type', 'Gene', 'Publication'][c_custkey % 8 + 1] AS kind, c_name AS name, c_nationkey AS n, 'u' || c_custkey || '-x' AS owner FROM customer),
+t AS (SELECT k, kind, name, n, '{P}CS_' || replace(name, '_', '-') || '-u' || k AS s, CASE WHEN n < 20 THEN '{P}MONDO_' || n END AS disease, '{P}' || CASE kind
+  WHEN 'Anatomical_structure' THEN 'UBERON_' || k WHEN 'Assay' THEN 'EFO_' || k WHEN 'Biomarker_combination' THEN 'BMC_' || name || '-u' || k WHEN 'Cell_set' THEN 'CS_' || name || '-u' || k
+  WHEN 'Cell_set_dataset' THEN 'CSD_' || k WHEN 'Cell_type' THEN 'CL_' || k WHEN 'Gene' THEN CASE WHEN n % 2 = 0 THEN 'GS_G' || k END WHEN 'Publication' THEN 'PUB_doi.org/10.1126/science.adf6812' END AS o FROM a)"""
+
+
+def annotation_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of JSON records: customers as cell sets, each with a disease and with one of the other kinds."""
+    key, kinds = F.col("c_custkey"), ("Anatomical_structure", "Assay", "Biomarker_combination", "Cell_set", "Cell_set_dataset", "Cell_type", "Gene", "Publication")
+    marks = ("UBERON:", "EFO:", "", "", "NLP_dataset_", "CL:<skos:related>", "", "")
+    kind = F.get(F.array(*map(F.lit, kinds)), key % 8)
+    ident = F.when(kind == "Publication", "37824655").otherwise(F.concat(F.get(F.array(*map(F.lit, marks)), key % 8), text(key)))
+    name = F.when(kind == "Gene", F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("G"), text(key))).otherwise("lower")).otherwise(F.col("c_name"))
+    cell_set = [text(key).alias("id"), F.lit("s").alias("subject"), F.lit("Cell_set").alias("subject_type"), F.col("c_name").alias("subject_name"), F.concat(F.lit("u"), key, F.lit("-x")).alias("subject_identifier")]
+    customer = D.table(spark, sf_dir, "customer")
+    ends = lambda relation, kind, name, ident: customer.select(*cell_set, F.lit(relation).alias("relation"), F.lit("o").alias("object"), kind.alias("object_type"), name.alias("object_name"), ident.alias("object_identifier"))
+    path = folder(spark)
+    rows = ends("has", F.lit("Disease"), F.lit("d"), F.concat(F.lit("MESH:"), "c_nationkey")).unionByName(ends("with", kind, name, ident)).unionByName(ends("unknown", kind, name, ident))
+    rows.write.json(path)
+    return path
+
+
+@register(
+    "annotation_tuples",
+    f"""WITH {ANNOTATED}, r AS (SELECT s, '{P}RO_1' AS p, disease AS o, name, NULL AS label FROM t WHERE disease IS NOT NULL UNION ALL SELECT s, '{P}RO_2', o, name, CASE WHEN kind = 'Cell_set' THEN name END FROM t WHERE o IS NOT NULL)
+    SELECT 3 AS arity, s, p, o, NULL AS value FROM r UNION ALL SELECT 5, s, p, o, 'Manual Annotation' FROM r UNION ALL SELECT 3, s, '{RDF}Label', name, NULL FROM r UNION ALL SELECT 3, o, '{RDF}Label', label, NULL FROM r WHERE label IS NOT NULL""",
+)
 def annotation_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"), F.lit("Cell_set").alias("subject_type"), F.col("c_name").alias("subject_name"), F.concat(F.lit("u"), "c_custkey", F.lit("-x")).alias("subject_identifier"),
-        F.lit("r").alias("relation"), F.lit("Disease").alias("object_type"), F.lit("d").alias("object_name"), F.concat(F.lit("MESH:"), "c_nationkey").alias("object_identifier"),
-    )
+    """Records of all kinds of node are scanned and written as tuples; unknown relations, genes not in capitals and diseases without a term make none."""
     mesh = D.table(spark, sf_dir, "nation").where("n_nationkey < 20").select(F.concat(F.lit("MESH:"), "n_nationkey").alias("mesh"), F.concat(F.lit("MONDO:"), "n_nationkey").alias("mondo"))
-    known = spark.createDataFrame([("r", "RO_1")], "relation string, predicate string")
-    return O.annotation_tuples(rows, mesh, known).select("arity", "s", "p", "o")
+    known = spark.createDataFrame([("has", "RO_1"), ("with", "RO_2")], "relation string, predicate string")
+    return O.annotation_tuples(files.annotation_records(spark, annotation_files(spark, sf_dir), lines=True), mesh, known).select("arity", "s", "p", "o", "value")
+
+
+@register(
+    "annotation_components",
+    f"""WITH {ANNOTATED}, e AS (SELECT 'has' AS relation, 'Disease' AS ot, 'd' AS oname, 'MESH:' || n AS oid, name, k FROM a
+      UNION ALL SELECT unnest(['with', 'unknown']), kind, CASE WHEN kind = 'Gene' THEN CASE WHEN n % 2 = 0 THEN 'G' || k ELSE 'lower' END ELSE name END,
+        CASE kind WHEN 'Publication' THEN '37824655' WHEN 'Anatomical_structure' THEN 'UBERON:' || k WHEN 'Assay' THEN 'EFO:' || k WHEN 'Cell_set_dataset' THEN 'NLP_dataset_' || k WHEN 'Cell_type' THEN 'CL:<skos:related>' || k ELSE '' || k END, name, k FROM a),
+    parts AS (SELECT 'subject' AS role, 'Cell_set' AS type, name, 'u' || k || '-x' AS ident FROM e UNION ALL SELECT 'object', ot, oname, oid FROM e UNION ALL SELECT 'relation', relation, NULL, NULL FROM e)
+    SELECT role, type, count(*) AS n, count(DISTINCT name) AS names, count(DISTINCT ident) AS identifiers FROM parts GROUP BY role, type""",
+)
+def annotation_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What annotations are made of: types on either side with their names and identifiers, and relations."""
+    found = R.components_of_triples(files.annotation_records(spark, annotation_files(spark, sf_dir), lines=True))
+    return found.select("role", "type", "n", *[F.size(c).cast("long").alias(c) for c in ("names", "identifiers")])
 
 
 @register("mapping_relations", f"WITH m AS (SELECT '{P}CL_' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cl, '{P}GS_' || c_mktsegment AS gs, c_nationkey FROM customer) SELECT cl AS s, '{P}BFO_0000050' AS p, '{P}UBERON_' || c_nationkey AS o FROM m UNION ALL SELECT gs, '{P}BFO_0000050', cl FROM m UNION ALL SELECT cl, '{P}RO_0002294', gs FROM m UNION ALL SELECT '{P}GS_B', '{P}BFO_0000050', cl FROM m UNION ALL SELECT cl, '{P}RO_0002294', '{P}GS_B' FROM m")
@@ -652,9 +687,10 @@ def instance_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.instance_typing(rows).select("s", "p", "o")
 
 
-@register("drug_attributes", f"SELECT '{P}CHEMBL_' || p_partkey AS s, '{RDF}Synonyms' AS p, replace(p_name, ' ', ', ') AS o FROM part UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Target', p_brand FROM part UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Link_to_PubChem', 'pubchem.ncbi.nlm.nih.gov/compound/' || p_size FROM part WHERE p_size > 9")
+@register("drug_attributes", f"SELECT '{P}CHEMBL_' || p_partkey AS s, '{RDF}Synonyms' AS p, replace(p_name, ' ', ', ') AS o FROM part UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Target', p_brand FROM part UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Link_to_PubChem', 'pubchem.ncbi.nlm.nih.gov/compound/' || p_size FROM part WHERE p_size > 9 UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Indications', replace(p_type, ' ', ', ') FROM part WHERE p_partkey % 2 = 0")
 def drug_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.table(spark, sf_dir, "part").select(text("p_partkey").alias("id"), F.array().cast("array<string>").alias("indications"), F.col("p_brand").alias("target"), F.split("p_name", " ").alias("synonyms"), F.when(F.col("p_size") > 9, text("p_size")).alias("pubchem"))
+    indications = F.when(F.col("p_partkey") % 2 == 0, F.split("p_type", " ")).otherwise(F.array().cast("array<string>"))
+    rows = D.table(spark, sf_dir, "part").select(text("p_partkey").alias("id"), indications.alias("indications"), F.col("p_brand").alias("target"), F.split("p_name", " ").alias("synonyms"), F.when(F.col("p_size") > 9, text("p_size")).alias("pubchem"))
     return O.drug_attributes(rows).select("s", "p", "o")
 
 
@@ -681,13 +717,18 @@ def entity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.substr(F.col("dataset.id"), F.lit(5)).cast("long").alias("c_custkey"), F.col("cell_type.id").alias("cell_type"), F.col("anatomical_structure.id").alias("structure"), F.col("cell_set.id").alias("cell_set"), F.col("publication.pmid").alias("pmid"))
 
 
-@register("tuples_by_pmid", f"SELECT '{P}CSD_' || c_nationkey AS s, '{T.DC}source' AS p, '{P}PUB_' || c_custkey AS o FROM customer UNION ALL SELECT '{P}CL_' || lpad(CAST(c_custkey AS VARCHAR), 7, '0'), '{P}RO_0002292', '{P}GS_M' FROM customer")
+@register(
+    "tuples_by_pmid",
+    f"""WITH m AS (SELECT '{P}CL_' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cl, '{P}CSD_' || c_nationkey AS d, '{P}PUB_' || c_custkey AS pub, unnest(['{P}GS_' || c_mktsegment, '{P}GS_B']) AS gene FROM customer),
+    r AS (SELECT DISTINCT d AS s, '{T.DC}source' AS p, pub AS o FROM m UNION ALL SELECT DISTINCT cl, '{P}BFO_0000050', '{P}UBERON_1' FROM m
+      UNION ALL SELECT gene, '{P}BFO_0000050', cl FROM m UNION ALL SELECT cl, '{P}RO_0002294', gene FROM m UNION ALL SELECT cl, '{P}RO_0002292', gene FROM m)
+    SELECT 3 AS arity, s, p, o, NULL AS value FROM r UNION ALL SELECT 5, s, p, o, 'Manual Mapping' FROM r""",
+)
 def tuples_by_pmid(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = D.table(spark, sf_dir, "customer")
     mappings = c.select(text("c_nationkey").alias("dataset"), F.col("c_custkey").alias("pmid"), F.col("c_name").alias("cluster"), F.concat(F.lit("CL:"), F.lpad(text("c_custkey"), 7, "0")).alias("cell_type"), F.lit("UBERON:1").alias("uberon"))
-    clusters = c.select(text("c_nationkey").alias("dataset"), F.col("c_name").alias("cluster"), F.lit("u").alias("uuid"), F.array(F.lit("M")).alias("markers"), F.array(F.lit("M")).alias("binary_genes"))
-    made = O.dataset_tuples_by_pmid(mappings, clusters)
-    return made.where(F.col("p").isin(T.DC + "source", P + "RO_0002292") & (F.col("arity") == 3)).select("s", "p", "o")
+    clusters = c.select(text("c_nationkey").alias("dataset"), F.col("c_name").alias("cluster"), F.lit("u").alias("uuid"), F.array("c_mktsegment").alias("markers"), F.array(F.lit("B"), F.col("c_mktsegment")).alias("binary_genes"))
+    return O.dataset_tuples_by_pmid(mappings, clusters).select("arity", "s", "p", "o", "value")
 
 
 @register("drug_names", "SELECT DISTINCT p_brand AS name FROM part WHERE p_size > 20")

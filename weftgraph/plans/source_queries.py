@@ -102,11 +102,14 @@ def association_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.groupBy("status").agg(F.count("*").alias("n"))
 
 
-@register("schema_graph", "SELECT 'vertex' AS kind, r_name AS a, upper(substr(r_name, 1, 1)) || lower(substr(r_name, 2)) AS b, NULL AS label FROM region WHERE r_name NOT LIKE '% %' UNION ALL SELECT 'edge', n_name, r_name, 'part_of' FROM nation JOIN region ON n_regionkey = r_regionkey")
+@register(
+    "schema_graph",
+    """WITH s AS (SELECT n_name AS a, r_name AS b FROM nation JOIN region ON n_regionkey = r_regionkey), n AS (SELECT a AS key FROM s UNION SELECT b FROM s)
+    SELECT 'vertex' AS kind, key AS a, array_to_string(list_transform(string_split(replace(lower(key), '_', ' '), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ') AS b, NULL AS label FROM n UNION ALL SELECT 'edge', a, b, 'part_of' FROM s""",
+)
 def schema_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = D.table(spark, sf_dir, "nation").join(D.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("subject"), F.lit("part_of").alias("predicate"), F.col("r_name").alias("object"))
     nodes, links = S.schema_graph(schema)
-    nodes = nodes.join(D.table(spark, sf_dir, "region").select(F.col("r_name").alias("key")), "key", "left_semi").where(~F.col("key").contains(" "))
     return nodes.select(F.lit("vertex").alias("kind"), F.col("key").alias("a"), F.col("label").alias("b"), F.lit(None).cast("string").alias("label")).union(links.select(F.lit("edge"), "src", "dst", "label"))
 
 

@@ -288,9 +288,14 @@ def anatomical_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return structures, rows.select(F.explode("data.cell_types").alias("x")).select("x.id", F.col("x.ccf_located_in").alias("located_in"))
 
 
-ANNOTATIONS = "subject string, subject_type string, subject_name string, relation string, object string, object_type string, object_name string"
+ANNOTATIONS = "id string, subject string, subject_type string, subject_name string, subject_identifier string, relation string, object string, object_type string, object_name string, object_identifier string"
 
 
-def annotation_records(spark: SparkSession, path: str) -> DataFrame:
-    """Relations between named things of JSON files: arrays of records, one file a row's source."""
-    return spark.read.schema(ANNOTATIONS).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_name"))
+def annotation_records(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Relations between named things of JSON files, with their file: arrays of records, or a record in each line.
+
+    Files of lines are split over tasks; an array is read by one. Records without an id get one made of all their parts.
+    """
+    rows = spark.read.schema(ANNOTATIONS).option("multiLine", not lines).json(path).withColumn("file", F.col("_metadata.file_name"))
+    parts = [F.coalesce(c, F.lit("")) for c in rows.columns if c not in ("id", "file")]
+    return rows.withColumn("id", F.coalesce("id", terms.short_id(*parts)))
