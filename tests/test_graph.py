@@ -64,3 +64,18 @@ def test_cycles_end(spark):
     ids, met = G.ancestors(G.hierarchy_edges(edges), starts)
     assert column(ids, "id") == {"GO/0", "GO/1", "GO/2"} and met.count() == 3
     assert G.reach(G.adjacency(edges), starts, 5).count() == 1  # only edges of one collection with itself
+
+
+def test_terms_by_steps_equal_terms_by_expression(spark):
+    from pyspark.sql import functions as F
+
+    from weftgraph.functions import terms
+
+    base = terms.PURL
+    uris = [base + x for x in ("CL_1", "CL_1_", "CL:1", "CL_1_2", "CL_", "_1", "CL_a b", "GO_1", "CL%5F2", "x/CL_3", "CL_3#y", "CL_3?z")] + ["http://x.org/CL_7", "https://x.org/a/pcl/CS1", "http://ensembl/ENSG9", "no uri", "", None, "http://x.org/pcl/CS_2_3"]
+    valid = ("CL", "PCLCS", "ENSG")
+    rows = spark.createDataFrame([(u,) for u in uris], "u string")
+    t = terms.parse_term(F.col("u"), valid)
+    wanted = F.when(t["is_valid"], F.concat_ws("_", t["id"], t["number"]))
+    for r in terms.with_term(rows.withColumn("wanted", wanted), "u", "term", valid).collect():
+        assert r["term"] == r["wanted"], r

@@ -75,21 +75,23 @@ def edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None =
     """Edges between valid terms, one per key, with all labels: (collection, key, src, dst, labels).
 
     Triples whose predicate has no label make no edge. Predicates are few: they are parsed apart and sent to the triples.
-    As a key names its predicate, an edge has one label unless several predicates share a CURIE but not their label.
+    As a key names its predicate, an edge has one label unless several predicates share a CURIE but not their label. Repeats
+    go by the two terms, which are shorter than what is made of them.
     """
     found = predicates(triples, labels).where("label IS NOT NULL")
-    parsed = _beside(triples.where(terms.node_kind(F.col("o")) == "uri").select("s", "p", "o"), found).select(
-        terms.parse_term(F.col("s"), valid).alias("a"), "curie", "label", terms.parse_term(F.col("o"), valid).alias("b")
-    )
-    each = parsed.where("a.is_valid AND b.is_valid").select(
-        F.concat_ws("-", "a.id", "b.id").alias("collection"),
-        F.concat_ws("-", "a.number", "curie", "b.number").alias("key"),
-        F.concat_ws("/", "a.id", "a.number").alias("src"),
-        F.concat_ws("/", "b.id", "b.number").alias("dst"),
+    rows = _beside(triples.where(terms.node_kind(F.col("o")) == "uri").select("s", "p", "o"), found)
+    parsed = terms.with_term(terms.with_term(rows, "s", "a", valid), "o", "b", valid)
+    known = parsed.groupBy("a", "b", "curie", "label").agg(F.count("a").alias("n_a"), F.count("b").alias("n_b")).where("n_a > 0 AND n_b > 0")
+    part = lambda c, k: F.substring_index(c, "_", k)
+    each = known.select(
+        F.concat_ws("-", part("a", 1), part("b", 1)).alias("collection"),
+        F.concat_ws("-", part("a", -1), "curie", part("b", -1)).alias("key"),
+        F.replace("a", F.lit("_"), F.lit("/")).alias("src"),
+        F.replace("b", F.lit("_"), F.lit("/")).alias("dst"),
         "label",
     )
     if found.groupBy("curie").agg(F.count_distinct("label").alias("n")).where("n > 1").isEmpty():
-        return each.distinct().select("collection", "key", "src", "dst", F.array("label").alias("labels"))
+        return each.select("collection", "key", "src", "dst", F.array("label").alias("labels"))
     return each.groupBy("collection", "key", "src", "dst").agg(F.array_sort(F.collect_set("label")).alias("labels"))
 
 
