@@ -178,3 +178,69 @@ def test_annotations_are_scanned_with_their_identifiers(spark, tmp_path):
 
     made = legacy.annotation_tuples(more, spark.createDataFrame([], "mesh string, mondo string"), spark.createDataFrame([("r", "RO_1")], "relation string, predicate string"))
     assert {(r["s"], r["o"]) for r in made.where("arity = 3 AND p LIKE '%RO_1'").collect()} == {(f"{P}CS_a-b-u1", f"{P}GS_G1"), (f"{P}CS_a-b-u1", f"{P}GS_G2")}
+
+
+def test_members_of_patterns_are_those_of_their_paths(spark):
+    from weftgraph.operators import patterns
+
+    rng = random.Random(4)
+    nodes = {c: [f"{c}/{i}" for i in range(6)] for c in "ABCD"}
+    pairs = {(rng.choice(nodes[a]), rng.choice(nodes[b])) for a, b in ("AB", "BC", "CA", "CD", "BC", "AB") for _ in range(4)}
+    rows = [(f"{a[0]}-{b[0]}", f"{a[2:]}-p-{b[2:]}", a, b, ["P"]) for a, b in sorted(pairs)] + [("C-C", f"{i}-up-{i + 1}", f"C/{i}", f"C/{i + 1}", ["UP"]) for i in range(1, 5)]
+    edges = spark.createDataFrame(rows, "collection string, key string, src string, dst string, labels array<string>")
+    text = "A B\nA B C\nA B C D\nD C A\nB A D\nA C + UP"
+    near = [(f"{c}/{k}", a, b) for c, k, a, b, _ in rows if a[0] != b[0]]
+    near += [(e, b, a) for e, a, b in near]
+    wanted = set()
+    for steps, label in patterns.parsed(text):
+        name = " ".join(steps) + (f" + {label}" if label else "")
+        paths = [((a, b), (e,)) for e, a, b in near if (a[0], b[0]) == steps[:2]]
+        for c in steps[2:]:
+            paths = [((*v, b), (*es, e)) for v, es in paths for e, a, b in near if a == v[-1] and b[0] == c]
+        for v, es in paths:
+            wanted |= {(name, "vertex", x) for x in v} | {(name, "edge", e) for e in es}
+            if label:
+                wanted |= {(name, "vertex", f"C/{i}") for i in range(int(v[-1][2:]), 6) if int(v[-1][2:]) >= 1}
+    assert {tuple(r) for r in patterns.pattern_members(edges, patterns.parsed(text)).collect()} == wanted
+    every = patterns.parsed(patterns.PHENOTYPE)
+    assert len(every) == 49 and all(p[0][0] == "CS" for p in every) and sum(p[1] is not None for p in every) == 18
+    for bad in ("A", "A B A"):
+        try:
+            patterns.pattern_members(edges, patterns.parsed(bad))
+        except ValueError:
+            continue
+        raise AssertionError(bad)
+
+
+def test_blank_node_sets(spark):
+    from weftgraph.operators import reports
+
+    whole = [("X", "s#subClassOf", "_:1"), ("_:1", "o#onProperty", "p"), ("_:1", "o#someValuesFrom", "Y")]
+    short = [("X", "s#subClassOf", "_:2"), ("_:2", "o#onProperty", "p")]
+    twice = [("_:3", "o#annotatedSource", "X"), ("_:3", "o#annotatedProperty", "p"), ("_:3", "o#annotatedProperty", "q"), ("_:3", "o#hasDbXref", "lost")]
+    noted = [("_:4", "o#annotatedSource", "X"), ("_:4", "o#annotatedProperty", "p"), ("_:4", "o#annotatedTarget", "text"), ("_:4", "o#source", "a"), ("_:4", "o#hasDbXref", "b")]
+    rest = [("_:5", "o#member", "_:1"), ("_:5", "o#member", "other"), ("plain", "o#p", "plain"), ("_:6", "o#source", "alone")]
+    frame = spark.createDataFrame(whole + short + twice + noted + rest, "s string, p string, o string")
+    made, ignored = reports.bnode_triples(reports.bnode_sets(frame))
+    assert {tuple(r) for r in made.collect()} == {("relation", "X", "p", "Y"), ("annotation", "X", "p", "text"), ("literal", "X", "o#source", "a"), ("literal", "X", "o#hasDbXref", "b")}
+    assert sorted((r["s"], r["p"], r["o"]) for r in ignored.collect()) == sorted(short + twice + [x for x in rest if x[0] != "plain"])
+
+
+def test_bags_differ_by_what_they_hold_at_any_depth(spark):
+    from pyspark.sql import functions as F
+
+    from weftgraph.operators import reports
+
+    deep = '{"a":' * 9 + "%s" + "}" * 9
+    docs = {
+        1: ('{"l":[1,2,2,null],"o":[{"id":"x","v":1},{"id":"y","v":2}]}', '{"o":[{"v":2,"id":"y"},{"v":1,"id":"x"}],"l":[2,null,1,2]}'),
+        2: ('{"l":[1,2]}', '{"l":[2,2]}'),
+        3: (deep % '["p",["q","r"]]', deep % '[["r","q"],"p"]'),
+        4: (deep % "1", deep % "2"),
+        5: ("{}", "{}"),
+        6: ('{"l":[]}', '{"l":"text"}'),
+    }
+    frame = lambda k: spark.createDataFrame([(i, d[k]) for i, d in docs.items()], "key int, j string").select("key", F.try_parse_json("j").alias("v"))
+    got = {(r["key"], r["path"], r["problem"]) for r in reports.bag_difference(frame(0), frame(1), "key", "v").collect()}
+    path = "$" + ".a" * 9
+    assert got == {(2, "$.l[1]", "missing"), (2, "$.l[2]", "value"), (4, path, "value"), (6, "$.l[]", "missing"), (6, "$.l", "extra")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: ids of terms that become vertices
@@ -86,21 +86,21 @@ def parse_term(uri: Column, valid: tuple[str, ...] = VALID_IDS) -> Column:
 _REST = r"^[A-Za-z0-9.-]+_[A-Za-z0-9.-]+$"
 
 
-def with_term(rows: DataFrame, uri: str, name: str, valid: tuple[str, ...] = VALID_IDS) -> DataFrame:
-    """Adds the term ``id_number`` of a URI column, null where ``parse_term`` finds none that is valid.
+def valid_term(uri: Column, valid: tuple[str, ...] = VALID_IDS) -> Column:
+    """The term ``id_number`` of a URI, null where ``parse_term`` finds none that is valid; for many rows.
 
-    For many rows: each step is a column of generated code, and nearly all URIs need the first one only. A filter on the term
-    would be moved below these steps and repeat them; aggregate by the term first, then filter by a count of it.
+    Nearly all URIs have the usual base and need the first branch only. Filters on it may be moved to where it is made, so it
+    is one short expression.
     """
-    rest = F.substr(F.col(uri), F.lit(len(PURL) + 1))
-    rows = rows.withColumn("_rest", F.when(F.col(uri).startswith(PURL) & rest.rlike(_REST), rest))
-    rows = rows.withColumn("_other", F.when(F.col("_rest").isNull(), normalise_uri(F.col(uri))))
-    rows = rows.withColumn("_other", last_segment(F.col("_other")))
-    other = F.col("_other")
-    split = F.when(other.contains("_"), F.split(F.regexp_replace(other, "_+$", ""), "_")).when(other.contains(":"), F.split(F.regexp_replace(other, ":+$", ""), ":"))
-    rows = rows.withColumn("_parts", split)
-    rows = rows.withColumn("_term", F.coalesce("_rest", F.when(F.size("_parts") == 2, F.array_join("_parts", "_"))))
-    return rows.withColumn(name, F.when(F.substring_index("_term", "_", 1).isin(*valid), F.col("_term"))).drop("_rest", "_other", "_parts", "_term")
+    rest = F.substr(uri, F.lit(len(PURL) + 1))
+    usable = lambda term: F.when(F.substring_index(term, "_", 1).isin(*valid), term)
+
+    def joined(term: Column) -> Column:
+        split = F.when(term.contains("_"), F.split(F.regexp_replace(term, "_+$", ""), "_")).when(term.contains(":"), F.split(F.regexp_replace(term, ":+$", ""), ":"))
+        return let(split, lambda x: F.when(F.size(x) == 2, F.array_join(x, "_")))
+
+    other = let(let(let(let(uri, normalise_uri), last_segment), joined), usable)
+    return F.when(uri.startswith(PURL) & rest.rlike(_REST), usable(rest)).otherwise(other)
 
 
 def parse_predicate(uri: Column) -> Column:

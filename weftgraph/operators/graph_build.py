@@ -80,7 +80,8 @@ def edges(triples: DataFrame, valid: tuple[str, ...], labels: DataFrame | None =
     """
     found = predicates(triples, labels).where("label IS NOT NULL")
     rows = _beside(triples.where(terms.node_kind(F.col("o")) == "uri").select("s", "p", "o"), found)
-    parsed = terms.with_term(terms.with_term(rows, "s", "a", valid), "o", "b", valid)
+    parsed = rows.select(terms.valid_term(F.col("s"), valid).alias("a"), "curie", "label", terms.valid_term(F.col("o"), valid).alias("b"))
+    # terms that aren't valid are null: a group of their own for each other end
     known = parsed.groupBy("a", "b", "curie", "label").agg(F.count("a").alias("n_a"), F.count("b").alias("n_b")).where("n_a > 0 AND n_b > 0")
     part = lambda c, k: F.substring_index(c, "_", k)
     each = known.select(

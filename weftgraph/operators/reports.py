@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftgraph.plans.iterate import discard, step
+
 
 def collection_summary(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(kind, collection, n): members of each collection, and the total of each kind under a null collection."""
@@ -127,8 +129,12 @@ def flattened(rows: DataFrame, key: str, payload: str, depth: int = 6) -> DataFr
 
 def nested_difference(old: DataFrame, new: DataFrame, key: str, payload: str) -> DataFrame:
     """(key, path, problem, old, new): where two sets of payloads differ - missing or extra paths, types, lengths, values."""
-    o = flattened(old, key, payload).select(key, "path", F.col("type").alias("old_type"), F.col("value").alias("old"))
-    n = flattened(new, key, payload).select(key, "path", F.col("type").alias("new_type"), F.col("value").alias("new"))
+    return _differences(flattened(old, key, payload), flattened(new, key, payload), key)
+
+
+def _differences(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    o = old.select(key, "path", F.col("type").alias("old_type"), F.col("value").alias("old"))
+    n = new.select(key, "path", F.col("type").alias("new_type"), F.col("value").alias("new"))
     problem = (
         F.when(F.col("new_type").isNull(), "missing")
         .when(F.col("old_type").isNull(), "extra")
@@ -146,3 +152,85 @@ def most_common(rows: DataFrame, column: str, most: int = 10) -> DataFrame:
 def statement_kinds(triples: DataFrame, kind: Callable[[str], Column]) -> DataFrame:
     """(s_kind, p, o_kind, n): how many triples have each kind of subject and object under each predicate."""
     return triples.groupBy(kind("s").alias("s_kind"), "p", kind("o").alias("o_kind")).agg(F.count("*").alias("n"))
+
+
+# fixed values: fragments of predicates by what their triples describe: a relation of classes (subject, predicate, object), an
+# annotation of one, and what else is said of it
+RELATION = ("subClassOf", "onProperty", "someValuesFrom")
+ANNOTATION = ("annotatedSource", "annotatedProperty", "annotatedTarget")
+SAID = ("hasDbXref", "source")
+
+
+def bnode_sets(triples: DataFrame, is_class: Callable[[Column], Column] = lambda node: F.lit(False)) -> DataFrame:
+    """Triples (s, p, o) with a blank node (``_:``) on one side, with that ``bnode``, the other ``node`` and the ``kind``: relation,
+    annotation, literal, class or other; with one on both sides, the kind is nested and ``bnode`` the subject. A triple is of
+    one set; ``is_class`` tells classes from other nodes."""
+    blank = lambda c: F.coalesce(F.col(c).startswith("_:"), F.lit(False))
+    fragment = F.regexp_extract("p", r"([^/#]*)$", 1)
+    kind = (
+        F.when(blank("s") & blank("o"), "nested").when(fragment.isin(*RELATION), "relation").when(fragment.isin(*ANNOTATION), "annotation").when(fragment.isin(*SAID), "literal")
+        .when(is_class(F.col("s")) | is_class(F.col("o")), "class").otherwise("other")
+    )
+    some = triples.where(blank("s") | blank("o"))
+    return some.select(F.when(blank("s"), F.col("s")).otherwise(F.col("o")).alias("bnode"), F.when(blank("s"), F.col("o")).otherwise(F.col("s")).alias("node"), kind.alias("kind"), fragment.alias("fragment"), "s", "p", "o")
+
+
+def bnode_triples(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The triples (kind, s, p, o) that sets of blank nodes describe, and the triples (kind, s, p, o) that they ignore.
+
+    A set of relations or of annotations makes a triple if it has exactly three members that name its subject, predicate and
+    object; literals beside annotations are said of the annotated subject. Other sets are ignored as a whole, as are
+    literals without annotations that hold, classes, nested and other triples. Sets are counted before rows meet; a blank
+    node with very many triples is no hot key, as its rows are joined with one row of counts.
+    """
+    of = lambda name: F.max(F.when(F.col("fragment") == name, F.col("node")))
+    names = {"relation": RELATION, "annotation": ANNOTATION}
+    good = None
+    for kind, parts in names.items():
+        each = sets.where(F.col("kind") == kind).groupBy("bnode").agg(F.count("*").alias("n"), *[of(p).alias(c) for p, c in zip(parts, ("x", "y", "z"))])
+        each = each.where("n = 3 AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select(F.lit(kind).alias("kind"), "bnode", "x", "y", "z")
+        good = each if good is None else good.unionByName(each)
+    made = good.select("kind", F.col("x").alias("s"), F.col("y").alias("p"), F.col("z").alias("o"))
+    owner = good.where("kind = 'annotation'").select("bnode", F.col("x").alias("owner"))
+    said = sets.where("kind = 'literal'")
+    literals = said.join(owner, "bnode").select(F.lit("literal").alias("kind"), F.col("owner").alias("s"), "p", "o")
+    whole = sets.where(F.col("kind").isin(*names)).join(good.select("kind", "bnode"), ["kind", "bnode"], "left_anti")
+    rest = sets.where(F.col("kind").isin("class", "other", "nested"))
+    columns = ("kind", "s", "p", "o")
+    ignored = whole.select(*columns).unionByName(said.join(owner, "bnode", "left_anti").select(*columns)).unionByName(rest.select(*columns))
+    return made.unionByName(literals), ignored
+
+
+def leaves(rows: DataFrame, key: str, payload: str, names: tuple[str, ...] = ("id",)) -> DataFrame:
+    """(key, path, type, value) of the leaves of variant payloads at any depth, lists taken as bags.
+
+    Members of lists are named by what they are, not by where they stand: an object that has one of ``names`` by the first one
+    it has (``[id=x]``), a scalar by its value (``[x]``), anything else as ``[]``. Leaves of one path are counted: ``value`` is
+    the value, the bag of values in order, or for a member of a list how often it is there. Each level is a job, until none is left.
+    """
+    spark, found = rows.sparkSession, []
+    level = step(rows.select(key, F.lit("$").alias("path"), F.col(payload).alias("v")))
+    while True:
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+        typed = level.withColumn("type", kind)
+        found.append(typed.where(~F.col("type").isin("OBJECT", "ARRAY")).select(key, "path", "type", F.col("v").cast("string").alias("value")))
+        found.append(typed.where("type = 'ARRAY'").select(key, F.concat("path", F.lit("[]")).alias("path"), F.lit("LENGTH").alias("type"), F.size(F.try_variant_get("v", "$", "array<variant>")).cast("string").alias("value")))
+        inner = typed.where(F.col("type").isin("OBJECT", "ARRAY")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        inner = inner.toDF(key, "path", "v", "type", "pos", "key_", "value")
+        named = F.coalesce(*[F.concat(F.lit(f"[{n}="), F.try_variant_get("value", f"$.{n}", "string"), F.lit("]")) for n in names])
+        inside = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+        scalar = F.when(~inside.isin("OBJECT", "ARRAY"), F.concat(F.lit("["), F.coalesce(F.col("value").cast("string"), F.lit("null")), F.lit("]")))
+        name = F.when(F.col("key_").isNotNull(), F.concat(F.lit("."), "key_")).otherwise(F.coalesce(F.when(inside == "OBJECT", named), scalar, F.lit("[]")))
+        after = step(inner.select(key, F.concat("path", name).alias("path"), F.col("value").alias("v")))
+        if after.isEmpty():
+            discard(after)
+            break
+        level = after
+    each = reduce(DataFrame.unionByName, found)
+    bag = F.array_sort(F.collect_list(F.coalesce("value", F.lit("null"))))  # as many as a payload has members under one path
+    return each.groupBy(key, "path").agg(F.min("type").alias("type"), F.when(F.count("*") == 1, F.min("value")).otherwise(F.array_join(bag, ",")).alias("value"))
+
+
+def bag_difference(old: DataFrame, new: DataFrame, key: str, payload: str, names: tuple[str, ...] = ("id",)) -> DataFrame:
+    """As ``nested_difference``, with lists compared as bags of members, at any depth."""
+    return _differences(leaves(old, key, payload, names), leaves(new, key, payload, names), key)

@@ -1,4 +1,5 @@
-"""Registered queries of structures that are written and read back: streamed graphs, ordered tuple files, slims, search indexes."""
+"""Registered queries of structures that are written and read back - streamed graphs, ordered tuple files, slims, search indexes -
+of associations, members of path patterns, blank nodes and differences of bags."""
 
 from __future__ import annotations
 
@@ -7,9 +8,11 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import associations as A
 from weftgraph.operators import search_index as index
+from weftgraph.operators import patterns as M
+from weftgraph.operators import reports as R
 from weftgraph.operators import sinks, slims
 from weftgraph.operators import writers as T
-from weftgraph.plans.graph_queries import LINKS, LITERALS
+from weftgraph.plans.graph_queries import LINKS, LITERALS, edges
 from weftgraph.plans.more_queries import folder
 from weftgraph.plans.registry import register
 from weftgraph.sources import derived as D
@@ -229,3 +232,96 @@ def association_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def created_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuples of the associations that were created, and of no others."""
     return A.created_tuples(realised(spark, sf_dir)[0], subject_fields=("label",), edge_fields=("size",)).select("s", "p", "o", "attr", "value")
+
+
+# ---- members of path patterns
+
+#: Patterns over the shared tables, in the form of the fixed ones.
+PATTERNS = """
+SUPP NATION REGION
+SUPP NATION CUST
+SUPP NATION CUST ORD
+SUPP PART ORD
+SUPP PART ORD CUST
+SUPP REGION NATION
+SUPP PART + SUB_CLASS_OF
+"""
+
+
+def members_sql(text: str) -> str:
+    """The members of all paths of each pattern, by joins of whole paths."""
+    tables, rows = [], []
+    for i, (steps, label) in enumerate(M.parsed(text)):
+        name = " ".join(steps) + (f" + {label}" if label else "")
+        n = len(steps) - 1
+        hops = " JOIN ".join(f"n h{k}" + (f" ON h{k}.a = h{k - 1}.b AND h{k}.ca = '{steps[k]}' AND h{k}.cb = '{steps[k + 1]}'" if k else "") for k in range(n))
+        tables.append(f"p{i} AS (SELECT h0.a AS v0, {', '.join(f'h{k}.b AS v{k + 1}, h{k}.e AS e{k}' for k in range(n))} FROM {hops} WHERE h0.ca = '{steps[0]}' AND h0.cb = '{steps[1]}')")
+        rows += [f"SELECT '{name}' AS pattern, 'vertex' AS kind, v{k} AS id FROM p{i}" for k in range(n + 1)] + [f"SELECT '{name}', 'edge', e{k} FROM p{i}" for k in range(n)]
+        if label:
+            tables.append(f"u{i} AS (SELECT DISTINCT v{n} AS id FROM p{i} UNION SELECT dst FROM u{i} JOIN edges ON src = u{i}.id AND collection = '{steps[-1]}-{steps[-1]}' AND label = '{label}')")
+            rows.append(f"SELECT '{name}', 'vertex', id FROM u{i}")
+    both = "n AS (SELECT *, split_part(a, '/', 1) AS ca, split_part(b, '/', 1) AS cb FROM (SELECT collection || '/' || key AS e, src AS a, dst AS b FROM edges UNION ALL SELECT collection || '/' || key, dst, src FROM edges))"
+    return f"WITH RECURSIVE {LINKS}, {both}, {', '.join(tables)} {' UNION '.join(rows)}"
+
+
+@register("pattern_members", members_sql(PATTERNS))
+def pattern_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices and edges on the paths of several patterns, some with shared prefixes, one without a path, one with a hierarchy."""
+    return M.pattern_members(edges(spark, sf_dir), M.parsed(PATTERNS))
+
+
+# ---- blank nodes
+
+BNODES = """t AS (
+  SELECT '_:o' || o_orderkey AS s, 'x#onProperty' AS p, 'x#p' || o_orderstatus AS o FROM orders UNION ALL SELECT '_:o' || o_orderkey, 'x#someValuesFrom', 'C' || o_custkey FROM orders WHERE o_orderkey % 5 > 0
+  UNION ALL SELECT 'O' || o_orderkey, 'x#subClassOf', '_:o' || o_orderkey FROM orders
+  UNION ALL SELECT '_:c' || c_custkey, 'x#annotatedSource', 'C' || c_custkey FROM customer UNION ALL SELECT '_:c' || c_custkey, 'x#annotatedProperty', 'x#d' FROM customer UNION ALL SELECT '_:c' || c_custkey, 'x#annotatedTarget', c_name FROM customer
+  UNION ALL SELECT '_:c' || c_custkey, 'x#annotatedTarget', 'twice' FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT '_:c' || c_custkey, 'x#hasDbXref', c_mktsegment FROM customer
+  UNION ALL SELECT '_:c' || c_custkey, 'x#member', '_:o' || c_custkey FROM customer UNION ALL SELECT '_:c' || c_custkey, 'x#member', 'class' || c_nationkey FROM customer UNION ALL SELECT 'C' || c_custkey, 'x#label', c_name FROM customer)"""
+
+
+@register(
+    "bnode_triples",
+    """SELECT 'made' AS state, 'relation' AS kind, 'O' || o_orderkey AS s, 'x#p' || o_orderstatus AS p, 'C' || o_custkey AS o FROM orders WHERE o_orderkey % 5 > 0
+    UNION ALL SELECT 'made', 'annotation', 'C' || c_custkey, 'x#d', c_name FROM customer WHERE c_custkey % 4 > 0 UNION ALL SELECT 'made', 'literal', 'C' || c_custkey, 'x#hasDbXref', c_mktsegment FROM customer WHERE c_custkey % 4 > 0
+    UNION ALL SELECT 'ignored', 'relation', '_:o' || o_orderkey, 'x#onProperty', 'x#p' || o_orderstatus FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT 'ignored', 'relation', 'O' || o_orderkey, 'x#subClassOf', '_:o' || o_orderkey FROM orders WHERE o_orderkey % 5 = 0
+    UNION ALL SELECT 'ignored', CASE WHEN p = 'x#hasDbXref' THEN 'literal' ELSE 'annotation' END, '_:c' || c_custkey, p, o FROM (SELECT c_custkey, unnest(['x#annotatedSource', 'x#annotatedProperty', 'x#annotatedTarget', 'x#annotatedTarget', 'x#hasDbXref']) AS p, unnest(['C' || c_custkey, 'x#d', c_name, 'twice', c_mktsegment]) AS o FROM customer WHERE c_custkey % 4 = 0)
+    UNION ALL SELECT 'ignored', 'nested', '_:c' || c_custkey, 'x#member', '_:o' || c_custkey FROM customer UNION ALL SELECT 'ignored', 'class', '_:c' || c_custkey, 'x#member', 'class' || c_nationkey FROM customer""",
+)
+def bnode_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sets of blank nodes say - relations, annotations, literals beside these - and all that they leave unsaid."""
+    o, c = D.table(spark, sf_dir, "orders"), D.table(spark, sf_dir, "customer")
+    cat = lambda *parts: F.concat(*[F.lit(x) if i % 2 == 0 else F.col(x) for i, x in enumerate(parts)])
+    t = lambda rows, s, p, x: rows.select(s.alias("s"), F.lit(p).alias("p") if isinstance(p, str) else p.alias("p"), x.alias("o"))
+    b, d = cat("_:o", "o_orderkey"), cat("_:c", "c_custkey")
+    made = [
+        t(o, b, "x#onProperty", cat("x#p", "o_orderstatus")), t(o.where("o_orderkey % 5 > 0"), b, "x#someValuesFrom", cat("C", "o_custkey")), t(o, cat("O", "o_orderkey"), "x#subClassOf", b),
+        t(c, d, "x#annotatedSource", cat("C", "c_custkey")), t(c, d, "x#annotatedProperty", F.lit("x#d")), t(c, d, "x#annotatedTarget", F.col("c_name")), t(c.where("c_custkey % 4 = 0"), d, "x#annotatedTarget", F.lit("twice")),
+        t(c, d, "x#hasDbXref", F.col("c_mktsegment")), t(c, d, "x#member", cat("_:o", "c_custkey")), t(c, d, "x#member", cat("class", "c_nationkey")), t(c, cat("C", "c_custkey"), "x#label", F.col("c_name")),
+    ]
+    triples = made[0]
+    for more in made[1:]:
+        triples = triples.unionByName(more)
+    found, ignored = R.bnode_triples(R.bnode_sets(triples, lambda node: F.coalesce(node.startswith("class"), F.lit(False))))
+    return found.select(F.lit("made").alias("state"), "kind", "s", "p", "o").unionByName(ignored.select(F.lit("ignored").alias("state"), "kind", "s", "p", "o"))
+
+
+# ---- differences of bags
+
+
+@register(
+    "bag_difference",
+    """SELECT c_custkey AS key, '$.deep.deep.list[id=' || c_nationkey || '].name' AS path, 'value' AS problem, c_name AS old, c_name || '!' AS new FROM customer WHERE c_custkey % 5 = 0
+    UNION ALL SELECT c_custkey, '$.ids[]', 'length', '3', '2' FROM customer WHERE c_custkey % 7 = 0 UNION ALL SELECT c_custkey, '$.ids[b]', 'value', 'b,b', 'b' FROM customer WHERE c_custkey % 7 = 0
+    UNION ALL SELECT c_custkey, '$.deep.deep.list[id=x].name', 'extra', NULL, 'more' FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, '$.deep.deep.list[id=x].id', 'extra', NULL, 'x' FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT c_custkey, '$.deep.deep.list[]', 'length', '1', '2' FROM customer WHERE c_custkey % 3 = 0""",
+)
+def bag_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads whose lists come in another order, and some with other members: only what the lists hold counts."""
+    key = F.col("c_custkey")
+    item = lambda ident, name: F.struct(ident.cast("string").alias("id"), name.alias("name"))
+    doc = lambda ids, items: D.table(spark, sf_dir, "customer").select(key.alias("key"), F.try_parse_json(F.to_json(F.struct(ids.alias("ids"), F.struct(F.struct(items.alias("list")).alias("deep")).alias("deep")))).alias("v"))
+    old = doc(F.array(F.lit("a"), F.lit("b"), F.lit("b")), F.array(item(F.col("c_nationkey"), F.col("c_name"))))
+    same = item(F.col("c_nationkey"), F.when(key % 5 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")))
+    new = doc(F.when(key % 7 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("b"), F.lit("a"), F.lit("b"))), F.when(key % 3 == 0, F.array(item(F.lit("x"), F.lit("more")), same)).otherwise(F.array(same)))
+    return R.bag_difference(old, new, "key", "v")
