@@ -244,3 +244,35 @@ def test_bags_differ_by_what_they_hold_at_any_depth(spark):
     got = {(r["key"], r["path"], r["problem"]) for r in reports.bag_difference(frame(0), frame(1), "key", "v").collect()}
     path = "$" + ".a" * 9
     assert got == {(2, "$.l[1]", "missing"), (2, "$.l[2]", "value"), (4, path, "value"), (6, "$.l[]", "missing"), (6, "$.l", "extra")}
+
+
+def test_names_and_namespaces(spark):
+    from weftgraph.operators import namespaces
+
+    spaces = spark.createDataFrame([("a", "http://a/"), ("b", "http://a/"), ("ab", "http://a/b"), ("c", "http://z/"), ("c", "http://y/"), (None, "http://n/"), ("e", "")], "prefix string, uri string")
+    uris = ["http://a/x", "http://a/bx", "http://a/b", "http://a", "http://z/1", None, "", "http://n/1", "http://a/x"]
+    got = sorted(((r["u"], r["prefix"], r["local"]) for r in namespaces.contracted(spark.createDataFrame([(u,) for u in uris], "u string"), "u", spaces).collect()), key=str)
+    assert got == sorted([("http://a/x", "a", "x"), ("http://a/bx", "ab", "x"), ("http://a/b", "ab", ""), ("http://a", None, None), ("http://z/1", "c", "1"), (None, None, None), ("", None, None), ("http://n/1", None, None), ("http://a/x", "a", "x")], key=str)
+    curies = ["c:1", "ab:x:y", "none", "q:1", None]
+    made = {r["k"]: r["expanded"] for r in namespaces.expanded(spark.createDataFrame([(c,) for c in curies], "k string"), "k", spaces).collect()}
+    assert made == {"c:1": "http://y/1", "ab:x:y": "http://a/bx:y", "none": None, "q:1": None, None: None}
+    none = namespaces.contracted(spark.createDataFrame([("http://a/",)], "u string"), "u", spaces.limit(0)).collect()
+    assert [(r["prefix"], r["local"]) for r in none] == [(None, None)]
+
+
+def test_keyed_store_rewrites_touched_buckets_only(spark, tmp_path):
+    from weftgraph.operators import keyed_store
+
+    folder, schema = str(tmp_path / "s"), "id string, payload string, seq long"
+    now = lambda: {r["id"]: r["payload"] for r in keyed_store.current(spark, folder).collect()}
+    merge = lambda rows, n: keyed_store.merge(spark.createDataFrame(rows, schema), folder, n)
+    assert now() == {}
+    assert merge([(str(i), f'{{"v":{i}}}', i) for i in range(100)] + [(None, "x", 1)], 0)
+    assert merge([("1", "old", 1), ("1", 'a "quoted"\n', 2), ("2", None, 1), ("new", "n", 1)], 1)
+    assert not merge([("3", None, 9)], 1) and merge([], 2)
+    wanted = {str(i): f'{{"v":{i}}}' for i in range(100) if i != 2} | {"1": 'a "quoted"\n', "new": "n"}
+    assert now() == wanted
+    touched = [p.name for p in (tmp_path / "s" / "merge=1").glob("bucket=*")]
+    assert 1 <= len(touched) <= 3
+    (tmp_path / "s" / "merge=3").mkdir()  # a merge that broke off
+    assert now() == wanted and merge([(k, None, 1) for k in wanted], 3) and now() == {}

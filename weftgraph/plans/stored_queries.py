@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import associations as A
 from weftgraph.operators import search_index as index
+from weftgraph.operators import namespaces as N
 from weftgraph.operators import patterns as M
 from weftgraph.operators import reports as R
-from weftgraph.operators import sinks, slims
+from weftgraph.operators import keyed_store, sinks, slims
 from weftgraph.operators import writers as T
 from weftgraph.plans.graph_queries import LINKS, LITERALS, edges
 from weftgraph.plans.more_queries import folder
@@ -325,3 +326,52 @@ def bag_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = item(F.col("c_nationkey"), F.when(key % 5 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")))
     new = doc(F.when(key % 7 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("b"), F.lit("a"), F.lit("b"))), F.when(key % 3 == 0, F.array(item(F.lit("x"), F.lit("more")), same)).otherwise(F.array(same)))
     return R.bag_difference(old, new, "key", "v")
+
+
+# ---- names and stores
+
+
+@register(
+    "slot_predicates",
+    f"""WITH a AS (SELECT 'A' || p_partkey AS association, CASE WHEN p_partkey % 11 > 0 THEN 's' || (p_partkey % 9) END AS slot FROM part),
+    s AS (SELECT 's' || k AS slot, CASE WHEN k % 3 = 0 THEN 'OBO:RO_' || k WHEN k % 3 = 1 THEN 'x:slot' || k WHEN k = 2 THEN 'odd:a' END AS curie FROM (SELECT DISTINCT n_nationkey % 8 AS k FROM nation)),
+    r AS (SELECT association, slot, curie, s.slot IS NULL AS none FROM a LEFT JOIN s USING (slot))
+    SELECT association, slot, curie, CASE WHEN curie LIKE 'OBO:%' THEN '{P}' || substr(curie, 5) WHEN curie LIKE 'x:%' THEN 'https://x.org/' || substr(curie, 3) END AS predicate,
+      CASE WHEN slot IS NULL THEN 'no slot' WHEN none THEN 'no definition of the slot' WHEN curie IS NULL THEN 'neither mapping nor URI' WHEN curie LIKE 'odd:%' THEN 'unknown prefix' END AS problem FROM r""",
+)
+def slot_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicates of associations by slot, first mapping or URI, and namespace; what can't be resolved has a reason."""
+    key = F.col("p_partkey")
+    associations = D.table(spark, sf_dir, "part").select(F.concat(F.lit("A"), key).alias("association"), F.when(key % 11 > 0, F.concat(F.lit("s"), key % 9)).alias("slot"))
+    k = F.col("k")
+    mapped = F.when(k % 3 == 0, F.array(F.concat(F.lit("OBO:RO_"), k), F.lit("x:later"))).otherwise(F.array().cast("array<string>"))
+    uri = F.when(k % 3 == 1, F.concat(F.lit("x:slot"), k)).when(k == 2, "odd:a").when(k % 3 == 0, "x:second")
+    slots = D.table(spark, sf_dir, "nation").select((F.col("n_nationkey") % 8).alias("k")).distinct().select(F.concat(F.lit("s"), k).alias("slot"), mapped.alias("exact_mappings"), uri.alias("slot_uri"))
+    spaces = spark.createDataFrame([("OBO", "https://purl.obolibrary.org/obo/"), ("x", "https://x.org/")], "prefix string, uri string")
+    found, rejected = N.predicates_of(associations, slots, spaces)
+    return found.withColumn("problem", F.lit(None).cast("string")).unionByName(rejected, allowMissingColumns=True)
+
+
+@register(
+    "longest_namespaces",
+    """SELECT key, CASE WHEN k = 0 THEN 'a' WHEN k = 1 THEN 'ab' WHEN k = 2 THEN 'abc' END AS prefix, CASE WHEN k < 3 THEN CAST(key AS VARCHAR) END AS local FROM (SELECT o_orderkey AS key, o_orderkey % 4 AS k FROM orders)""",
+)
+def longest_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of namespaces that start alike the longest one names a URI."""
+    key = F.col("o_orderkey")
+    base = F.get(F.array(F.lit("http://a/"), F.lit("http://a/b/"), F.lit("http://a/b/c_"), F.lit("urn:x:")), key % 4)
+    rows = D.table(spark, sf_dir, "orders").select(key.alias("key"), F.concat(base, key).alias("u"))
+    spaces = spark.createDataFrame([("a", "http://a/"), ("ab", "http://a/b/"), ("abc", "http://a/b/c_"), ("zz", "http://a/b/c_"), ("long", "http://a/b/c_none"), ("e", "")], "prefix string, uri string")
+    return N.contracted(rows, "u", spaces).select("key", "prefix", "local")
+
+
+@register("merged_store", "SELECT CAST(user_id AS VARCHAR) AS id, v AS payload FROM (SELECT user_id, arg_max(CASE WHEN event_type = 'error' THEN '-' ELSE printf('{\"value\":%.2f}', value) END, event_id) AS v FROM events GROUP BY user_id) WHERE v <> '-'")
+def merged_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events merged into a store in four turns: the last one of each user holds, an error removes it; a turn done twice changes nothing."""
+    payload = F.when(F.col("event_type") != "error", F.format_string('{"value":%.2f}', "value"))
+    rows = D.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("id"), payload.alias("payload"), F.col("event_id").alias("seq"))
+    most = rows.agg(F.max("seq")).first()[0]
+    path = folder(spark)
+    for turn in (0, 1, 1, 2, 3):
+        keyed_store.merge(rows.where(F.floor(F.col("seq") * 4 / (most + 1)) == turn), path, turn)
+    return keyed_store.current(spark, path)
