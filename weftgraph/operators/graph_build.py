@@ -28,6 +28,15 @@ def validate(tuples: DataFrame) -> DataFrame:
     return tuples.withColumn("problem", problem)
 
 
+def checked(tuples: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The well-formed tuples, and the others with their ``problem``; with ``strict`` the first malformed one fails the job that reads them."""
+    marked = validate(tuples)
+    if strict:
+        message = F.concat_ws(" ", F.lit("malformed"), "problem", F.lit("of a tuple:"), "s", "p", "o")
+        marked = marked.withColumn("problem", F.when(F.col("problem").isNotNull(), F.raise_error(message).cast("string")))
+    return marked.where("problem IS NULL").drop("problem"), marked.where("problem IS NOT NULL")
+
+
 def vertices(triples: DataFrame, valid: tuple[str, ...], positions: tuple[str, ...] = ("s", "o")) -> DataFrame:
     """Distinct valid terms at the given positions: (collection, key)."""
     term = triples.select(F.explode(F.array(*positions)).alias("u")).where("u IS NOT NULL").distinct().select(terms.parse_term(F.col("u"), valid).alias("t"))
@@ -169,10 +178,13 @@ def upsert_vertices(old: DataFrame, new: DataFrame, update: bool = True) -> Data
     return both.where(~gone).select("collection", "key", attrs.alias("attrs"))
 
 
-def upsert_edges(old: DataFrame, new: DataFrame, vertices: DataFrame) -> DataFrame:
-    """The next version of an edge table (collection, key, src, dst, labels): new edges need both ends, known ones are replaced."""
+def upsert_edges(old: DataFrame, new: DataFrame, vertices: DataFrame, update: bool = True) -> DataFrame:
+    """The next version of an edge table (collection, key, src, dst, labels): new edges need both ends, known ones are replaced, or stay if
+    ``update`` is off."""
     key = ["collection", "key"]
     inserted = with_both_ends(new.join(old, key, "left_anti"), vertices)
+    if not update:
+        return old.unionByName(inserted)
     replaced = new.join(old, key, "left_semi")
     return old.join(new, key, "left_anti").unionByName(replaced).unionByName(inserted)
 
@@ -187,3 +199,33 @@ def last_annotations(tuples: DataFrame, annotation: Column) -> DataFrame:
 def pair_edges(edges: DataFrame) -> DataFrame:
     """Edges keyed by their ends alone: of several predicates between two vertices, the smallest key's label stays."""
     return edges.groupBy("src", "dst").agg(F.min("collection").alias("collection"), F.min_by("labels", "key").alias("labels"))
+
+
+def legacy_graph(triples: DataFrame, quadruples: DataFrame, valid: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The older property graph: vertices (collection, key, term, attrs) and edges (collection, key, src, dst, label, attrs).
+
+    Triples (seq, s, p, o) between terms are edges, keyed by their ends alone, with the first one's label; literal ones are
+    attributes of their subject. Quadruples (seq, s, o, attr, value) are attributes of the edge between two terms, and make none
+    themselves. All values of an attribute are kept, each once, in the order in which they came first.
+    """
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("first", "value"))), lambda x: x["value"])
+
+    def values(rows: DataFrame, *keys: str) -> DataFrame:
+        each = rows.groupBy(*keys, "attr", "value").agg(F.min("seq").alias("first")).groupBy(*keys, "attr").agg(listed.alias("values"))
+        return each.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("attr", "values")))).alias("attrs"))
+
+    a, b = terms.valid_term(F.col("s"), valid), terms.valid_term(F.col("o"), valid)
+    fragment = F.regexp_extract("p", r"([^/#]*)$", 1)
+    named = triples.select("seq", a.alias("a"), b.alias("b"), fragment.alias("attr"), "o", terms.node_kind(F.col("o")).alias("kind"))
+    ends = named.select(F.explode(F.array("a", "b")).alias("term")).groupBy("term").count().where("term IS NOT NULL").select("term")
+    said = values(named.where("kind = 'literal' AND a IS NOT NULL AND o IS NOT NULL").select(F.col("a").alias("term"), "attr", F.col("o").alias("value"), "seq"), "term")
+    split = lambda c, k: F.substring_index(c, "_", k)
+    nodes = ends.join(said, "term", "left").select(split("term", 1).alias("collection"), split("term", -1).alias("key"), "term", F.coalesce("attrs", F.create_map().cast("map<string,array<string>>")).alias("attrs"))
+    links = named.where("kind = 'uri'").groupBy("a", "b").agg(F.min_by("attr", F.struct("seq", "attr")).alias("label"), F.count("a").alias("n_a"), F.count("b").alias("n_b")).where("n_a > 0 AND n_b > 0")
+    more = values(quadruples.select("seq", a.alias("a"), b.alias("b"), "attr", "value").where("a IS NOT NULL AND b IS NOT NULL"), "a", "b")
+    found = links.join(more, ["a", "b"], "left")
+    edge = found.select(
+        F.concat_ws("-", split("a", 1), split("b", 1)).alias("collection"), F.concat_ws("-", split("a", -1), split("b", -1)).alias("key"),
+        F.replace("a", F.lit("_"), F.lit("/")).alias("src"), F.replace("b", F.lit("_"), F.lit("/")).alias("dst"), "label", F.coalesce("attrs", F.create_map().cast("map<string,array<string>>")).alias("attrs"),
+    )
+    return nodes, edge

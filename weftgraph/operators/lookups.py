@@ -39,6 +39,14 @@ def mapped_or_same(rows: DataFrame, column: str, table: DataFrame, key: str, val
     return found
 
 
+def flagged(rows: DataFrame, column: str, deprecated: DataFrame, dropped: tuple[str, ...] = ("MONDO",)) -> DataFrame:
+    """Rows with ``deprecated``: whether their term is among deprecated ones (term); those whose id is in ``dropped`` are left out."""
+    gone = deprecated.where("term IS NOT NULL").select(F.col("term").alias(column), F.lit(True).alias("deprecated")).distinct()
+    found = rows.join(gone, column, "left").withColumn("deprecated", F.coalesce("deprecated", F.lit(False)))
+    kind = F.regexp_extract(column, "^([A-Za-z]+)[_:]", 1)
+    return found.where(~(F.col("deprecated") & F.coalesce(kind.isin(*dropped), F.lit(False))))
+
+
 def pending(ids: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """Ids that have no result yet."""
     return ids.select(key).distinct().join(results, key, "left_anti")

@@ -159,6 +159,17 @@ def class_namespaces(classes: DataFrame, namespaces: DataFrame) -> DataFrame:
     return found.join(namespaces, "file").select("file", "namespace", (F.col("namespace") == F.get("namespaces", F.lit(0))).alias("is_root"))
 
 
+def import_report(headers: DataFrame, classes: DataFrame, namespaces: DataFrame) -> DataFrame:
+    """(file, namespace, is_root, imported, classes): the namespaces that a file's classes are in or that it imports - the last part of
+    what it names - and how many classes are in each."""
+    last = F.upper(F.substring_index("namespace", "/", -1))
+    counted = classes.where(F.col("about").contains("_")).groupBy("file", F.substring_index("about", "_", 1).alias("namespace")).agg(F.count("*").alias("classes"))
+    marked = class_namespaces(classes, namespaces).join(counted, ["file", "namespace"]).select("file", last.alias("namespace"), "is_root", "classes")
+    imported = headers.select("file", F.explode("imports").alias("namespace"), F.lit(True).alias("imported")).distinct()
+    both = marked.join(imported, ["file", "namespace"], "full_outer")
+    return both.select("file", "namespace", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("is_root", "imported")], F.coalesce("classes", F.lit(0)).cast("long").alias("classes"))
+
+
 def ontology_triples(classes: DataFrame, namespaces: DataFrame, skip: tuple[str, ...] = ("ro.owl",), test_objects: bool = True) -> DataFrame:
     """Distinct (s, p, o): labels, named parents and flattened restrictions of classes in their file's namespaces."""
     rdfs = terms.RDFS
