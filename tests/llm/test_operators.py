@@ -540,3 +540,12 @@ def test_html_pages_without_an_article():
         notice = f'<div id="cookie-banner"><p>{say(5, 20)}</p><button>OK</button></div>'
         page = f'<html><head><title>{say(2, 6)}</title></head><body>{notice}<ul class="main-menu">{menu}</ul><div class="{rng.choice(["content", "post", "entry text"])}">{"".join(parts)}</div>{side}<footer>{say(3, 12)}</footer></body></html>'
         assert html_text.main_text(page, tree) == "\n".join(wanted)
+
+
+def test_language_sample_is_the_same_without_broadcast(spark, monkeypatch):
+    rows = [(i, f"text {i} of some words", "xyz"[i % 3]) for i in range(90)] + [(4, "text 4 again", "x"), (5, None, "y"), (None, "t", "z"), (6, "t", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = lambda: sorted(tuple(r) for r in language_id.gather(frame, 12).collect())
+    sent = counts()
+    monkeypatch.setattr(language_id, "SENT", 0)
+    assert counts() == sent and sent

@@ -34,6 +34,8 @@ from weftgraph.llm.common import discard, held_out, materialise, share
 ORDER = 3
 #: Training documents of each language at most (about: chosen by a hash).
 SAMPLE = 1500
+#: Languages whose sizes are sent to all executors at most.
+SENT = 10_000
 #: Languages whose trees are in memory together.
 GROUP = 16
 #: Documents whose code takes so many times the bits a byte that training documents of its language take on average are
@@ -62,8 +64,13 @@ def gather(documents: DataFrame, per_language: int = SAMPLE) -> DataFrame:
     The first bytes of a text are counted in windows that start with byte 0.
     """
     usable = documents.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("part"))
-    sample = usable.join(sizes, "lang").where(share(F.col("doc_id"), 31) < F.col("part")).select("lang", "text")
+    sizes = materialise(usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("part")))
+    chosen = share(F.col("doc_id"), 31) < F.col("part")
+    if sizes.count() <= SENT:
+        sample = usable.join(F.broadcast(sizes), "lang").where(chosen).select("lang", "text")
+    else:  # texts don't meet by language: the chosen ones are found without them
+        ids = usable.select("doc_id", "lang").join(sizes, "lang").where(chosen).select("doc_id", "lang").distinct()
+        sample = usable.join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,7 +271,7 @@ def _choices(model: Model, data: np.ndarray, offsets: np.ndarray, letters: np.nd
         first = bits.argmin(1)
         better = lowest < least
         new = np.minimum(least, lowest)
-        old = np.where(np.isfinite(least), np.exp2(-np.minimum(np.where(np.isfinite(least), least, 0) - new, 1000)), 0.0)
+        old = np.where(np.isfinite(least), np.exp2(-np.minimum(np.where(np.isfinite(least), least, new) - new, 1000)), 0.0)
         weight = weight * old + np.exp2(-np.minimum(bits - new[:, None], 1000)).sum(1)
         best = np.where(better, before + first, best)
         rate = np.where(better, trees.rate[first], rate)
