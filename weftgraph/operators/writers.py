@@ -17,6 +17,15 @@ from weftgraph.plans.iterate import step
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 MIN_CLUSTER_SIZE = 10
 VALID_PHASES = ("PHASE_3", "APPROVAL")
+# fixed values: attributes of a cell set from the scores of its cluster, with their columns
+SILHOUETTE = {
+    "silhouette_score": "median",
+    "median_silhouette": "median",
+    "mean_silhouette": "mean",
+    "standard_deviation_of_silhouette": "std",
+    "first_quartile_silhouette": "q1",
+    "third_quartile_silhouette": "q3",
+}
 # fixed values: attributes of the edge from a cell set to its markers, by column
 MARKER_EDGE = {"precision": "Precision", "TN": "TN", "TP": "TP", "FN": "FN", "FP": "FP", "marker_count": "Marker_count"}
 # fixed values: associations and their predicates
@@ -140,7 +149,8 @@ def marker_tuples(clusters: DataFrame) -> DataFrame:
     """Clusters (cluster, size, uuid, f_score, markers array, dataset, uberon) of enough cells to tuples.
 
     Columns that may be absent: binary_genes array (genes of the binary gene set, which are then those expressed, instead of
-    the markers), citation (of the dataset), the columns of ``MARKER_EDGE``; ``about`` (boolean) asks for what datasets are about.
+    the markers), citation (of the dataset), the columns of ``MARKER_EDGE`` and of ``SILHOUETTE``; ``about`` (boolean) asks for what
+    datasets are about.
     """
     big = clusters.where(F.col("size") >= MIN_CLUSTER_SIZE)
     cell_set, combination = term("CS", F.col("cluster"), F.col("uuid")), term("BMC", F.col("uuid"))
@@ -152,6 +162,7 @@ def marker_tuples(clusters: DataFrame) -> DataFrame:
         *association("CellSetMemberOfCellSetDataset", cell_set, dataset, "NSForest"),
     ]
     has = set(clusters.columns)
+    once += annotations(cell_set, {attr: F.col(c) for attr, c in SILHOUETTE.items() if c in has})
     edge = {attr: F.col(c) for c, attr in MARKER_EDGE.items() if c in has}
     if edge:
         marked = predicate("CellSetHasCharacterizingMarkerSetBiomarkerCombination")
@@ -241,7 +252,8 @@ def pipeline(writers: list[DataFrame], path: str, per_file: int = 1_000_000) ->
 def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
     """Targets (gene, protein, diseases array<struct<id,name,score>>, drugs array<struct<id,name,phase,withdrawn,trials array<string>>>) to tuples.
 
-    What may be absent: ``indications`` array<struct<id,name,stage,trials array<string>>> in a drug, and a column
+    What may be absent: ``indications`` array<struct<id,name,stage,trials array<string>>> and ``warnings`` array<string> in a drug -
+    one of these that says Withdrawn leaves the drug out, as does ``withdrawn`` - and a column
     ``pharmacogenetics`` array<struct<rs,consequence,consequence_label,drugs array<struct<id,name>>>>.
     """
     gene = term("GS", F.col("gene"))
@@ -249,6 +261,8 @@ def target_tuples(targets: DataFrame, least_score: float = 0.5) -> DataFrame:
     of_disease = term("MONDO", F.col("d.id"))
     diseases = emit(disease, [*annotations(of_disease, {"Name": F.col("d.name")}), *association("GeneIsGeneticBasisForDisease", gene, of_disease, "Open Targets", {"Score": F.col("d.score")})], "gene")
     drug = targets.withColumn("d", F.explode("drugs")).where(F.col("d.phase").isin(*VALID_PHASES) & ~F.col("d.withdrawn"))
+    if "warnings" in targets.schema["drugs"].dataType.elementType.names:
+        drug = drug.where(~F.coalesce(F.array_contains("d.warnings", "Withdrawn"), F.lit(False)))
     of_drug = term("CHEMBL", F.col("d.id"))
     drugs = emit(drug, [*annotations(of_drug, {"Name": F.col("d.name")}), *association("DrugMolecularlyInteractsWithProtein", of_drug, term("PR", F.col("protein")), "Open Targets")], "gene")
     trial = drug.withColumn("trial", F.explode("d.trials")).where(F.lower("trial").contains("nct"))

@@ -1,4 +1,5 @@
-"""Registered queries of older rules: the property graph of tuples, strict checks, flags, imports, anatomy files, payloads."""
+"""Registered queries of older rules: the property graph of tuples, strict checks, flags, imports, anatomy files, payloads; and of
+attributes that writers take from scores and warnings."""
 
 from __future__ import annotations
 
@@ -149,3 +150,35 @@ def mapped_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     mappings = D.table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("author_cell_set"), F.lit("own").alias("uuid"))
     clusters = nation.where("n_nationkey <> 3").select(F.col("n_name").alias("clusterName"), F.col("n_regionkey").cast("long").alias("clusterSize"), F.concat(F.lit("u"), "n_nationkey").alias("uuid"))
     return S.with_clusters(mappings, clusters).select("c_custkey", "author_cell_set", F.col("clusterSize").alias("size"), "uuid")
+
+
+@register(
+    "silhouette_tuples",
+    f"""WITH v AS (SELECT o_custkey AS k, median(o_totalprice) AS median, avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS std, quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 10)
+    SELECT '{P}CS_' || k || '-u' || k AS s, '{RDF}' || unnest(['silhouette_score', 'median_silhouette', 'mean_silhouette', 'standard_deviation_of_silhouette', 'first_quartile_silhouette', 'third_quartile_silhouette']) AS p, CAST(CAST(floor(unnest([median, median, mean, std, q1, q3]) + 0.0001) AS BIGINT) AS VARCHAR) AS o FROM v""",
+)
+def silhouette_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of clusters joined by the column that names them, as attributes of cell sets; customers stand for clusters, prices for scores."""
+    price = F.col("o_totalprice")
+    score = {"median": F.median(price), "mean": F.avg(price), "std": F.stddev_samp(price), "q1": F.percentile(price, 0.25), "q3": F.percentile(price, 0.75)}
+    orders = D.table(spark, sf_dir, "orders").groupBy(text("o_custkey").alias("name_of_cluster")).agg(F.count("*").alias("size"), *[text(F.floor(c.cast("double") + 0.0001)).alias(k) for k, c in score.items()])
+    key = text("c_custkey")
+    clusters = S.with_scores(D.table(spark, sf_dir, "customer").select(key.alias("clusterName"), F.concat(F.lit("u"), key).alias("uuid")), orders, "name_of_cluster")
+    none = F.lit(None).cast("string")
+    rows = clusters.select(F.col("clusterName").alias("cluster"), "uuid", "size", *score, none.alias("f_score"), F.array().cast("array<string>").alias("markers"), none.alias("dataset"), none.alias("uberon"))
+    return T.marker_tuples(rows).where(F.col("p").contains("ilhouette")).select("s", "p", "o")
+
+
+@register(
+    "warned_drugs",
+    f"""SELECT DISTINCT '{P}CHEMBL_' || p_partkey AS s, '{P}RO_0002436' AS p, '{P}PR_' || p_size AS o FROM part WHERE p_partkey % 3 > 0
+    UNION ALL SELECT '{P}CHEMBL_' || p_partkey, '{RDF}Name', p_name FROM part WHERE p_partkey % 3 > 0""",
+)
+def warned_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drugs without a warning that they were withdrawn; other warnings, and none at all, don't matter."""
+    key = F.col("p_partkey")
+    warnings = F.when(key % 3 == 0, F.array(F.lit("Boxed"), F.lit("Withdrawn"))).when(key % 3 == 1, F.array(F.lit("Boxed")))
+    drug = F.struct(text(key).alias("id"), F.col("p_name").alias("name"), F.lit("APPROVAL").alias("phase"), F.lit(False).alias("withdrawn"), F.array().cast("array<string>").alias("trials"), warnings.alias("warnings"))
+    diseases = F.array().cast("array<struct<id:string,name:string,score:double>>")
+    rows = D.table(spark, sf_dir, "part").select(text(key).alias("gene"), text("p_size").alias("protein"), diseases.alias("diseases"), F.array(drug).alias("drugs"))
+    return T.target_tuples(rows).where("arity = 3").select("s", "p", "o")
