@@ -4,7 +4,8 @@ import pytest
 
 from weftgraph.operators import graph_query as G
 
-VERTICES = "CS/1 CL/1 CL/2 GO/1 GO/2 CHEMBL/1 PR/1 PR/2 CHEBI/1 NCT/1 UBERON/1 UBERON/2".split()
+# fixed values: the vertices and edges of the golden graph
+VERTICES = ["CS/1", "CL/1", "CL/2", "GO/1", "GO/2", "CHEMBL/1", "PR/1", "PR/2", "CHEBI/1", "NCT/1", "UBERON/1", "UBERON/2"]
 EDGES = [
     ("e1", "CS/1", "CL/1", "X"),
     ("e2", "CL/1", "GO/1", "X"),
