@@ -163,7 +163,11 @@ def path_members(edges: DataFrame, start: str, steps: tuple[str, ...]) -> DataFr
 
 
 def longest_chains(edges: DataFrame, starts: DataFrame, most: int = 64) -> DataFrame:
-    """(start, chain): of each start (id), its longest outbound chain of at most ``most`` edges; ties by the smallest ids."""
+    """(start, chain): of each start (id), its longest outbound chain of at most ``most`` edges; ties by the smallest ids.
+
+    Hierarchies are taken to be without cycles: of chains that end in one vertex one goes on, and on a cycle it may be one that another's
+    extension would not have blocked.
+    """
     near = step(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
     frontier = step(starts.select(F.col("id").alias("start"), F.array("id").alias("chain"), F.col("id").alias("at")))
     best = frontier.select("start", "chain")
