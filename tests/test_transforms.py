@@ -40,6 +40,23 @@ def test_json_records(spark):
     assert {(r.field, r.value) for r in transforms.columnar_row(c).collect()} == {("x", "a"), ("y", "q")}
 
 
+def test_companions_in_one_large_folder(spark):
+    """A star in a result's own path is no pattern, a star in a role stays in its folder; a folder isn't joined with itself."""
+    import time
+
+    named = ("d/a*_results.csv", "d/ab_scores.csv", "d/a*_scores.csv", "d/a*_1_summary.csv", "d/a*__summary.csv", "d/a*_summary.csv", "d/a*_1/2_summary.csv")
+    many = spark.range(60_000).select(F.concat(F.lit("d/"), F.col("id") % 30_000, F.when(F.col("id") < 30_000, "_results.csv").otherwise("_x_summary.csv")).alias("path"))
+    files = spark.createDataFrame([(p,) for p in named], "path string").union(many)
+    begun = time.monotonic()
+    found = datasets.companions(files, "_results.csv$", {"scores": ("_results", "_scores"), "summary": ("_results", "_*_summary"), "two": ("_results", "*_*")}).collect()
+    assert time.monotonic() - begun < 60
+    got = {(r.path, r.role): r.companions for r in found}
+    assert got["d/a*_results.csv", "scores"] == ["d/a*_scores.csv"]
+    assert got["d/a*_results.csv", "summary"] == ["d/a*_1_summary.csv", "d/a*__summary.csv"]
+    assert got["d/a*_results.csv", "two"] == ["d/a*_1_summary.csv", "d/a*__summary.csv", "d/a*_results.csv", "d/a*_scores.csv", "d/a*_summary.csv"]
+    assert got["d/7_results.csv", "summary"] == ["d/7_x_summary.csv"] and len(found) == 1 + 30_001 + 30_001
+
+
 def test_datasets(spark):
     files = spark.createDataFrame([(p,) for p in ("r/a/results/k_results.csv", "r/a/results/k_scores_1.csv", "r/a/results/k_scores_2.csv", "r/b/results/k_scores_3.csv")], "path string")
     found = datasets.companions(files, "_results", {"scores": ("_results", "_scores*")}).collect()
