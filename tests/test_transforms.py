@@ -3,7 +3,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from weftgraph.operators import datasets, transforms
+from weftgraph.operators import datasets, lookups, transforms
 
 GENE = """<Entrezgene><Entrezgene_type value="protein-coding"/><Entrezgene_source><BioSource><BioSource_org><Org-ref><Org-ref_taxname>Homo sapiens</Org-ref_taxname></Org-ref></BioSource_org></BioSource></Entrezgene_source>
 <Entrezgene_gene><Gene-ref><Gene-ref_formal-name><Gene-nomenclature><Gene-nomenclature_symbol>ABC1</Gene-nomenclature_symbol><Gene-nomenclature_name>a gene</Gene-nomenclature_name></Gene-nomenclature></Gene-ref_formal-name>
@@ -57,6 +57,12 @@ def test_companions_in_one_large_folder(spark):
     assert got["d/7_results.csv", "summary"] == ["d/7_x_summary.csv"] and len(found) == 1 + 30_001 + 30_001
 
 
+def test_names_of_versions_without_one(spark):
+    lists = spark.createDataFrame([(1, ["ENSG1.4", "ENSG1.2", "x"])], "k int, list array<string>")
+    names = spark.createDataFrame([("ENSG1", "one")], "id string, name string")
+    assert lookups.resolve_names(lists, "k", names, nameless=F.col("item").endswith(".4")).first()["names"] == ["ENSG1.4", "one", "x"]
+
+
 def test_datasets(spark):
     files = spark.createDataFrame([(p,) for p in ("r/a/results/k_results.csv", "r/a/results/k_scores_1.csv", "r/a/results/k_scores_2.csv", "r/b/results/k_scores_3.csv")], "path string")
     found = datasets.companions(files, "_results", {"scores": ("_results", "_scores*")}).collect()

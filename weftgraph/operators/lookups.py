@@ -17,13 +17,17 @@ def all_matches(table: DataFrame, key: str, value: str) -> DataFrame:
     return table.where(f"{key} IS NOT NULL").groupBy(key).agg(F.transform(ordered, lambda x: x[value]).alias("values"))
 
 
-def resolve_names(rows: DataFrame, key: str, names: DataFrame, prefix: str = "ENSG") -> DataFrame:
+def resolve_names(rows: DataFrame, key: str, names: DataFrame, prefix: str = "ENSG", nameless: Column | None = None) -> DataFrame:
     """(key, names): lists of names (key, list) in which ids with the prefix, version cut off, become their first name.
 
-    ``names`` (id, name) has one row an id. Order and repeats stay; ids without a name stay as they are.
+    ``names`` (id, name) has one row an id. Order and repeats stay; ids without a name stay as they are, and so do items
+    for which ``nameless`` (a condition on ``item``) holds, as those of versions that the names don't cover.
     """
     each = rows.select(key, F.posexplode("list").alias("i", "item"))
-    ident = F.when(F.col("item").startswith(prefix), F.substring_index("item", ".", 1))
+    named = F.col("item").startswith(prefix)
+    if nameless is not None:
+        named &= ~F.coalesce(nameless, F.lit(False))
+    ident = F.when(named, F.substring_index("item", ".", 1))
     found = each.withColumn("id", ident).join(names, "id", "left").withColumn("item", F.coalesce("name", "item"))
     ordered = F.array_sort(F.collect_list(F.struct("i", "item")))
     return found.groupBy(key).agg(F.transform(ordered, lambda x: x["item"]).alias("names"))
