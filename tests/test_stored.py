@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from weftgraph.operators import associations as A
 from weftgraph.operators import search_index, sinks, slims
 from weftgraph.operators import writers as T
@@ -117,6 +119,19 @@ def test_slim_keeps_what_it_should(spark, tmp_path):
     assert {r["about"] for r in files.ontology_classes(spark, str(tmp_path / "out" / "file=x.owl")).collect()} == {P + "X_1", P + "X_4"}
 
 
+def test_all_parts_of_a_slim_are_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    classes = "".join(f'<owl:Class rdf:about="{P}X_{i}"><rdfs:label>n{i}</rdfs:label><rdfs:subClassOf><owl:Class rdf:about="{P}N"/></rdfs:subClassOf><owl:someValuesFrom rdf:resource="{P}NCBITaxon_1"/></owl:Class>\n' for i in range(20))
+    (tmp_path / "in" / "x.owl").write_text(f'<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s" xmlns:dc="d"><owl:Ontology rdf:about="{P}x.owl"><dc:title>t</dc:title></owl:Ontology>\n{classes}<owl:ObjectProperty rdf:about="{P}R"><owl:inverseOf><owl:ObjectProperty rdf:about="{P}I"/></owl:inverseOf><rdfs:label>r</rdfs:label></owl:ObjectProperty></rdf:RDF>\n')
+    slims.write_slim(spark, str(tmp_path / "in"), str(tmp_path / "out"), "1", per_file=3)
+    slim = str(tmp_path / "out" / "file=x.owl")
+    found = slims.classes(spark, slim).collect()
+    assert {(r["about"], *r["labels"]) for r in found} == {(f"{P}X_{i}", f"n{i}") for i in range(20)} and len(found) == 20
+    assert [r["title"] for r in slims.headers(spark, slim).collect()] == ["t"]
+    assert [(r["about"], r["label"]) for r in slims.terms(spark, slim, ("owl:ObjectProperty",)).collect()] == [(P + "R", "r")]
+    assert len({r["file"] for r in found}) > 5
+
+
 def test_index_of_words_and_phrases(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(search_index, "BLOCK", 3)
     rng = random.Random(8)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.terms import PURL
 from weftgraph.plans.iterate import step
+from weftgraph.sources import files
 
 OPEN, CLOSE = "<owl:Class", "</owl:Class>"
 #: An opening tag goes on with white space or ends; ``<owl:Classes`` is none.
@@ -74,8 +75,41 @@ def elements(spark: SparkSession, path: str, taxon: str) -> DataFrame:
 
 
 def write_slim(spark: SparkSession, source: str, path: str, taxon: str, per_file: int = 100_000) -> DataFrame:
-    """Writes the slim of each file of ``source`` under ``path/file=NAME``, in parts in order; (file, written, skipped) classes."""
+    """Writes the slim of each file of ``source`` under ``path/file=NAME``, in parts in order; (file, written, skipped) classes.
+
+    Parts one after the other are the document. A part alone has no root around it, so a parser of documents ends after its
+    first class; ``classes``, ``headers`` and ``terms`` read parts.
+    """
     found = step(elements(spark, source, taxon))
     ordered = found.where("kept").repartitionByRange("file", "place").sortWithinPartitions("file", "place")
     ordered.select("file", F.col("xml").alias("value")).write.mode("overwrite").partitionBy("file").option("maxRecordsPerFile", per_file).text(path)
     return found.groupBy("file").agg(F.count_if((F.col("kind") == "class") & F.col("kept")).alias("written"), F.count_if((F.col("kind") == "class") & ~F.col("kept")).alias("skipped"))
+
+
+def classes(spark: SparkSession, path: str) -> DataFrame:
+    """As ``files.ontology_classes``, of the parts of slims."""
+    found = elements(spark, path, "").where("kind = 'class'").select("file", F.col("place").alias("position"), F.from_xml("xml", files.CLASS_SCHEMA).alias("x"))
+    return files.classes_of(found.select("file", "position", "x.*"))
+
+
+def _between(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """Elements of a tag that stand between the classes of the parts of slims, parsed by a schema."""
+    inner = F.regexp_replace("xml", r"<[?!][^>]*>|</?rdf:RDF[^>]*>", "")
+    parsed = F.from_xml(F.concat(F.lit("<all>"), inner, F.lit("</all>")), f"`{tag}` array<struct<{schema}>>")
+    rows = elements(spark, path, "").where("kind = 'other'").where(F.contains("xml", F.lit(f"<{tag}")))
+    return rows.select("file", F.col("place").alias("position"), F.posexplode(parsed[tag]).alias("n", "x")).select("file", F.struct("position", "n").alias("position"), "x.*")
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """As ``files.ontology_headers``, of the parts of slims."""
+    return files.headers_of(_between(spark, path, "owl:Ontology", files.HEADER_SCHEMA))
+
+
+def terms(spark: SparkSession, path: str, tags: tuple[str, ...]) -> DataFrame:
+    """As ``files.ontology_terms``, of the parts of slims, for tags other than classes."""
+    out = None
+    for tag in tags:
+        rows = _between(spark, path, tag, "`_rdf:about` string, `rdfs:label` array<struct<_VALUE:string>>").where("`_rdf:about` <> ''")
+        made = rows.select("file", "position", F.col("`_rdf:about`").alias("about"), F.get("`rdfs:label`", F.lit(0))["_VALUE"].alias("label"))
+        out = made if out is None else out.unionByName(made)
+    return out
