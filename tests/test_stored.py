@@ -76,6 +76,13 @@ def test_ordered_tuples_are_read_in_the_order_they_had(spark, tmp_path):
     assert files.ordered_tuples(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_order_of_more_files_than_three_digits_count(spark, tmp_path):
+    rows = spark.range(1200).select(F.lit(0).alias("file_rank"), F.col("id").alias("seq"), F.col("id").cast("string").alias("s"), *[F.lit(None).cast("string").alias(c) for c in ("p", "o", "attr", "value")])
+    sinks.write_ordered(rows, str(tmp_path / "t"), per_file=1)
+    back = files.ordered_tuples(spark, str(tmp_path / "t")).orderBy("file", "position").collect()
+    assert [int(r["s"]) for r in back] == list(range(1200))
+
+
 def test_writers_in_order_leave_the_last_annotation(spark, tmp_path):
     writer = lambda label: T.part_of_tuples(spark.createDataFrame([("UBERON:1", label, ["UBERON:2"])], "id string, label string, part_of array<string>"))
     made = T.pipeline([writer("first"), writer("second")], str(tmp_path / "t"))
