@@ -76,6 +76,17 @@ def test_ordered_tuples_are_read_in_the_order_they_had(spark, tmp_path):
     assert files.ordered_tuples(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_texts_are_spread_before_tokens_are_made(spark, monkeypatch):
+    from weftgraph.operators import search
+
+    monkeypatch.setattr(search, "CHARACTERS", 100)
+    fields = spark.range(50).select(F.lit("C").alias("collection"), F.col("id").cast("string").alias("key"), F.lit("f").alias("field"), F.lit("red fox ran").alias("text")).coalesce(1)
+    assert search._spread(fields).rdd.getNumPartitions() == 6 and search._spread(fields.limit(0)).rdd.getNumPartitions() == 1
+    for make, tokens in ((search.char_ngrams, 9 + 8 + 1), (search.word_prefixes, 3)):
+        assert make(fields).count() == 50 * tokens
+        assert make(fields)._jdf.queryExecution().executedPlan().toString().count("ENSURE_REQUIREMENTS") == 0
+
+
 def test_order_of_more_files_than_three_digits_count(spark, tmp_path):
     rows = spark.range(1200).select(F.lit(0).alias("file_rank"), F.col("id").alias("seq"), F.col("id").cast("string").alias("s"), *[F.lit(None).cast("string").alias(c) for c in ("p", "o", "attr", "value")])
     sinks.write_ordered(rows, str(tmp_path / "t"), per_file=1)

@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 ACCENTS = ("àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
 
 
+#: Characters of texts that a task makes tokens of, about.
+CHARACTERS = 2_000_000
+
+
+def _spread(fields: DataFrame) -> DataFrame:
+    """Fields by key, in as many partitions as their texts need: tokens are many times a text, which files hold packed.
+
+    What follows groups by key and more, so it needs no other shuffle, and no task gets more texts as the table grows.
+    """
+    size = fields.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    return fields.repartition(-(-size // CHARACTERS) or 1, "key")
+
+
 def char_ngrams(fields: DataFrame, least: int = 3, most: int = 4) -> DataFrame:
     """(collection, key, field, token, freq, first): character n-grams of field texts, and the whole text."""
     text = F.col("text")
@@ -16,7 +29,7 @@ def char_ngrams(fields: DataFrame, least: int = 3, most: int = 4) -> DataFrame:
     none = F.array().cast("array<struct<at:int,token:string>>")
     parts = [F.coalesce(runs(k), none) for k in range(least, most + 1)]
     whole = F.when((n < least) | (n > most), F.array(F.struct(F.lit(0).alias("at"), text.alias("token")))).otherwise(none)
-    return _postings(fields.where("text IS NOT NULL AND text <> ''").withColumn("x", F.explode(F.concat(*parts, whole))))
+    return _postings(_spread(fields.where("text IS NOT NULL AND text <> ''")).withColumn("x", F.explode(F.concat(*parts, whole))))
 
 
 def word_prefixes(fields: DataFrame, least: int = 3, most: int = 12) -> DataFrame:
@@ -25,7 +38,7 @@ def word_prefixes(fields: DataFrame, least: int = 3, most: int = 12) -> DataFram
     Words are counted per field first, so that prefixes are made of distinct words only.
     """
     words = F.split(F.trim(F.regexp_replace(F.translate(F.lower("text"), *ACCENTS), r"[^\p{L}\p{N}]+", " ")), " ")
-    each = fields.where("text IS NOT NULL").select("collection", "key", "field", F.posexplode(words).alias("at", "word")).where("word <> ''")
+    each = _spread(fields.where("text IS NOT NULL")).select("collection", "key", "field", F.posexplode(words).alias("at", "word")).where("word <> ''")
     each = each.groupBy("collection", "key", "field", "word").agg(F.count("*").alias("n"), F.min("at").alias("at"))
     size = F.char_length("word")
     lengths = F.array_distinct(F.concat(F.when(size >= least, F.sequence(F.lit(least), F.least(size, F.lit(most)))).otherwise(F.array().cast("array<int>")), F.array(size)))
