@@ -76,6 +76,16 @@ def test_ordered_tuples_are_read_in_the_order_they_had(spark, tmp_path):
     assert files.ordered_tuples(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_a_batch_of_several_files(spark, tmp_path):
+    rows = [name(0, 1, "A_1"), link(1, 2, "A_1", "B_1"), name(0, 3, "B_1"), link(1, 4, "B_1", "A_9")]
+    for row in rows:
+        spark.createDataFrame([row], stream.TUPLES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"), VALID, None, 2).awaitTermination()
+    assert len(list((tmp_path / "out" / "waiting").glob("batch=*"))) == 2
+    assert [(r["src"], r["dst"]) for r in stream.kept(spark, str(tmp_path / "out"), "edges").collect()] == [("A/1", "B/1")]
+    assert {r["dst"] for r in stream.kept(spark, str(tmp_path / "out"), "waiting").collect()} == {"A/9"}
+
+
 def test_texts_are_spread_before_tokens_are_made(spark, monkeypatch):
     from weftgraph.operators import search
 
