@@ -49,3 +49,41 @@ def test_whole_collections_need_no_join(spark, monkeypatch):
     found = G.induced(edges, ids)
     assert found.count() == len(EDGES)
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+HIERARCHIES = {
+    "tree": {"b": "a", "c": "b", "d": "b", "e": "d"},
+    "ways of several lengths": {"b": "a", "c": "ab", "d": "bc", "e": "xd", "x": "y", "f": "ac", "g": "ay"},
+    "a cycle beside": {"b": "a", "p": "q", "q": "p", "r": "p"},
+}
+
+
+@pytest.mark.parametrize(("name", "most"), (("tree", 64), ("tree", 2), ("ways of several lengths", 64), ("a cycle beside", 64)))
+def test_chains_share_what_is_above(spark, name, most):
+    above = HIERARCHIES[name]
+
+    def longest(v, passed=()):
+        ways = [[v, *longest(w, (*passed, v))] for w in above.get(v, "") if w not in (*passed, v) and len(passed) < most]
+        return min(ways, key=lambda c: (-len(c), c), default=[v])
+
+    edges = spark.createDataFrame([(v, w) for v, ws in above.items() for w in ws], "src string, dst string")
+    vertices = sorted({*above, *"".join(above.values())})
+    found = G.longest_chains(edges, spark.createDataFrame([(v,) for v in [*vertices, vertices[0], "alone"]], "id string"), most)
+    assert sorted((r.start, r.chain) for r in found.collect()) == sorted((v, longest(v)) for v in [*vertices, "alone"])
+
+
+def test_chains_grow_from_the_top(spark, monkeypatch):
+    """No walk from every start, whose rows are as many as starts times heights."""
+    monkeypatch.setattr(G, "_chains_by_walks", lambda *_: pytest.fail("walked from every start"))
+    edges = spark.createDataFrame([(str(k), str(k // 2)) for k in range(1, 64)], "src string, dst string")
+    found = G.longest_chains(edges, spark.createDataFrame([(str(k),) for k in range(64)], "id string"))
+    assert {r.start: len(r.chain) for r in found.collect()} == {str(k): k.bit_length() + 1 for k in range(64)}
+
+
+def test_set_difference_is_one_aggregation(spark):
+    from weftgraph.operators.reports import set_difference
+
+    frame = lambda rows: spark.createDataFrame(rows, "k long, v string")
+    found = set_difference(frame([(1, "a"), (1, "a"), (2, None), (3, "c")]), frame([(2, None), (3, "d"), (1, "a")]))
+    assert sorted(map(str, found.toPandas().values.tolist())) == sorted(map(str, [[1, "a", "both"], [2, None, "both"], [3, "c", "old"], [3, "d", "new"]]))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
