@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftgraph.llm import bpe, html_text, jaccard_join, kernel, language_id, linear, nearest, packing, quality_classifier, quality_rules, secrets, sharding
@@ -549,3 +550,29 @@ def test_language_sample_is_the_same_without_broadcast(spark, monkeypatch):
     sent = counts()
     monkeypatch.setattr(language_id, "SENT", 0)
     assert counts() == sent and sent
+
+
+def test_workers_drop_what_earlier_stages_keep(spark):
+    """A stage without an encoder runs in workers that have one; it leaves neither that nor freed memory behind."""
+    docs = spark.createDataFrame([(i, f"words number {i} of text") for i in range(8)], "doc_id long, text string").repartition(4)
+
+    def seen(batches):
+        for batch in batches:
+            with open("/proc/self/smaps_rollup") as f:
+                mb = sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) // 1024
+            yield pa.RecordBatch.from_arrays([pa.array([",".join(kernel.KEPT)] * batch.num_rows), pa.array([mb] * batch.num_rows)], ["kept", "mb"])
+
+    def wasteful(batches):
+        for batch in batches:
+            held = [np.ones(1000) for _ in range(25_000)]  # 200 MB in small pieces; something small above them stays
+            np.held_by_the_test = np.ones(1000)
+            del held
+            yield batch.select(["doc_id"])
+
+    look = lambda: docs.mapInArrow(seen, "kept string, mb long").collect()
+    bpe.round_trip(docs, vocabulary_path()).collect()
+    assert {r.kept for r in look()} == {"bpe"}
+    quality_rules.passing(docs, quality_rules.Model(np.zeros(linear.DIMENSIONS + 1, np.float32), 1.0, 0.0, False)).collect()
+    assert {r.kept for r in look()} == {""}
+    assert docs.mapInArrow(kernel.frugal(wasteful), "doc_id long").count() == 8
+    assert max(r.mb for r in look()) < 200

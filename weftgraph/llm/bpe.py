@@ -328,16 +328,17 @@ class Encoder:
             at, span = end, size
 
 
-_ENCODERS: dict[str, Encoder] = {}
+#: The name under which workers keep an encoder.
+KEEPS = "bpe"
 
 
 def encoder(spec: str) -> Encoder:
     """The worker's encoder for a vocabulary file's text."""
     key = hashlib.sha256(spec.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(Vocabulary(spec))
-    return _ENCODERS[key]
+    if kernel.KEPT.get(KEEPS, ("", None))[0] != key:
+        kernel.KEPT[KEEPS] = key, Encoder(Vocabulary(spec))
+        kernel.give_back()
+    return kernel.KEPT[KEEPS][1]
 
 
 def decode(pieces: Iterator[bytes]) -> Iterator[str]:
@@ -391,7 +392,7 @@ def round_trip(documents: DataFrame, path: str) -> DataFrame:
                 columns = [batch.column("doc_id").slice(first, last - first), pa.array(np.asarray(counts, np.int64)), *(pa.array(x, pa.string()) for x in digests)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run, KEEPS), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _joined(table: pa.Array, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:

@@ -78,7 +78,7 @@ def digests(documents: DataFrame, width: int = WIDTH) -> DataFrame:
                     sums.append(pa.array((total[ends] - total[ends - n]).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), pa.array(n), *sums], ["doc_id", "n", "d1", "d2"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run), "doc_id long, n long, d1 long, d2 long")
 
 
 def sets_of(documents: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -93,7 +93,7 @@ def sets_of(documents: DataFrame, width: int = WIDTH) -> DataFrame:
                 n = pa.array([len(x) for x in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), n, kernel.text_of(sets), kernel.text_of(sketches), kernel.text_of(folds)], ["doc_id", "n", "shingles", "sketch", "fold"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, shingles array<long>, sketch array<long>, fold array<long>")
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run), "doc_id long, n long, shingles array<long>, sketch array<long>, fold array<long>")
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -192,7 +192,7 @@ def put_forward(documents: DataFrame, hot: Levels, width: int = WIDTH) -> DataFr
                 lane[: len(name)][~common] = 0
                 yield pa.RecordBatch.from_arrays([chunk, pa.array(lane), pa.array(docs), pa.array(n[owner].astype(np.int32))], ["chunk", "lane", "doc", "n"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "chunk long, lane int, doc long, n int")
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run), "chunk long, lane int, doc long, n int")
 
 
 def rarest(sets: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def gather(documents: DataFrame, per_language: int = SAMPLE) -> DataFrame:
                     key, n = np.unique(window_keys(data, offsets), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([tag] * len(key)), pa.array(key.astype(np.int64)), pa.array(n)], ["lang", "key", "n"])
 
-    return sample.mapInArrow(windows, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return sample.mapInArrow(kernel.frugal(windows), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def window_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -304,7 +304,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "bits_per_byte"])
 
     rows = documents.select("doc_id", "text", F.coalesce(F.col("text").rlike(LETTER), F.lit(False)).alias("letters"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(kernel.frugal(run), "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
 def passing(documents: DataFrame, model: Model, least_score: float = 0.5, strange: float = STRANGE) -> DataFrame:
@@ -330,7 +330,7 @@ def passing(documents: DataFrame, model: Model, least_score: float = 0.5, strang
     flag = "letters"
     while flag in columns:
         flag += "_"
-    return documents.withColumn(flag, F.coalesce(F.col("text").rlike(LETTER), F.lit(False))).mapInArrow(run, documents.schema)
+    return documents.withColumn(flag, F.coalesce(F.col("text").rlike(LETTER), F.lit(False))).mapInArrow(kernel.frugal(run), documents.schema)
 
 
 def fit(documents: DataFrame, per_language: int = SAMPLE) -> Model:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe
+from weftgraph.llm import bpe, kernel
 from weftgraph.llm.common import discard, materialise
 
 CAPACITY = 2048
@@ -60,7 +60,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
                 columns = [ident, pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run, bpe.KEEPS), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 #: Bands of lengths end at the capacity divided by these, and at 0.

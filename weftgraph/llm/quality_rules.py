@@ -60,7 +60,7 @@ def _decisions(sample: DataFrame, weights: np.ndarray) -> DataFrame:
                 value = linear.decision(linear.word_char_features(data, offsets), weights.value)
                 yield pa.RecordBatch.from_arrays([pa.array(value), batch.column("label").slice(first, last - first)], ["decision", "label"])
 
-    return sample.select("text", "label").mapInArrow(run, "decision double, label double")
+    return sample.select("text", "label").mapInArrow(kernel.frugal(run), "decision double, label double")
 
 
 def _platt(decision: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -147,7 +147,7 @@ def apply(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
                 columns = [batch.column("doc_id").slice(first, last - first), *map(pa.array, counts.values()), pa.array(failed), pa.array(kept), pa.array(p)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *counts, "base_failed", "kept", "probability"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return documents.select("doc_id", "text").mapInArrow(kernel.frugal(run), SCHEMA)
 
 
 def passing(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -159,7 +159,7 @@ def passing(documents: DataFrame, model: Model, threshold: float = THRESHOLD) ->
             for first, last, data, offsets in kernel.blocks(batch.column("text")):
                 yield batch.slice(first, last - first).filter(pa.array(_verdicts(shared.value, data, offsets, threshold)[2]))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(kernel.frugal(run), documents.schema)
 
 
 def judge(documents: DataFrame, labels: DataFrame) -> DataFrame:
