@@ -230,12 +230,22 @@ def in_order(*writers: DataFrame) -> DataFrame:
     return first
 
 
-def deduplicated(tuples: DataFrame) -> DataFrame:
-    """Tuples without repeats: relations and their attributes once, of a subject's annotations (s, p) the last (file_rank, seq)."""
+#: Tuples of which one task removes repeats, about; tasks at most, as Spark deals rows to so many without holding them in memory.
+TUPLES_OF_TASK, MOST_TASKS = 100_000, 200
+
+
+def deduplicated(tuples: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Tuples without repeats: relations and their attributes once, of a subject's annotations (s, p) the last (file_rank, seq).
+
+    With ``tasks``, tuples are dealt to so many before repeats are looked for: else a task sorts all that its file makes.
+    """
     order = F.struct("file_rank", "seq", "o", "value")
     annotation = F.col("p").startswith(RDF) & (F.col("arity") == 3)
     key = F.when(annotation, F.lit("")).otherwise(F.concat_ws("\u0001", "o", "attr", F.coalesce("value", F.lit(""))))
-    last = tuples.withColumn("_key", key).groupBy("arity", "s", "p", "_key").agg(F.max_by(F.struct("file_rank", "seq", "o", "attr", "value"), order).alias("x"))
+    keyed = tuples.withColumn("_key", key)
+    if tasks is not None:
+        keyed = keyed.repartition(tasks, "s", "p", "_key")
+    last = keyed.groupBy("arity", "s", "p", "_key").agg(F.max_by(F.struct("file_rank", "seq", "o", "attr", "value"), order).alias("x"))
     return last.select("x.file_rank", "x.seq", "arity", "s", "p", "x.o", "x.attr", "x.value")
 
 
@@ -244,7 +254,8 @@ def pipeline(writers: list[DataFrame], path: str, per_file: int = 1_000_000) ->
 
     Returns the tuples as they were written: (file_rank, seq, arity, s, p, o, attr, value).
     """
-    made = step(deduplicated(in_order(*writers)))
+    tuples = in_order(*writers)
+    made = step(deduplicated(tuples, min(tuples.count() // TUPLES_OF_TASK + 1, MOST_TASKS)))
     write_ordered(made, path, per_file)
     return made
 
