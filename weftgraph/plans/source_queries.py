@@ -9,12 +9,15 @@ from weftgraph.functions import terms
 from weftgraph.operators import datasets as S
 from weftgraph.operators import graph_query as G
 from weftgraph.operators import writers as T
+from weftgraph.plans.iterate import step
 from weftgraph.plans.graph_queries import LINKS, PART_OF, edges, flat, graph, vertices
 from weftgraph.plans.registry import register
 from weftgraph.sources import derived as D
 from weftgraph.sources import files
 
 P, RDF = T.PURL, T.RDF
+#: Classes that one task parses, about: they are far slower to parse than to read.
+CLASSES_OF_TASK = 5_000
 
 
 @register(
@@ -31,7 +34,10 @@ def xml_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(f'<owl:Class rdf:about="{P}PART_'), "p_partkey", F.lit('"><rdfs:label>'), "p_name", F.lit("</rdfs:label><rdfs:subClassOf "), resource(F.floor(F.col("p_partkey") / 2)),
         F.lit(f'<rdfs:subClassOf><owl:Restriction><owl:onProperty rdf:resource="{P}RO_0002202"/>'), filler, F.lit("</owl:Restriction></rdfs:subClassOf></owl:Class>"),
     )
-    read = D.table(spark, sf_dir, "part").select(F.from_xml(snippet, files.CLASS_SCHEMA, {"rowTag": "owl:Class"}).alias("x")).select("x.*")
+    part = D.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    part = part.repartition(part.count() // CLASSES_OF_TASK + 1, "p_partkey")
+    # written, as filters on what is parsed would parse it again
+    read = step(part.select(F.from_xml(snippet, files.CLASS_SCHEMA, {"rowTag": "owl:Class"}).alias("x"))).select("x.*")
     classes = files.classes_of(read.withColumns({"file": F.lit("part.owl"), "position": F.lit(0)}))
     spaces = spark.createDataFrame([("part.owl", [P + "PART"])], "file string, namespaces array<string>")
     return files.ontology_triples(classes, spaces)
