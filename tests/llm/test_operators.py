@@ -12,6 +12,7 @@ import pytest
 
 from weftgraph.llm import bpe, html_text, jaccard_join, kernel, language_id, linear, nearest, packing, quality_classifier, quality_rules, secrets, sharding
 from weftgraph.llm.entry import vocabulary_path
+from weftgraph.plans.iterate import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string"
@@ -576,3 +577,32 @@ def test_workers_drop_what_earlier_stages_keep(spark):
     assert {r.kept for r in look()} == {""}
     assert docs.mapInArrow(kernel.frugal(wasteful), "doc_id long").count() == 8
     assert max(r.mb for r in look()) < 200
+
+
+def test_labels_of_earlier_links_are_not_made_anew(spark):
+    """New links are joined to labels that stand: the same components as of all links, in fewer jobs."""
+    make = lambda links: spark.createDataFrame(links, "a long, b long")
+    chain, new = [(i, i + 1) for i in range(200)], [(500, 150), (500, 501), (700, 701), (700, 702)]
+    known = components(make(chain))
+    seen, jobs = {}, {}
+    for name, arguments in {"anew": (make(chain + new),), "joined": (make(new), known)}.items():
+        spark.sparkContext.setJobGroup(name, name)
+        seen[name] = {(r.v, r.c) for r in components(*arguments).collect()}
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("", "")
+    assert seen["joined"] == seen["anew"] == {(v, 0) for v in [*range(201), 500, 501]} | {(v, 700) for v in (700, 701, 702)}
+    assert 0 < jobs["joined"] < jobs["anew"]
+
+
+def test_jaccard_join_takes_few_jobs(spark):
+    """A chain of near copies beside pairs: rows are counted as they are written, and labels stand from turn to turn."""
+    chain = [" ".join(f"w{i}" for i in range(5 * k, 5 * k + 80)) for k in range(30)]
+    pairs = [f"{' '.join(f'p{k}x{i}' for i in range(60))} {end}" for k in range(10) for end in ("one", "two")]
+    texts = chain + pairs
+    docs = documents(spark, texts)
+    spark.sparkContext.setJobGroup("join", "join")
+    found = jaccard_join.join(docs).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("join"))
+    spark.sparkContext.setJobGroup("", "")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(list(enumerate(texts)))
+    assert 0 < jobs < 165, jobs

@@ -55,6 +55,11 @@ TURNS, TURN_GAIN = 8, 20
 SENT = 2_000_000
 
 
+def _counted(frame: DataFrame) -> DataFrame:
+    """A step that knows its number of rows: ``measured["rows"]``."""
+    return materialise(frame, rows=F.count(F.lit(1)))
+
+
 def most_differences(smaller: np.ndarray, larger: np.ndarray) -> np.ndarray:
     return (smaller + larger) // 7
 
@@ -210,9 +215,13 @@ def rarest(sets: DataFrame) -> DataFrame:
     return each.where(F.col("nth") <= F.col("most") - F.ceil(F.col("n") * 3 / 4) + 1).select("chunk", "doc", F.col("n").cast("int"), F.col("most").cast("int"))
 
 
-def _only(documents: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents with (left_semi) or without (left_anti) these ids (doc_id); few ids are sent, more joined by a shuffle."""
-    return documents.join(F.broadcast(ids) if ids.count() <= SENT else ids, "doc_id", how)
+def _only(documents: DataFrame, ids: DataFrame, how: str, most: int | None = None) -> DataFrame:
+    """Documents with (left_semi) or without (left_anti) these ids (doc_id); few ids are sent, more joined by a shuffle.
+
+    They are counted only if ``most``, which they don't exceed, leaves that open.
+    """
+    few = (most is not None and most <= SENT) or ids.count() <= SENT
+    return documents.join(F.broadcast(ids) if few else ids, "doc_id", how)
 
 
 def _differing(a: str, b: str) -> Column:
@@ -228,16 +237,15 @@ def _beside(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, documents: DataFrame, width: int, sets: DataFrame | None = None) -> DataFrame:
-    """The links among candidate pairs (a, b), by sketches and then by sets; ``sets`` may have all of these already."""
+    """The links among counted candidate pairs (a, b), by sketches and then by sets; ``sets`` may have all of these already."""
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    pairs = materialise(pairs)
-    sketches = sets if sets is not None else materialise(sets_of(_only(documents, ends(pairs), "left_semi"), width).select("doc_id", "n", "sketch"))
+    sketches = sets if sets is not None else materialise(sets_of(_only(documents, ends(pairs), "left_semi", 2 * pairs.measured["rows"]), width).select("doc_id", "n", "sketch"))
     near = _beside(pairs, sketches, "n", "sketch").where(7 * _differing("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b"))
-    near = materialise(near.select("a", "b"))
-    sets = sets if sets is not None else materialise(sets_of(_only(documents, ends(near), "left_semi"), width).select("doc_id", "n", "shingles"))
+    near = _counted(near.select("a", "b"))
+    sets = sets if sets is not None else materialise(sets_of(_only(documents, ends(near), "left_semi", 2 * near.measured["rows"]), width).select("doc_id", "n", "shingles"))
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     both = _beside(near, sets, "n", "shingles")
-    return materialise(both.where(100 * common >= 75 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct())
+    return _counted(both.where(100 * common >= 75 * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct())
 
 
 def _spare(n: Column) -> Column:
@@ -260,35 +268,39 @@ def _small_pairs(buckets: DataFrame, many: DataFrame) -> DataFrame:
     return met.where("common >= need").select("a", "b").union(weak.select("a", "b"))
 
 
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose documents the links found so far do not connect."""
-    labels = components(found)
+def _joined(new: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Labels (v, c) with the counted new links too."""
+    return components(new, labels) if labels is None or new.measured["rows"] else labels
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents the labels (v, c) of the links found so far do not connect."""
     for side in ("a", "b"):
         pairs = pairs.join(labels.select(F.col("v").alias(side), F.col("c").alias(f"c_{side}")), side, "left")
     return pairs.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
-def _connecting(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """Links among candidate pairs (a, b) that connect what all of them connect.
+def _connecting(pairs: DataFrame, documents: DataFrame, width: int, labels: DataFrame | None = None) -> DataFrame:
+    """Labels (v, c) of what links among candidate pairs (a, b), and those of ``labels``, connect.
 
     In each of some turns every document meets one partner, another one each turn, and only pairs of documents that are
     not connected yet go on; so links, and nearly all verified pairs, grow with documents, not with pairs. What is left
     in the end is verified in full.
     """
-    left, found = materialise(pairs), None
+    left = _counted(pairs if labels is None else _across(pairs, labels))
     for turn in range(TURNS // 2):
         order = F.col("a") if turn == 0 else F.xxhash64("a", F.lit(turn))
-        one = materialise(left.groupBy("b").agg(F.min(F.struct(order.alias("h"), "a")).alias("x")).select("x.a", "b"))
+        one = _counted(left.groupBy("b").agg(F.min(F.struct(order.alias("h"), "a")).alias("x")).select("x.a", "b"))
         new = _verified(one, documents, width)
-        found = new if found is None else materialise(found.union(new))
-        rest = materialise(_across(left.join(one, ["a", "b"], "left_anti"), found))
+        labels = _joined(new, labels)
+        rest = _counted(_across(left.join(one, ["a", "b"], "left_anti"), labels))
         discard(left)
         left = rest
-        if left.isEmpty():
-            return found
-        if TURN_GAIN * new.count() < one.count():
+        if not left.measured["rows"]:
+            return labels
+        if TURN_GAIN * new.measured["rows"] < one.measured["rows"]:
             break
-    return materialise(found.union(_verified(left, documents, width)))
+    return _joined(_verified(left, documents, width), labels)
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -308,11 +320,11 @@ def _rest_pairs(rest: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     return few.join(all_, "h").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _open(member: DataFrame, found: DataFrame) -> DataFrame:
+def _open(member: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component now, of buckets that have more than one."""
-    now = materialise(member.drop("c").join(components(found).withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc")))
+    now = materialise(member.drop("c").join(labels.withColumnRenamed("v", "doc"), "doc", "left").withColumn("c", F.coalesce("c", "doc")))
     several = now.groupBy("chunk").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    return materialise(now.join(several.select("chunk"), "chunk", "left_semi"))
+    return _counted(now.join(several.select("chunk"), "chunk", "left_semi"))
 
 
 def _star(member: DataFrame, turn: int) -> DataFrame:
@@ -324,37 +336,39 @@ def _star(member: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("doc", "x.to").alias("a"), F.greatest("doc", "x.to").alias("b")).distinct()
 
 
-def _large_links(large: DataFrame, found: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """``found`` and links of documents (doc_id) of large buckets, dealt anew by their rarest shingles.
+def _large_links(large: DataFrame, labels: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """``labels`` with the links of counted documents (doc_id) of large buckets too, dealt anew by their rarest shingles.
 
     In each of up to ``TURNS`` turns every bucket chooses a document, every document of another component meets one of
     these, and components are contracted; that leaves few components in large groups of near copies. Then members
     that are not in their bucket's largest component meet all members of other components, so no link is missed.
     """
-    sets = materialise(sets_of(_only(documents, large, "left_semi"), width))
-    if sets.count() > large.count():  # a doc_id with several texts has several sets
+    many = large.measured["rows"]
+    sets = _counted(sets_of(_only(documents, large, "left_semi", many), width))
+    if sets.measured["rows"] > many:  # a doc_id with several texts has several sets
         sets = materialise(sets.dropDuplicates(["doc_id", "shingles"]))
     member = materialise(rarest(sets))
     for turn in range(TURNS):
-        member = _open(member, found)
-        if member.isEmpty():
-            return found
-        pairs = materialise(_star(member, turn))
+        member = _open(member, labels)
+        if not member.measured["rows"]:
+            return labels
+        pairs = _counted(_star(member, turn))
         new = _verified(pairs, documents, width, sets)
-        found = materialise(found.union(new))
-        if TURN_GAIN * new.count() < pairs.count():
+        labels = _joined(new, labels)
+        if TURN_GAIN * new.measured["rows"] < pairs.measured["rows"]:
             break
-    member = _open(member, found)
-    if member.isEmpty():
-        return found
+    member = _open(member, labels)
+    if not member.measured["rows"]:
+        return labels
     # members bring their sketches, so that only close pairs leave the join
     largest = member.groupBy("chunk", "c").count().groupBy("chunk").agg(F.max_by("c", F.struct("count", "c")).alias("main"))
     sketched = materialise(member.join(largest, "chunk").join(sets.select(F.col("doc_id").alias("doc"), "sketch", "fold"), "doc"))
-    return materialise(found.union(_verified(_pairs(sketched.where("c <> main"), sketched), documents, width, sets)))
+    pairs = _counted(_pairs(sketched.where("c <> main"), sketched))
+    return _joined(_verified(pairs, documents, width, sets), labels)
 
 
-def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
-    """Links (a, b) of documents with different sets that connect all that are connected."""
+def connected(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
+    """(v, c) of documents with links to different sets: the smallest doc_id that is reachable."""
     member = put_forward(documents, frequent(documents, rows, width), width)
     size = F.count("*").over(Window.partitionBy("chunk", "lane"))
     # one row for each small bucket, one for each member of a large one, in the same partitions; lanes make a bucket large
@@ -366,28 +380,28 @@ def links(documents: DataFrame, rows: int, width: int = WIDTH) -> DataFrame:
     # buckets of one document tell nothing
     shared = large.groupBy("chunk").agg(F.count("*").alias("m")).where("m > 1").select("chunk")
     many = materialise(large.join(shared, "chunk", "left_semi").groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("many")))
-    found = _connecting(_small_pairs(buckets.where("alone IS NULL"), many), documents, width)
+    labels = _connecting(_small_pairs(buckets.where("alone IS NULL"), many), documents, width)
     rest = buckets.where("chunk IS NULL").select(F.col("alone").alias("doc_id"))
     if not rest.isEmpty():
-        found = materialise(found.union(_connecting(_rest_pairs(rest, documents, width), documents, width)))
+        labels = _connecting(_rest_pairs(rest, documents, width), documents, width, labels)
     # a partner of a larger set puts forward at least three quarters as many chunks to spare as this one
     enough = F.when(F.col("n") > PLAIN * 4 // 3, F.floor(F.col("n") * 3 / 4 / SPARE)).otherwise(1)
-    large = materialise(many.where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")))
-    if not large.isEmpty():
-        found = _large_links(large, found, documents, width)
+    large = _counted(many.where(F.col("many") >= enough).select(F.col("doc").alias("doc_id")))
+    if large.measured["rows"]:
+        labels = _large_links(large, labels, documents, width)
     discard(buckets)
-    return found
+    return labels
 
 
 def join(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document (doc_id, text)."""
     made = materialise(digests(documents, width))
     usable = made.where("n > 0 AND doc_id IS NOT NULL")
-    classes = materialise(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("doc")))
+    classes = _counted(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("doc")))
     copies = usable.join(classes.select("doc"), F.col("doc_id") == F.col("doc"), "left_anti").select("doc_id").distinct()
     documents = documents.select("doc_id", "text").where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    found = links(_only(documents, copies, "left_anti"), classes.count(), width)
-    classes = classes.join(components(found).withColumnRenamed("v", "doc"), "doc", "left")
+    labels = connected(_only(documents, copies, "left_anti"), classes.measured["rows"], width)
+    classes = classes.join(labels.withColumnRenamed("v", "doc"), "doc", "left")
     classes = classes.select("n", "d1", "d2", F.coalesce("c", "doc").alias("component_id"))
     linked = made.join(classes, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
