@@ -86,6 +86,35 @@ def test_a_batch_of_several_files(spark, tmp_path):
     assert {r["dst"] for r in stream.kept(spark, str(tmp_path / "out"), "waiting").collect()} == {"A/9"}
 
 
+def test_settled_edges_are_written_once(spark, tmp_path):
+    names = [name(0, i, f"A_{i}") for i in range(20)]
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    for k in range(3):  # all ends are known, so that each batch settles its links, one of them again
+        rows = [link(1, 100 * k + i, f"A_{i}", f"A_{(i + k) % 20}", f"p{k}") for i in range(20)] + [link(1, 50, "A_0", "A_0", "p0")]
+        stream.fold(spark.createDataFrame(names + rows, stream.TUPLES), str(tmp_path), k, VALID)
+        stored = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "edges")).count()
+        assert stored == 21 * (k + 1)
+    assert stream.kept(spark, str(tmp_path), "edges").count() == 60
+    assert {p.name for p in (tmp_path / "edges").glob("batch=*/state=*")} == {"state=settled"}
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == before
+
+
+def test_folders_of_settled_edges_become_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "FOLDERS", 2)
+    one = P + "RO_1"
+    for k in range(5):
+        rows = [name(0, 1, "A_1"), name(0, 2, "B_1"), name(0, 3, f"A_{k}"), link(k, 5, f"A_{k}", "B_1"), (9 if k == 3 else k, 6, P + "A_1", one, P + "B_1")]
+        labels = spark.createDataFrame([("RO_1", f"label {k}")], "term string, label string")
+        for _ in range(1 + (k == 2)):  # and twice, as after a failure
+            stream.fold(spark.createDataFrame(rows, stream.TUPLES), str(tmp_path), k, VALID, labels)
+        found = sorted((r["src"], r["key"], r["label"]) for r in stream.kept(spark, str(tmp_path), "edges").collect())
+        assert found == sorted([(f"A/{i}", f"{i}-p:x-1", "X") for i in range(k + 1)] + [("A/1", "1-RO:1-1", f"LABEL_{3 if k > 2 else k}")])
+        assert len(stream._settled(spark, str(tmp_path))) <= 2
+    # what batches before the last one have replaced is gone
+    assert [p.parent.name for p in sorted((tmp_path / "edges").glob("batch=*/state=*"))] == ["batch=2", "batch=3", "batch=4"]
+    assert "batch=0" not in {p.parent.name for p in (tmp_path / "vertices").glob("batch=*/bucket=*") if p.name == f"bucket={stream._buckets(spark.createDataFrame([('A/1',)], 'id string'), 'id').pop()}"}
+
+
 def test_texts_are_spread_before_tokens_are_made(spark, monkeypatch):
     from weftgraph.operators import search
 
