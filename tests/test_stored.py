@@ -284,6 +284,45 @@ def test_members_of_patterns_are_those_of_their_paths(spark):
         raise AssertionError(bad)
 
 
+def test_edges_of_patterns_are_stored_once(spark):
+    from pathlib import Path
+
+    from weftgraph.operators import patterns
+
+    rows = [(f"{x}-{y}", f"{i}-p-{j}", f"{x}/{i}", f"{y}/{j}", ["P"]) for x, y in ("AB", "CB", "XA") for i in range(6) for j in range(6)]
+    edges = spark.createDataFrame(rows, "collection string, key string, src string, dst string, labels array<string>")
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    made = patterns.pattern_members(edges, patterns.parsed("A B\nA B C\nC B A"), repeated=False)
+    count = lambda path: spark.read.parquet(str(path)).count()
+    # of edges those of the patterns; of vertices those of A and C with an edge to B, and those of B by either neighbour
+    assert sum(count(path) for path in set(folder.iterdir()) - before) == 2 * 36 + 4 * 6
+    assert made.count() == 36 + 12 + 2 * (72 + 18)
+
+
+def test_members_with_many_vertices_left_out(spark, monkeypatch):
+    from weftgraph.operators import patterns
+
+    rng = random.Random(6)
+    pick = lambda c: f"{c}/{rng.randrange(9)}"
+    pairs = sorted({(pick(a), pick(b)) for a, b in ("AB", "BC", "CD", "DB", "AB", "BC", "CD") for _ in range(4)})
+    rows = [(f"{a[0]}-{b[0]}", f"{a[2:]}-p-{b[2:]}", a, b, ["P"]) for a, b in pairs]
+    near = [(f"{c}/{k}", a, b) for c, k, a, b, _ in rows]
+    near += [(e, b, a) for e, a, b in near]
+    text, wanted = "A B C D\nD C B\nB D C\nA B D", []
+    for steps, _ in patterns.parsed(text):
+        paths = [((a,), ()) for a in {a for _, a, _ in near if a[0] == steps[0]}]
+        for c in steps[1:]:
+            paths = [((*v, b), (*es, e)) for v, es in paths for e, a, b in near if a == v[-1] and b[0] == c]
+        wanted += [(" ".join(steps), kind, x) for kind, of in (("vertex", 0), ("edge", 1)) for x in {x for path in paths for x in path[of]}]
+    assert 20 < len(wanted) < 4 * len(rows)
+    schema = "collection string, key string, src string, dst string, labels array<string>"
+    for sent, more in ((0, rows[:9]), (2, [])):  # by shuffles, or by what is left out or stays where that is little
+        monkeypatch.setattr(patterns, "SENT", sent)
+        found = patterns.pattern_members(spark.createDataFrame(rows + more, schema), patterns.parsed(text), bool(more))
+        assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+
+
 def test_blank_node_sets(spark):
     from weftgraph.operators import reports
 

@@ -5,18 +5,25 @@ above the last vertex belong to it (of each last vertex the longest one). Vertic
 that share it - and then back from the end of each pattern, so what is left lies on a whole path; joins meet vertices with
 their edges, and their rows are vertices and edges, never paths. A path can't repeat an edge, as its collections differ.
 
+Edges are written once, as they lie, and by collections of their ends; of the steps only vertices are kept. As an edge is on
+a path if a prefix reaches one end and the other leads on, edges of a pattern are read from that table as the result is,
+without the few vertices that its filters take out: mostly these leave none, and the edges aren't moved at all.
+
 Defined cases: edges count in either direction; patterns that repeat a collection are refused, as are empty ones; patterns
 without a path have no members; a vertex without anything above it has no chain; parallel edges are all members.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions import terms
-from weftgraph.operators.graph_query import hierarchy_edges, longest_chains
-from weftgraph.plans.iterate import discard, step
+from weftgraph.operators.graph_query import SENT, longest_chains
+from weftgraph.plans.iterate import discard, sparing, step
 
 # fixed values: the patterns around cell sets, and after a plus the label of the hierarchy above the last collection
 PHENOTYPE = """
@@ -83,49 +90,110 @@ def parsed(text: str) -> list[Pattern]:
     return out
 
 
-def pattern_members(edges: DataFrame, patterns: list[Pattern]) -> DataFrame:
-    """(pattern, kind, id): the vertices and edges on paths of each pattern, and the vertices of the longest chains above their ends."""
+class Ids(NamedTuple):
+    """Distinct vertices (id), how many there are, and a name that no others have."""
+
+    name: object
+    rows: DataFrame
+    n: int
+
+
+def _counted(name: object, rows: DataFrame) -> Ids:
+    stored = step(rows, n=F.count(F.lit(1)))
+    return Ids(name, stored, stored.measured["n"])
+
+
+def _only(rows: DataFrame, end: str, ids: Ids | None, rest: Ids | None) -> DataFrame:
+    """Rows whose end is among the ids; ``rest`` are those of their ends that aren't, None if there are none."""
+    if rest is None:
+        return rows
+    if rest.n <= SENT:
+        return rows.join(F.broadcast(rest.rows), rows[end] == rest.rows["id"], "left_anti")
+    return rows.join(F.broadcast(ids.rows) if ids.n <= SENT else ids.rows.hint("shuffle_hash"), rows[end] == ids.rows["id"], "left_semi")
+
+
+def pattern_members(edges: DataFrame, patterns: list[Pattern], repeated: bool = True) -> DataFrame:
+    """(pattern, kind, id): the vertices and edges on paths of each pattern, and the vertices of the longest chains above their ends.
+
+    ``repeated``: whether an edge may have several rows; without it, they aren't looked for.
+    """
     for steps, _ in patterns:
         if len(steps) < 2 or len(set(steps)) < len(steps):
             raise ValueError(f"a pattern has two different collections at least: {' '.join(steps)}")
-    edges = step(edges)
-    one = edges.select(F.concat_ws("/", "collection", "key").alias("e"), F.col("src").alias("a"), F.col("dst").alias("b"))
-    both = one.union(one.select("e", F.col("b").alias("a"), F.col("a").alias("b")))
-    wanted = {pair for steps, _ in patterns for pair in zip(steps, steps[1:])}
-    both = both.withColumn("hop", F.concat_ws(" ", terms.collection_of(F.col("a")), terms.collection_of(F.col("b"))))
-    hops = step(both.where(F.col("hop").isin(*{" ".join(x) for pair in wanted for x in (pair, pair[::-1])})).select("hop", "e", "a", "b").distinct())
-    hop = lambda a, b: hops.where(F.col("hop") == f"{a} {b}").select("e", "a", "b")
+    with sparing(edges.sparkSession):
+        return _members(edges, patterns, repeated)
+
+
+def _members(edges: DataFrame, patterns: list[Pattern], repeated: bool) -> DataFrame:
+    ways = sorted({" ".join(way) for steps, _ in patterns for x in zip(steps, steps[1:]) for way in (x, x[::-1])})
+    walks = sorted({f"{steps[-1]}-{steps[-1]} {label}" for steps, label in patterns if label})
+    hop = F.concat(terms.collection_of(F.col("src")), F.lit(" "), terms.collection_of(F.col("dst")))
+    walk = F.when(F.size("labels") == 1, F.concat("collection", F.lit(" "), F.get("labels", F.lit(0))))
+    found = edges.select(F.concat_ws("/", "collection", "key").alias("e"), F.col("src").alias("a"), F.col("dst").alias("b"), F.when(walk.isin(*walks), walk).alias("walk"), F.when(hop.isin(*ways), hop).alias("hop"))
+    stored = step(found.where("hop IS NOT NULL OR walk IS NOT NULL"), "hop")
+    back = F.concat(F.substring_index("hop", " ", -1), F.lit(" "), F.substring_index("hop", " ", 1))
+    both = F.array(F.struct(F.col("a").alias("id"), F.col("hop").alias("way")), F.struct(F.col("b").alias("id"), back.alias("way")))
+    ends = step(stored.where("hop IS NOT NULL").select(F.explode(both).alias("x")).select("x.id", "x.way").distinct(), "way")
+    counts = {r["way"]: r["count"] for r in ends.groupBy("way").count().collect()}  # a row for each two neighbours in a pattern
+
+    def at(x: str, y: str) -> Ids:
+        """The vertices of a collection with an edge to another."""
+        return Ids(f"{x} {y}", ends.where(F.col("way") == f"{x} {y}").select("id"), counts.get(f"{x} {y}", 0))
+
+    def near(x: str, y: str) -> DataFrame:
+        there = F.col("hop") == f"{x} {y}"
+        end = lambda c, d: F.when(there, F.col(c)).otherwise(F.col(d)).alias(c)
+        return stored.where(F.col("hop").isin(f"{x} {y}", f"{y} {x}")).select("e", end("a", "b"), end("b", "a"))
+
+    beyond: dict[tuple[object, object], Ids | None] = {}
+
+    def outside(x: str, y: str, ids: Ids | None) -> Ids | None:
+        """Of the vertices of a collection with an edge to another those that aren't among the ids; None if all are."""
+        all_ = at(x, y)
+        if ids is None or ids.name == all_.name:
+            return None
+        key = (all_.name, ids.name)
+        if key not in beyond:
+            rest = _counted(key, all_.rows.join(F.broadcast(ids.rows) if ids.n <= SENT else ids.rows.hint("shuffle_hash"), "id", "left_anti"))
+            if not rest.n:
+                discard(rest.rows)
+            beyond[key] = rest if rest.n else None
+        return beyond[key]
+
     # forwards: of each prefix, the vertices that it reaches
-    reached: dict[tuple[str, ...], DataFrame] = {}
+    reached: dict[tuple[str, ...], Ids] = {}
     for steps, _ in patterns:
         for n in range(2, len(steps) + 1):
             if steps[:n] not in reached:
-                found = hop(steps[n - 2], steps[n - 1])
-                if n > 2:
-                    found = found.join(reached[steps[: n - 1]].withColumnRenamed("id", "a"), "a", "left_semi")
-                reached[steps[:n]] = step(found.select(F.col("b").alias("id")).distinct())
+                (x, y), before = steps[n - 2 : n], reached.get(steps[: n - 1])
+                rest = outside(x, y, before)
+                reached[steps[:n]] = at(y, x) if rest is None else _counted(steps[:n], _only(near(x, y), "a", before, rest).select(F.col("b").alias("id")).distinct())
     # and back: of each end (what follows a prefix), the vertices of the prefix's last collection that go on to it
-    out, made = None, []
+    out: list[DataFrame] = []
+    crossed: dict[tuple[object, ...], tuple[DataFrame, list[str]]] = {}  # edges between two collections, and the patterns that have them all
     for steps, label in patterns:
         name = " ".join(steps) + (f" + {label}" if label else "")
-        ends = last = reached[steps]
-        found = ends.select(F.lit("vertex").alias("kind"), "id")
+        last, members = reached[steps], [reached[steps].rows]
         for n in range(len(steps) - 1, 0, -1):
-            back = hop(steps[n], steps[n - 1]).join(last.withColumnRenamed("id", "a"), "a", "left_semi")
-            if n > 1:
-                back = back.join(reached[steps[:n]].withColumnRenamed("id", "b"), "b", "left_semi")
-            back = step(back.select("e", "b"))
-            last = back.select(F.col("b").alias("id")).distinct()
-            found = found.union(last.select(F.lit("vertex"), "id")).union(back.select(F.lit("edge"), "e").distinct())
-            made.append(back)
+            x, y = steps[n - 1 : n + 1]
+            before = reached.get(steps[:n])
+            under, over = outside(x, y, before), outside(y, x, last)
+            rows = _only(_only(near(x, y), "a", before, under), "b", last, over)
+            key = (frozenset((x, y)), under and under.name, over and over.name)
+            crossed.setdefault(key, (rows, []))[1].append(name)
+            if under is None and over is None:
+                last = at(x, y)
+            else:
+                left = rows if over is not None else _only(at(x, y).rows.withColumnRenamed("id", "a"), "a", before, under)
+                last = _counted((steps, n), left.select(F.col("a").alias("id")).distinct())
+            members.append(last.rows)
+        vertices = reduce(DataFrame.union, members)
         if label:
-            up = step(hierarchy_edges(edges, {steps[-1]: ("walk", label)}))
-            chains = longest_chains(up, ends)
-            made.append(up)
-            found = found.union(chains.select(F.lit("vertex"), F.explode("chain")))
-        found = step(found.distinct().select(F.lit(name).alias("pattern"), "kind", "id"))
-        discard(*made)
-        made = []
-        out = found if out is None else out.unionByName(found)
-    discard(edges, hops, *reached.values())
-    return out
+            up = stored.where(F.col("walk") == f"{steps[-1]}-{steps[-1]} {label}").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+            chains = longest_chains(up, reached[steps].rows)
+            vertices = step(vertices.union(chains.select(F.explode("chain"))).distinct())
+        out.append(vertices.select(F.lit(name).alias("pattern"), F.lit("vertex").alias("kind"), "id"))
+    for rows, names in crossed.values():
+        each = rows.select("e").distinct() if repeated else rows
+        out.append(each.select(F.explode(F.array(*[F.lit(name) for name in names])), F.lit("edge"), "e"))
+    return reduce(DataFrame.union, out)
